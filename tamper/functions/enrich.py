@@ -101,13 +101,15 @@ def order_warehouse_country(warehouse) -> Column:
 
 
 def assign_warehouse(df: DataFrame, region="REGION", key="TXID", out="WAREHOUSE",
-                     country_out: str | None = None) -> DataFrame:
-    """Americas -> one of the two US sites (chosen by a hash of the key, so
-    the choice is repeatable), Europe/Africa -> Paris, anything else -> Asia hub."""
+                     country_out: str | None = None, chooser: Column | None = None) -> DataFrame:
+    """Americas -> one of the two US sites, Europe/Africa -> Paris,
+    anything else -> Asia hub. The US site is picked by ``chooser`` (0 = west,
+    1 = east), by default a hash of the key, so the choice is repeatable."""
     wh = L.ORDER_WAREHOUSES
     r = _col(region)
+    pick = chooser if chooser is not None else F.pmod(F.xxhash64(_col(key)), F.lit(2))
     name = (F.when(r.isin(L.AMERICAS),
-                   F.when(F.pmod(F.xxhash64(_col(key)), F.lit(2)) == 0, F.lit(wh["WEST_US"][0]))
+                   F.when(pick == 0, F.lit(wh["WEST_US"][0]))
                    .otherwise(F.lit(wh["EAST_US"][0])))
             .when(r.isin(L.EUROPE_AFRICA), F.lit(wh["PARIS_FR"][0]))
             .otherwise(F.lit(wh["ASIA_HUB"][0])))

@@ -276,3 +276,359 @@ SQL["payment_status"] = with_orders(_share_by("silver_orders", "PAYMENT_STATUS")
 SQL["shipping_methods"] = with_orders(_count_by("silver_orders", "SHIPPING_METHOD"))
 SQL["delay_histogram"] = with_orders(_hist("silver_orders", "DELIVERY_DELAY_DAYS"))
 SQL["delivery_status"] = with_orders(_count_by("silver_orders", "DELIVERY_STATUS"))
+
+# ------------------------------------------------------------------ emissions
+E = "ESTIMATED_EMISSIONS_KGCO2E"
+
+
+def _ratio(num: str, den: str) -> str:
+    return (f"CASE WHEN CAST({den} AS DOUBLE) = 0 THEN NULL "
+            f"ELSE CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END")
+
+
+SQL["emissions_kpis"] = with_emissions(f"""
+SELECT round(coalesce(CAST(sum({E}) AS DOUBLE), 0.0), 6) AS total_emissions,
+  round(avg({_ratio(E, 'SHIPMENTS_COUNT')}), 6) AS avg_emissions_per_shipment
+FROM silver_emissions""")
+SQL["emissions_monthly"] = with_emissions(_sum_by("silver_emissions", "REPORTING_MONTH", E, "emissions"))
+SQL["emissions_by_warehouse"] = with_emissions(_sum_by("silver_emissions", "WAREHOUSE_NAME", E, "emissions"))
+SQL["emissions_per_kg"] = with_emissions(f"""
+SELECT SHIPPING_METHOD, WAREHOUSE_NAME,
+  round(coalesce(sum({_ratio(E, 'AVG_BATCH_SIZE_KG')}), 0.0), 6) AS emissions_per_kg
+FROM silver_emissions WHERE SHIPPING_METHOD IS NOT NULL AND WAREHOUSE_NAME IS NOT NULL
+GROUP BY SHIPPING_METHOD, WAREHOUSE_NAME""")
+SQL["emissions_by_origin"] = with_emissions(_sum_by("silver_emissions", "ORIGIN_COUNTRY", E, "emissions"))
+SQL["emissions_by_distance"] = with_emissions(f"""
+, c AS ({_sum_by("silver_emissions", "DISTANCE_CLASS", E, "emissions")})
+SELECT DISTANCE_CLASS, round(emissions, 6) AS emissions,
+  round(emissions * 100.0 / (SELECT sum(emissions) FROM c), 6) AS share_pct FROM c""")
+_E7_WH = ", ".join(q(f"NATION_{i}") for i in range(0, 25, 2))
+SQL["emissions_filtered"] = with_emissions(f"""
+SELECT * FROM silver_emissions
+WHERE (WAREHOUSE_NAME IN ({_E7_WH}) OR WAREHOUSE_NAME IS NULL)
+  AND DISTANCE_CLASS IN ('Regional', 'Intercontinental')""")
+
+# ------------------------------------------------------------------ run logs
+TASK_RUNS = f"""task_runs AS (
+  SELECT event_id AS RUN_ID, {pick(TD.TASK_NAMES, 'user_id % 6')} AS NAME,
+    {q(TD.DATABASE_NAME)} AS DATABASE_NAME, {pick(TD.SCHEMA_NAMES, 'user_id % 3')} AS SCHEMA_NAME,
+    CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'SKIPPED' ELSE 'SUCCEEDED' END AS STATE,
+    ts AS QUERY_START_TIME,
+    ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS COMPLETED_TIME,
+    CASE WHEN event_type = 'error' THEN 'E' || CAST(user_id % 10 AS VARCHAR) END AS ERROR_CODE,
+    CASE WHEN event_type = 'error' THEN props END AS ERROR_MESSAGE
+  FROM events
+),
+task_history AS (
+  SELECT NAME, DATABASE_NAME, SCHEMA_NAME, STATE, COMPLETED_TIME,
+    date_diff('second', date_trunc('second', QUERY_START_TIME), date_trunc('second', COMPLETED_TIME)) AS DURATION_SEC,
+    ERROR_CODE, ERROR_MESSAGE
+  FROM task_runs WHERE COMPLETED_TIME >= {RUNS_BOUND}
+)"""
+
+
+def with_runs(body: str) -> str:
+    return "WITH " + TASK_RUNS + "\n" + body
+
+
+SQL["task_history"] = with_runs("SELECT * FROM task_history")
+SQL["task_summary"] = with_runs("""
+SELECT count(*) AS total_runs, count(*) FILTER (WHERE STATE = 'SUCCEEDED') AS succeeded,
+  count(*) FILTER (WHERE STATE = 'FAILED') AS failed FROM task_history""")
+SQL["task_status_counts"] = with_runs(
+    'SELECT STATE, count(*) AS "COUNT" FROM task_history WHERE STATE IS NOT NULL GROUP BY STATE')
+SQL["task_duration_box"] = with_runs("""
+, lab AS (
+  SELECT CASE WHEN length(NAME) <= 30 THEN NAME ELSE substr(NAME, 1, 27) || '...' END AS TASK_LABEL,
+    STATE, CAST(DURATION_SEC AS DOUBLE) AS v FROM task_history WHERE DURATION_SEC IS NOT NULL),
+st AS (
+  SELECT TASK_LABEL, STATE, count(*) AS n, min(v) AS mn, quantile_cont(v, 0.25) AS q1,
+    quantile_cont(v, 0.5) AS med, quantile_cont(v, 0.75) AS q3, max(v) AS mx
+  FROM lab GROUP BY TASK_LABEL, STATE),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM st)
+SELECT f.TASK_LABEL, f.STATE, f.n, round(f.mn, 6) AS "min", round(f.q1, 6) AS q1,
+  round(f.med, 6) AS median, round(f.q3, 6) AS q3, round(f.mx, 6) AS "max",
+  round(min(CASE WHEN l.v >= f.lo AND l.v <= f.hi THEN l.v END), 6) AS whisker_low,
+  round(max(CASE WHEN l.v >= f.lo AND l.v <= f.hi THEN l.v END), 6) AS whisker_high,
+  count(*) FILTER (WHERE NOT (l.v >= f.lo AND l.v <= f.hi)) AS n_outliers
+FROM f JOIN lab l ON f.TASK_LABEL IS NOT DISTINCT FROM l.TASK_LABEL AND f.STATE IS NOT DISTINCT FROM l.STATE
+GROUP BY f.TASK_LABEL, f.STATE, f.n, f.mn, f.q1, f.med, f.q3, f.mx""")
+SQL["failed_tasks"] = with_runs("""
+SELECT DATABASE_NAME AS "Database", SCHEMA_NAME AS "Schema", NAME AS "Task Name",
+  ERROR_CODE AS "Error Code", ERROR_MESSAGE AS "Error Message", COMPLETED_TIME AS "Completed Time"
+FROM task_history WHERE STATE = 'FAILED'""")
+SQL["query_errors"] = f"""
+SELECT event_id AS QUERY_ID, 'user_' || CAST(user_id % 10 AS VARCHAR) AS USER_NAME,
+  'E' || CAST(user_id % 10 AS VARCHAR) AS ERROR_CODE, props AS ERROR_MESSAGE, ts AS START_TIME,
+  CAST(CAST(round(value * 1000) AS BIGINT) AS DOUBLE) / 1000.0 AS SECS
+FROM events WHERE ts >= {RUNS_BOUND} AND event_type = 'error'"""
+_PIPES = ", ".join(q(p) for p in TD.PIPE_NAMES[:2])
+SQL["ingest_throughput"] = f"""
+WITH usage AS (
+  SELECT {pick(TD.PIPE_NAMES, 'user_id % 3')} AS PIPE_NAME, date_trunc('hour', ts) AS START_TIME,
+    CAST(sum(CAST(round(value * 1000) AS BIGINT)) AS BIGINT) AS BYTES_INSERTED,
+    count(*) AS FILES_INSERTED, count(*) FILTER (WHERE event_type = 'error') AS ERROR_COUNT
+  FROM events GROUP BY 1, 2)
+SELECT * FROM usage WHERE START_TIME >= {RUNS_BOUND} AND PIPE_NAME IN ({_PIPES})"""
+SQL["load_errors"] = f"""
+SELECT {pick(TD.LOAD_TABLES, 'user_id % 3')} AS TABLE_FQN,
+  'batch_' || CAST(event_id AS VARCHAR) || '.parquet' AS FILE_NAME, ts AS LAST_LOAD_TIME,
+  user_id AS ROW_COUNT, props AS FIRST_ERROR_MESSAGE
+FROM events WHERE ts >= {RUNS_BOUND} AND event_type = 'error' AND props IS NOT NULL"""
+SQL["cluster_load"] = f"""
+WITH m AS (
+  SELECT date_trunc('hour', ts) AS TS, {pick(TD.WAREHOUSE_NAMES, 'user_id % 3')} AS WAREHOUSE_NAME,
+    value / CAST(10 AS DOUBLE) AS Q, CAST(user_id % 5 AS DOUBLE) AS B, value / CAST(100 AS DOUBLE) AS R
+  FROM events),
+w AS (
+  SELECT TS, WAREHOUSE_NAME, avg(Q) AS QUEUED, avg(B) AS BLOCKED, avg(R) AS RUNNING
+  FROM m WHERE TS >= {RUNS_BOUND} AND WAREHOUSE_NAME = {q(TD.WAREHOUSE_NAMES[0])} GROUP BY 1, 2)
+SELECT TS, WAREHOUSE_NAME, 'QUEUED' AS metric, round(QUEUED, 6) AS value FROM w
+UNION ALL SELECT TS, WAREHOUSE_NAME, 'BLOCKED', round(BLOCKED, 6) FROM w
+UNION ALL SELECT TS, WAREHOUSE_NAME, 'RUNNING', round(RUNNING, 6) FROM w"""
+
+# ------------------------------------------------------------------ freshness
+BOTH_CTE = ("WITH " + ORDERS_BASE.strip() + ",\n" + SILVER_ORDERS.strip() + ",\n"
+            + EMISSIONS_BASE.strip() + ",\n" + SILVER_EMISSIONS.strip())
+
+
+def _fresh(layer: str, name: str, src: str, col: str) -> str:
+    return (f"SELECT {q(layer)} AS layer, {q(name)} AS table_name, count(*) AS row_count, "
+            f"CAST(max({col}) AS DATE) AS max_event_date, "
+            f"round(CAST(epoch_us({ORDERS_AS_OF}) - epoch_us(CAST(max({col}) AS TIMESTAMP)) AS DOUBLE) "
+            f"/ 60000000.0, 6) AS lag_min FROM {src}")
+
+
+_RAW_FRESH = [("RAW", "RAW_ORDERS", "orders_landing", "DELIVERED_DATE"),
+              ("RAW", "RAW_EMISSIONS", "emissions_landing", "REPORTING_MONTH")]
+_ALL_FRESH = _RAW_FRESH + [
+    ("SILVER", "SILVER_ORDERS", "silver_orders", "DELIVERED_DATE"),
+    ("SILVER", "SILVER_EMISSIONS", "silver_emissions", "REPORTING_MONTH"),
+    ("GOLD", "GOLD_ORDERS", "silver_orders", "DELIVERED_DATE"),
+    ("GOLD", "GOLD_EMISSIONS", "silver_emissions", "REPORTING_MONTH")]
+SQL["freshness"] = BOTH_CTE + "\n" + "\nUNION ALL ".join(_fresh(*t) for t in _RAW_FRESH)
+SQL["freshness_all"] = BOTH_CTE + "\n" + "\nUNION ALL ".join(_fresh(*t) for t in _ALL_FRESH)
+
+# ------------------------------------------------------------------ quality
+def _dq_orders(src: str) -> str:
+    return f"""SELECT count(*) AS N, count(*) FILTER (WHERE CUSTOMER_ID IS NULL) AS N_NULL_CUSTOMER,
+  count(*) FILTER (WHERE TXID IS NULL) AS N_NULL_TXID, count(DISTINCT TXID) AS N_DISTINCT_TXID,
+  count(*) FILTER (WHERE CAST(PURCHASE_TIME AS TIMESTAMP) > {ORDERS_AS_OF}) AS N_FUTURE_PURCHASES
+FROM {src}"""
+
+
+def _dq_emissions(src: str) -> str:
+    return f"""SELECT count(*) AS N, count(*) FILTER (WHERE {E} < 0) AS N_NEGATIVE,
+  count(*) FILTER (WHERE REPORTING_MONTH > {ORDERS_AS_OF_DATE}) AS N_FUTURE_REPORTS
+FROM {src}"""
+
+
+SQL["dq_orders"] = with_orders(_dq_orders("silver_orders"))
+SQL["dq_orders_raw"] = with_orders(_dq_orders("orders_landing"))
+SQL["dq_emissions"] = with_emissions(_dq_emissions("silver_emissions"))
+SQL["dq_emissions_raw"] = with_emissions(_dq_emissions("emissions_landing"))
+
+
+def _rate_row(name: str, col: str) -> str:
+    rate = f"(CAST({col} AS DOUBLE) * 100.0 / CAST(greatest(N, 1) AS DOUBLE))"
+    return (f"SELECT {q(name)} AS \"check\", "
+            f"CAST(CAST(round(CAST({rate} AS DECIMAL(38,10)), 1) AS DECIMAL(38,1)) AS VARCHAR) || '%' AS value, "
+            f"CASE WHEN {rate} < 5.0 THEN 'PASS' ELSE 'FAIL' END AS status, round({rate}, 6) AS metric FROM o")
+
+
+def _zero_row(name: str, expr: str, src: str) -> str:
+    return (f"SELECT {q(name)} AS \"check\", CAST({expr} AS VARCHAR) AS value, "
+            f"CASE WHEN {expr} = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+            f"round(CAST({expr} AS DOUBLE), 6) AS metric FROM {src}")
+
+
+SQL["dq_report"] = BOTH_CTE + f""",
+o AS ({_dq_orders("silver_orders")}),
+e AS ({_dq_emissions("silver_emissions")})
+{_rate_row("Null rate CUSTOMER_ID", "N_NULL_CUSTOMER")}
+UNION ALL {_rate_row("Null rate TXID", "N_NULL_TXID")}
+UNION ALL {_zero_row("Duplicate TXID count", "N - N_DISTINCT_TXID", "o")}
+UNION ALL {_zero_row("Future PURCHASE_TIME", "N_FUTURE_PURCHASES", "o")}
+UNION ALL {_zero_row("Negative ESTIMATED_EMISSIONS_KGCO2E", "N_NEGATIVE", "e")}
+UNION ALL {_zero_row("Future REPORTING_MONTH", "N_FUTURE_REPORTS", "e")}"""
+
+# ------------------------------------------------------------------ merges
+EMISSION_UPDATE = [c for c in EMISSION_COLS if c not in ("RECORD_ID", "METADATA")]
+
+
+def _batch_orders(b: int) -> str:
+    return _clean_orders_select(
+        f"(SELECT * FROM orders_landing WHERE TXID IS NOT NULL AND BATCH_ID = {b} "
+        f"QUALIFY row_number() OVER (PARTITION BY TXID ORDER BY {SEQ_DESC}) = 1)")
+
+
+def _batch_emissions(b: int) -> str:
+    return _clean_emissions_select(
+        f"(SELECT * FROM emissions_landing WHERE RECORD_ID IS NOT NULL AND BATCH_ID = {b} "
+        f"QUALIFY row_number() OVER (PARTITION BY RECORD_ID ORDER BY {SEQ_DESC}) = 1)")
+
+
+def _merge_select(key: str, cols: list[str], update: list[str], null_cols: tuple = ()) -> str:
+    out = []
+    for c in cols:
+        if c == key:
+            out.append(f"CASE WHEN b0.{key} IS NOT NULL THEN b0.{c} ELSE b1.{c} END AS {c}")
+        elif c in null_cols:
+            out.append(f"CAST(NULL AS VARCHAR) AS {c}")
+        elif c in update:
+            out.append(f"CASE WHEN b1.{key} IS NOT NULL THEN b1.{c} ELSE b0.{c} END AS {c}")
+        else:
+            out.append(f"CASE WHEN b0.{key} IS NOT NULL THEN b0.{c} ELSE b1.{c} END AS {c}")
+    return (f"SELECT {', '.join(out)} FROM b0 FULL OUTER JOIN b1 ON b0.{key} = b1.{key}")
+
+
+SQL["upsert_orders"] = (ORDERS_CTE + f""",
+b0 AS ({_batch_orders(0)}),
+b1 AS ({_batch_orders(1)})
+""" + _merge_select("TXID", ORDER_COLS, ORDER_UPDATE))
+SQL["fold_orders"] = SQL["upsert_orders"]
+SQL["gold_chain"] = SQL["upsert_orders"]
+SQL["serving_chain"] = SQL["upsert_orders"]
+SQL["upsert_emissions"] = (EMISSIONS_CTE + f""",
+b0 AS ({_batch_emissions(0)}),
+b1 AS ({_batch_emissions(1)})
+""" + _merge_select("RECORD_ID", EMISSION_COLS, EMISSION_UPDATE, ("METADATA",)))
+SQL["fold_emissions"] = SQL["upsert_emissions"]
+
+# ------------------------------------------------------------------ derived columns
+def _dec(v: str, t: str = "DECIMAL(4,2)") -> str:
+    return f"CAST({v} AS {t})"
+
+
+def _in_list(values) -> str:
+    return ", ".join(q(v) for v in values)
+
+
+SQL["initcap_items"] = f"SELECT p_partkey, p_name, {initcap_sql('p_name')} AS ITEM FROM part"
+
+_UUID_H = f"sha1(unhex({q(L.NAMESPACE_DNS_HEX)}) || encode(c_name))"
+SQL["uuid5_ids"] = f"""
+SELECT c_custkey, c_name,
+  CASE WHEN c_name IS NULL THEN NULL ELSE
+  substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
+  translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' ||
+  substr(h, 21, 12) END AS CUSTOMER_UUID
+FROM (SELECT c_custkey, c_name, {_UUID_H} AS h FROM customer)"""
+
+_ITEMS = list(L.PRICE_MAP)
+_COFFEE = _in_list([i.lower() for i in L.COFFEE_ITEMS])
+_BASE = ("CASE lower(ITEM) " + " ".join(
+    f"WHEN {q(k.lower())} THEN {_dec(v, 'DECIMAL(10,2)')}" for k, v in L.PRICE_MAP.items()) + " END")
+_MULT = ("CASE WHEN lower(ITEM) IN (" + _COFFEE + ") THEN (CASE upper(BAG_SIZE) " + " ".join(
+    f"WHEN {q(k.upper())} THEN {_dec(v)}" for k, v in L.BAG_SIZE_MULTIPLIER.items())
+    + f" END) ELSE {_dec('1.0')} END")
+_ORIGIN = ("CASE lower(ITEM) " + " ".join(
+    f"WHEN {q(k.lower())} THEN {q(v)}" for k, v in L.ORIGIN_MAP.items()) + " END")
+SQL["price"] = f"""
+WITH lines AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS TXID,
+    CASE WHEN p_partkey % 2 = 0 THEN {pick(_ITEMS, f'p_partkey % {len(_ITEMS)}')}
+         ELSE upper({pick(_ITEMS, f'p_partkey % {len(_ITEMS)}')}) END AS ITEM,
+    CASE WHEN p_size <= 16 THEN '250g' WHEN p_size <= 33 THEN '500g' ELSE '1kg' END AS BAG_SIZE,
+    CAST(l_quantity AS INTEGER) AS QUANTITY, n_name AS GIVEN_ORIGIN
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+    JOIN nation ON s_nationkey = n_nationkey),
+priced AS (
+  SELECT *, CAST(round({_BASE} * {_MULT}, 2) AS DECIMAL(10,2)) AS UNIT_PRICE FROM lines)
+SELECT TXID, ITEM, BAG_SIZE, QUANTITY,
+  CASE WHEN lower(ITEM) = {q(L.SINGLE_ORIGIN_ITEM.lower())} THEN GIVEN_ORIGIN
+       ELSE coalesce({_ORIGIN}, {q(L.UNKNOWN_ORIGIN)}) END AS ORIGIN_COUNTRY,
+  UNIT_PRICE,
+  CAST(round(UNIT_PRICE * CAST(QUANTITY AS DECIMAL(10,0)), 2) AS DECIMAL(12,2)) AS TOTAL_PRICE
+FROM priced"""
+
+_REGION_OF = lambda c: ("CASE " + c + " " + " ".join(
+    f"WHEN {q(k)} THEN {q(v)}" for k, v in L.country_region_pairs()) + " END")
+_WH_COUNTRY = case_map("WAREHOUSE", {n: c for n, c in L.ORDER_WAREHOUSES.values()})
+SQL["carbon_score"] = with_orders(f"""
+, base AS (
+  SELECT TXID, COUNTRY, WAREHOUSE, BAG_SIZE, SHIPPING_METHOD, DELIVERY_STATUS, QUANTITY,
+    {_WH_COUNTRY} AS WHC FROM orders_landing),
+f AS (
+  SELECT *,
+    CASE WHEN COUNTRY IS NOT DISTINCT FROM WHC THEN {_dec('0.2')}
+         WHEN coalesce({_REGION_OF('COUNTRY')}, 'Unknown') = coalesce({_REGION_OF('WHC')}, 'Unknown')
+         THEN {_dec('1.0')} ELSE {_dec('1.8')} END AS DISTANCE_FACTOR,
+    CASE SHIPPING_METHOD WHEN 'Local Pickup' THEN {_dec('0.2')} WHEN 'EcoDelivery' THEN {_dec('0.8')}
+         WHEN 'Express' THEN {_dec('1.4')} ELSE {_dec('1.0')} END AS METHOD_FACTOR,
+    CASE upper(BAG_SIZE) WHEN '500G' THEN {_dec('0.15')} WHEN '1KG' THEN {_dec('0.35')}
+         ELSE {_dec('0.0')} END AS SIZE_FACTOR,
+    CASE DELIVERY_STATUS WHEN 'Canceled' THEN {_dec('0.3')} WHEN 'Returned' THEN {_dec('2.0')}
+         ELSE {_dec('1.0')} END AS STATUS_MULTIPLIER
+  FROM base)
+SELECT TXID, COUNTRY, WAREHOUSE, BAG_SIZE, SHIPPING_METHOD, DELIVERY_STATUS, QUANTITY,
+  DISTANCE_FACTOR, METHOD_FACTOR, SIZE_FACTOR, STATUS_MULTIPLIER,
+  CAST(round(DISTANCE_FACTOR * METHOD_FACTOR * ({_dec('1.0')} + SIZE_FACTOR)
+    * CAST(QUANTITY AS DECIMAL(10,0)) * STATUS_MULTIPLIER, 2) AS DECIMAL(10,2)) AS CARBON_SCORE
+FROM f""")
+
+_REGIONS = list(L.REGIONS)
+SQL["warehouse_assignment"] = f"""
+WITH r AS (SELECT c_custkey, c_nationkey, {pick(_REGIONS, f'c_nationkey % {len(_REGIONS)}')} AS REGION
+           FROM customer),
+w AS (SELECT *, CASE WHEN REGION IN ({_in_list(L.AMERICAS)})
+                     THEN CASE WHEN c_custkey % 2 = 0 THEN {q(L.ORDER_WAREHOUSES['WEST_US'][0])}
+                               ELSE {q(L.ORDER_WAREHOUSES['EAST_US'][0])} END
+                     WHEN REGION IN ({_in_list(L.EUROPE_AFRICA)}) THEN {q(L.ORDER_WAREHOUSES['PARIS_FR'][0])}
+                     ELSE {q(L.ORDER_WAREHOUSES['ASIA_HUB'][0])} END AS WAREHOUSE FROM r)
+SELECT *, {_WH_COUNTRY} AS WAREHOUSE_COUNTRY FROM w"""
+
+_WIDS = list(L.EMISSION_WAREHOUSES)
+_METHODS = list(L.SHIPPING_METHOD_FACTORS)
+_EM_LINES = f"""
+lines AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS RECORD_ID,
+    {pick(_WIDS, f'l_suppkey % {len(_WIDS)}')} AS WAREHOUSE_ID,
+    {pick(L.COFFEE_ORIGINS, f'l_partkey % {len(L.COFFEE_ORIGINS)}')} AS ORIGIN_COUNTRY,
+    {pick(_METHODS, f'l_linenumber % {len(_METHODS)}')} AS SHIPPING_METHOD,
+    CAST(l_quantity AS INTEGER) * 10 AS SHIPMENTS_COUNT,
+    CAST(50 + 4 * p_size AS DECIMAL(10,2)) AS AVG_BATCH_SIZE_KG
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+wh AS (
+  SELECT *, {case_map('WAREHOUSE_ID', {k: v[0] for k, v in L.EMISSION_WAREHOUSES.items()})} AS WAREHOUSE_NAME,
+    {case_map('WAREHOUSE_ID', {k: v[1] for k, v in L.EMISSION_WAREHOUSES.items()})} AS WAREHOUSE_COUNTRY
+  FROM lines),
+cls AS (
+  SELECT *, CASE WHEN ORIGIN_COUNTRY IS NOT DISTINCT FROM WAREHOUSE_COUNTRY THEN 'Local'
+    {' '.join(f"WHEN ORIGIN_COUNTRY IN ({_in_list(v)}) AND WAREHOUSE_COUNTRY = {q(k)} THEN 'Regional'" for k, v in L.REGIONAL_ORIGINS.items())}
+    ELSE 'Intercontinental' END AS DISTANCE_CLASS
+  FROM wh)"""
+SQL["distance_class"] = "WITH " + _EM_LINES.strip() + """
+SELECT RECORD_ID, WAREHOUSE_ID, WAREHOUSE_NAME, WAREHOUSE_COUNTRY, ORIGIN_COUNTRY, DISTANCE_CLASS FROM cls"""
+_DFAC = "CASE DISTANCE_CLASS " + " ".join(
+    f"WHEN {q(k)} THEN {_dec(v)}" for k, v in L.DISTANCE_FACTORS.items()) + " END"
+_MFAC = "CASE SHIPPING_METHOD " + " ".join(
+    f"WHEN {q(k)} THEN {_dec(v)}" for k, v in L.SHIPPING_METHOD_FACTORS.items()) + " END"
+SQL["estimated_emissions"] = "WITH " + _EM_LINES.strip() + f"""
+SELECT RECORD_ID, DISTANCE_CLASS, SHIPPING_METHOD, SHIPMENTS_COUNT, AVG_BATCH_SIZE_KG,
+  CAST(round({_DFAC} * {_MFAC} * CAST(SHIPMENTS_COUNT AS DECIMAL(10,0))
+    * CAST(AVG_BATCH_SIZE_KG AS DECIMAL(10,2)) * {_dec('0.01')}, 2) AS DECIMAL(12,2)) AS ESTIMATED_EMISSIONS_KGCO2E
+FROM cls"""
+
+SQL["payment_status_rule"] = with_orders(
+    f"SELECT TXID, DELIVERY_STATUS, {PAYMENT_STATUS_SQL} AS PAYMENT_STATUS FROM orders_landing")
+SQL["delivery_delay"] = with_orders("""
+SELECT TXID, PURCHASE_TIME, DELIVERED_DATE,
+  CAST(date_diff('day', PURCHASE_TIME, DELIVERED_DATE) AS INTEGER) AS DELIVERY_DELAY_DAYS
+FROM orders_landing""")
+SQL["rule_checks"] = with_orders(f"""
+SELECT TXID,
+  CASE WHEN SHIPPING_METHOD = 'Local Pickup' THEN COUNTRY IS NOT DISTINCT FROM ({_WH_COUNTRY})
+       ELSE TRUE END AS PICKUP_OK,
+  CASE WHEN DELIVERY_STATUS = 'In Transit'
+       THEN coalesce(date_diff('day', PURCHASE_TIME, {ORDERS_AS_OF_DATE}) <= {L.MAX_TRANSIT_AGE_DAYS}, FALSE)
+       ELSE TRUE END AS TRANSIT_AGE_OK,
+  CASE WHEN lower(ITEM) IN ({_COFFEE}) THEN TRUE
+       ELSE NOT (coalesce(FAIR_TRADE_CERTIFIED, FALSE) OR coalesce(ORGANIC_CERTIFIED, FALSE)) END AS CERTIFICATION_OK,
+  CASE WHEN DELIVERY_STATUS = 'Canceled' THEN SHIPPED_DATE IS NULL AND DELIVERED_DATE IS NULL
+       WHEN DELIVERY_STATUS = 'In Transit' THEN SHIPPED_DATE IS NOT NULL AND DELIVERED_DATE IS NULL
+       WHEN DELIVERY_STATUS IN ('Delivered', 'Returned')
+       THEN SHIPPED_DATE IS NOT NULL AND DELIVERED_DATE IS NOT NULL
+            AND coalesce(DELIVERED_DATE <= SHIPPED_DATE + {L.MAX_DELIVERY_AFTER_SHIP_DAYS}, FALSE)
+       ELSE TRUE END AS LIFECYCLE_OK
+FROM orders_landing""")

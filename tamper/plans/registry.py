@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamper.plans import layers, sales
+from tamper.plans import emissions, enrichment, layers, monitoring, quality, sales
 from tamper.session import apply_session_defaults
 from tamper.sources import testdata as TD
 
@@ -36,6 +36,98 @@ def _on_orders(fn) -> Query:
     return lambda spark, sf_dir: fn(serving_orders(spark, sf_dir))
 
 
+def _on_emissions(fn) -> Query:
+    return lambda spark, sf_dir: fn(serving_emissions(spark, sf_dir))
+
+
+def _on_runs(fn, hours: int = TD.LOOKBACK_HOURS) -> Query:
+    """``fn`` over the job runs completed in the look-back window."""
+    def q(spark, sf_dir):
+        apply_session_defaults(spark)
+        return fn(monitoring.task_history(TD.task_runs(spark, sf_dir), hours, TD.RUNS_AS_OF))
+    return q
+
+
+def _layers(spark, sf_dir):
+    raw_o, raw_e = raw_orders(spark, sf_dir), raw_emissions(spark, sf_dir)
+    silver_o = layers.silver_snapshot("orders", raw_o, TD.ORDERS_AS_OF)
+    silver_e = layers.silver_snapshot("emissions", raw_e)
+    return [("RAW", "RAW_ORDERS", raw_o), ("RAW", "RAW_EMISSIONS", raw_e),
+            ("SILVER", "SILVER_ORDERS", silver_o), ("SILVER", "SILVER_EMISSIONS", silver_e),
+            ("GOLD", "GOLD_ORDERS", silver_o), ("GOLD", "GOLD_EMISSIONS", silver_e)]
+
+
+def freshness(spark, sf_dir):
+    return monitoring.freshness([t for t in _layers(spark, sf_dir) if t[0] == "RAW"],
+                                TD.ORDERS_AS_OF)
+
+
+def freshness_all(spark, sf_dir):
+    return monitoring.freshness(_layers(spark, sf_dir), TD.ORDERS_AS_OF)
+
+
+def query_errors(spark, sf_dir):
+    apply_session_defaults(spark)
+    return monitoring.query_errors(TD.query_runs(spark, sf_dir), TD.LOOKBACK_HOURS, TD.RUNS_AS_OF)
+
+
+def ingest_throughput(spark, sf_dir):
+    apply_session_defaults(spark)
+    return monitoring.ingest_throughput(TD.ingest_usage(spark, sf_dir), TD.PIPE_NAMES[:2],
+                                        TD.LOOKBACK_HOURS, TD.RUNS_AS_OF)
+
+
+def load_errors(spark, sf_dir):
+    apply_session_defaults(spark)
+    return monitoring.load_errors(TD.load_history(spark, sf_dir), TD.LOOKBACK_HOURS,
+                                  TD.RUNS_AS_OF, TD.LOAD_TABLES)
+
+
+def cluster_load(spark, sf_dir):
+    apply_session_defaults(spark)
+    return monitoring.cluster_load(TD.compute_load(spark, sf_dir), TD.WAREHOUSE_NAMES[0],
+                                   TD.LOOKBACK_HOURS, TD.RUNS_AS_OF)
+
+
+def dq_orders(spark, sf_dir):
+    return quality.dq_orders(serving_orders(spark, sf_dir), TD.ORDERS_AS_OF)
+
+
+def dq_orders_raw(spark, sf_dir):
+    return quality.dq_orders(raw_orders(spark, sf_dir), TD.ORDERS_AS_OF)
+
+
+def dq_emissions(spark, sf_dir):
+    return quality.dq_emissions(serving_emissions(spark, sf_dir), TD.ORDERS_AS_OF)
+
+
+def dq_emissions_raw(spark, sf_dir):
+    return quality.dq_emissions(raw_emissions(spark, sf_dir), TD.ORDERS_AS_OF)
+
+
+def dq_report(spark, sf_dir):
+    return quality.dq_report(serving_orders(spark, sf_dir), serving_emissions(spark, sf_dir),
+                             TD.ORDERS_AS_OF)
+
+
+# E7's fixed selection: two distance classes and every supplier nation with an
+# even key (NULL included, as the multiselect lists a column's NULL too).
+E7_CLASSES = ["Regional", "Intercontinental"]
+E7_WAREHOUSES = [f"NATION_{i}" for i in range(0, 25, 2)] + [None]
+
+
+def emissions_filtered(spark, sf_dir):
+    return emissions.emissions_filtered(serving_emissions(spark, sf_dir), E7_WAREHOUSES,
+                                        E7_CLASSES)
+
+
+def _merge(fn, entity):
+    def q(spark, sf_dir):
+        raw = raw_orders(spark, sf_dir) if entity == "orders" else raw_emissions(spark, sf_dir)
+        return fn(entity, raw, TD.ORDERS_AS_OF if entity == "orders" else None)
+    return q
+
+
 QUERIES: dict[str, Query] = {
     # layers
     "silver_orders": serving_orders,
@@ -53,4 +145,48 @@ QUERIES: dict[str, Query] = {
     "shipping_methods": _on_orders(sales.shipping_methods),
     "delay_histogram": _on_orders(sales.delay_histogram),
     "delivery_status": _on_orders(sales.delivery_status),
+    # emissions dashboard
+    "emissions_kpis": _on_emissions(emissions.emissions_kpis),
+    "emissions_monthly": _on_emissions(emissions.emissions_monthly),
+    "emissions_by_warehouse": _on_emissions(emissions.emissions_by_warehouse),
+    "emissions_per_kg": _on_emissions(emissions.emissions_per_kg),
+    "emissions_by_origin": _on_emissions(emissions.emissions_by_origin),
+    "emissions_by_distance": _on_emissions(emissions.emissions_by_distance),
+    "emissions_filtered": emissions_filtered,
+    # monitoring
+    "freshness": freshness,
+    "freshness_all": freshness_all,
+    "query_errors": query_errors,
+    "task_history": _on_runs(lambda runs: runs),
+    "task_summary": _on_runs(monitoring.task_summary),
+    "task_status_counts": _on_runs(monitoring.task_status_counts),
+    "task_duration_box": _on_runs(monitoring.task_duration_box),
+    "failed_tasks": _on_runs(monitoring.failed_tasks),
+    "ingest_throughput": ingest_throughput,
+    "load_errors": load_errors,
+    "cluster_load": cluster_load,
+    # data quality
+    "dq_orders": dq_orders,
+    "dq_orders_raw": dq_orders_raw,
+    "dq_emissions": dq_emissions,
+    "dq_emissions_raw": dq_emissions_raw,
+    "dq_report": dq_report,
+    # merge core
+    "upsert_orders": _merge(layers.upsert_two_batches, "orders"),
+    "fold_orders": _merge(layers.fold_two_batches, "orders"),
+    "gold_chain": _merge(layers.gold_chain, "orders"),
+    "serving_chain": _merge(layers.serving_chain, "orders"),
+    "upsert_emissions": _merge(layers.upsert_two_batches, "emissions"),
+    "fold_emissions": _merge(layers.fold_two_batches, "emissions"),
+    # derived columns and rules
+    "initcap_items": enrichment.initcap_items,
+    "uuid5_ids": enrichment.uuid5_ids,
+    "price": enrichment.price,
+    "carbon_score": enrichment.carbon_score,
+    "warehouse_assignment": enrichment.warehouse_assignment,
+    "distance_class": enrichment.distance_class,
+    "estimated_emissions": enrichment.estimated_emissions,
+    "payment_status_rule": enrichment.payment_status,
+    "delivery_delay": enrichment.delivery_delay,
+    "rule_checks": enrichment.rule_checks,
 }
