@@ -79,4 +79,4 @@ def first_of_month(c) -> Column:
 
 def try_date(c) -> Column:
     """String -> DATE; a bad value (``2025-13-01``) becomes NULL."""
-    return F.try_to_date(_col(c).cast("string"), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(_col(c).cast("string"), "yyyy-MM-dd")

@@ -47,16 +47,25 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: list[str
 
 
 def fold(batches: DataFrame, key: str, update_cols: list[str], insert_cols: list[str],
-         columns: list[str], batch_col: str = "BATCH_ID") -> DataFrame:
+         columns: list[str], batch_col: str = "BATCH_ID", first_col: str | None = None,
+         bounds: bool = False) -> DataFrame:
     """U2. ``batches`` holds per-batch winners (unique per key and batch);
-    batch ids order the merges. Equal to applying ``upsert`` batch by batch."""
+    batch ids order the merges. Equal to applying ``upsert`` batch by batch.
+
+    ``batch_col`` orders the update columns (newest wins) and ``first_col``
+    (default: the same column) the insert-only columns (oldest wins). With
+    ``bounds`` the result carries FIRST_BATCH / LAST_BATCH, so it can itself be
+    folded again later (snapshot + newer batches)."""
+    first_col = first_col or batch_col
     upd = [c for c in columns if c in update_cols and c != key]
     keep = [c for c in columns if c not in upd and c != key]
     aggs = []
     if upd:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in upd]), F.col(batch_col)).alias("__new"))
     if keep:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in keep]), F.col(batch_col)).alias("__old"))
+        aggs.append(F.min_by(F.struct(*[F.col(c) for c in keep]), F.col(first_col)).alias("__old"))
+    if bounds:
+        aggs += [F.min(first_col).alias("__first"), F.max(batch_col).alias("__last")]
     agg = batches.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
     out = []
     for c in columns:
@@ -68,6 +77,8 @@ def fold(batches: DataFrame, key: str, update_cols: list[str], insert_cols: list
             out.append(F.col(f"__old.{c}").alias(c))
         else:
             out.append(F.lit(None).cast(batches.schema[c].dataType).alias(c))
+    if bounds:
+        out += [F.col("__first").alias("FIRST_BATCH"), F.col("__last").alias("LAST_BATCH")]
     return agg.select(*out)
 
 

@@ -54,6 +54,7 @@ regions_dim AS (
 ),
 orders_base AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS TXID,
+    'RF-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS RFID,
     'C-' || CAST(c_custkey AS VARCHAR) AS CUSTOMER_ID,
     'P-' || CAST(p_partkey AS VARCHAR) AS PRODUCT_ID,
     upper(p_name) AS ITEM,
@@ -96,7 +97,7 @@ orders_scored AS (
   FROM orders_base o LEFT JOIN regions_dim dr ON o.COUNTRY = dr.dim_country
 ),
 orders_landing AS (
-  SELECT TXID, CAST(NULL AS VARCHAR) AS RFID, CUSTOMER_ID, PRODUCT_ID, ITEM, BAG_SIZE,
+  SELECT TXID, RFID, CUSTOMER_ID, PRODUCT_ID, ITEM, BAG_SIZE,
     UNIT_PRICE, QUANTITY, TOTAL_PRICE, ORIGIN_COUNTRY,
     CAST(NULL AS BOOLEAN) AS FAIR_TRADE_CERTIFIED, CAST(NULL AS BOOLEAN) AS ORGANIC_CERTIFIED,
     PURCHASE_TIME, SHIPPED_DATE, DELIVERED_DATE, REGION,
@@ -632,3 +633,7 @@ SELECT TXID,
             AND coalesce(DELIVERED_DATE <= SHIPPED_DATE + {L.MAX_DELIVERY_AFTER_SHIP_DAYS}, FALSE)
        ELSE TRUE END AS LIFECYCLE_OK
 FROM orders_landing""")
+
+# ------------------------------------------------------------------ ingestion / streaming
+SQL["ingest_json"] = with_orders(f"SELECT {', '.join(ORDER_COLS)} FROM orders_landing")
+SQL["stream_pipeline"] = SQL["upsert_orders"]

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tamper.plans import emissions, enrichment, layers, monitoring, quality, sales
+from tamper.schemas import BATCH_COLUMN
 from tamper.session import apply_session_defaults
 from tamper.sources import testdata as TD
 
@@ -128,6 +130,37 @@ def _merge(fn, entity):
     return q
 
 
+def stream_pipeline(spark, sf_dir):
+    """T-1..T-6 end to end: the landed orders arrive as two RAW batches; after
+    each, the SILVER and GOLD streaming hops drain (availableNow) and a serving
+    snapshot is published. Returns the last snapshot."""
+    from tamper.session import scratch_path
+    from tamper.sources.ingest import write_batch
+    from tamper.streaming.pipeline import Layout, run_pipeline
+
+    layout = Layout(scratch_path(spark, "stream_pipeline"), "orders")
+    landed = raw_orders(spark, sf_dir)
+    out = None
+    for b in (0, 1):
+        write_batch(landed.where(F.col(BATCH_COLUMN) == b).drop(BATCH_COLUMN),
+                    layout.path("raw"), b)
+        out = run_pipeline(spark, layout, TD.ORDERS_AS_OF, version=b)
+    return out
+
+
+def ingest_json(spark, sf_dir):
+    """S1/S3/S5/S12 + C0: land the orders as JSON lines, read them back with
+    the landing schema, keep the rows that pass the checks."""
+    from tamper.schemas import ORDER_COLUMNS
+    from tamper.session import scratch_path
+    from tamper.sources import ingest
+
+    folder = ingest.land_json(raw_orders(spark, sf_dir).select(*ORDER_COLUMNS),
+                              scratch_path(spark, "landing"), "orders", "batch")
+    good, _bad = ingest.to_raw(ingest.read_json(spark, folder, "orders"), "orders")
+    return good.select(*ORDER_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     # layers
     "silver_orders": serving_orders,
@@ -189,4 +222,7 @@ QUERIES: dict[str, Query] = {
     "payment_status_rule": enrichment.payment_status,
     "delivery_delay": enrichment.delivery_delay,
     "rule_checks": enrichment.rule_checks,
+    # ingestion and streaming
+    "ingest_json": ingest_json,
+    "stream_pipeline": stream_pipeline,
 }

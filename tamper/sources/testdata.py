@@ -99,6 +99,9 @@ def orders_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = j.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("TXID"),
+        F.concat(F.lit("RF-"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.col("l_linenumber").cast("string"), F.lit("-"),
+                 F.col("l_suppkey").cast("string")).alias("RFID"),
         F.concat(F.lit("C-"), F.col("c_custkey").cast("string")).alias("CUSTOMER_ID"),
         F.concat(F.lit("P-"), F.col("p_partkey").cast("string")).alias("PRODUCT_ID"),
         F.upper("p_name").alias("ITEM"),
