@@ -31,18 +31,17 @@ def delimiter_class(delims: str = INITCAP_DELIMITERS) -> str:
     return "[" + "".join(out) + "]"
 
 
-def initcap_words(c, delims: str = INITCAP_DELIMITERS) -> Column:
-    """Proper-case: lower everything, then upper the first character after any
-    delimiter. Spark's ``initcap`` splits on spaces only
-    (``Single-Origin`` would become ``Single-origin``).
+# An ASCII control character that never occurs in catalogue text; it marks
+# where a word starts so that Spark's own (space-only) ``initcap`` can do the
+# case work.
+_MARK = "\x01"
 
-    The text is cut into tokens ``<delimiters><word>``; each token keeps its
-    delimiters and gets its word's first character upper-cased. NULL stays
-    NULL, an empty string stays empty.
-    """
+
+def _initcap_tokens(c: Column, delims: str) -> Column:
+    """Reference form: cut the text into ``<delimiters><word>`` tokens and
+    upper-case each word's first character (regex + higher-order function)."""
     d = delimiter_class(delims)
     nd = "[^" + d[1:]
-    c = F.col(c) if isinstance(c, str) else c
     tokens = F.regexp_extract_all(F.lower(c), F.lit(f"{d}*{nd}*"), 0)
 
     def cap(tok):
@@ -53,6 +52,24 @@ def initcap_words(c, delims: str = INITCAP_DELIMITERS) -> Column:
     return F.array_join(F.transform(tokens, cap), "")
 
 
+def initcap_words(c, delims: str = INITCAP_DELIMITERS) -> Column:
+    """Proper-case: lower everything, then upper the first character after any
+    delimiter. Spark's ``initcap`` splits on spaces only
+    (``Single-Origin`` would become ``Single-origin``).
+
+    Fast path (all codegen'd, ASCII-only temporaries): put ``<mark><space>``
+    after every delimiter, let ``initcap`` capitalise the letter after each
+    space, then drop the inserted pairs. Text that already contains the mark
+    character takes the slower token form, so no input can be corrupted.
+    NULL stays NULL, an empty string stays empty."""
+    c = F.col(c) if isinstance(c, str) else c
+    d = delimiter_class(delims)
+    pair = _MARK + " "
+    fast = F.replace(F.initcap(F.regexp_replace(F.lower(c), f"({d})", "$1" + pair)),
+                     F.lit(pair), F.lit(""))
+    return F.when(F.instr(c, _MARK) == 0, fast).otherwise(_initcap_tokens(c, delims))
+
+
 def ellipsize(c, width: int = 30) -> Column:
     """Labels longer than ``width`` become their first ``width - 3`` characters
     followed by ``...``."""

@@ -61,13 +61,14 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     bin is closed. When min = max the values land in the middle bin of
     ``[v - 0.5, v + 0.5]``. Every bin is returned, empty ones with 0.
 
-    min and max are scalar subqueries (one extra partial-aggregated scan);
+    min and max come from one scalar subquery (one extra partial-aggregated scan);
     the bin index is plain arithmetic, and the count is a partial aggregation
     on at most ``bins`` keys."""
     spark = df.sparkSession
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    lo = vals.select(F.min("v")).scalar()
-    hi = vals.select(F.max("v")).scalar()
+    # One scalar subquery (a single partial-aggregated scan) for both bounds.
+    mm = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    lo, hi = mm.getField("lo"), mm.getField("hi")
     first = F.when(lo == hi, lo - 0.5).otherwise(lo)
     last = F.when(lo == hi, hi + 0.5).otherwise(hi)
     idx = F.when(lo == hi, F.lit(bins // 2).cast("long")).otherwise(

@@ -85,3 +85,8 @@ def test_lookback_pushes_to_scan(spark, scratch):
     plan = spark.read.parquet(path).where(lookback("t", 24, dt.datetime(2024, 1, 30)))._jdf \
         .queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(t), GreaterThanOrEqual(t," in plan
+
+
+def test_initcap_words_fallback_path_for_marker_char(spark):
+    got = one(spark, [("a\x01 b-c",), ("x-y",)], "s string", initcap_words("s"))
+    assert got == ["A\x01 B-C", "X-Y"]
