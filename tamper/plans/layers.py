@@ -80,8 +80,25 @@ def upsert_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str =
 
 def fold_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN
                      ) -> DataFrame:
-    """Same state as ``upsert_two_batches`` in one aggregation."""
-    return fold_batches(entity, batch_winners(entity, raw, as_of, batch_col), batch_col)
+    """Same state as ``upsert_two_batches``, as one aggregation over the raw
+    rows of all batches (W1 per batch + U2, one shuffle)."""
+    return rebuild(entity, raw, as_of, batch_col)
+
+
+def rebuild(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN,
+            order_by: list[str] | None = None) -> DataFrame:
+    """A layer's state rebuilt from its whole RAW log: rows are cleaned (a
+    row-wise step), then W1 and the MERGE sequence collapse into one
+    ``fold_latest`` aggregation keyed by the entity key."""
+    from tamper.operators.clean import clean_emissions, clean_orders
+    from tamper.operators.merge import fold_latest
+    from tamper.schemas import SEQ_COLUMNS
+
+    e = ENTITIES[entity]
+    rows = raw.where(F.col(e["key"]).isNotNull())
+    rows = clean_orders(rows, as_of) if entity == "orders" else clean_emissions(rows)
+    return fold_latest(rows, e["key"], e["update"], e["insert"], e["columns"], batch_col,
+                       order_by or SEQ_COLUMNS)
 
 
 def gold_chain(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN

@@ -93,3 +93,26 @@ def test_split_valid(spark):
     good, bad = split_valid(df, ["k"], "_corrupt_record")
     assert [r.k for r in good.collect()] == ["a"] and "_corrupt_record" not in good.columns
     assert bad.count() == 2
+
+
+raw_rows = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["i1", "i2", "i3", None]),
+              st.sampled_from(["s1", "s2", None]), st.sampled_from([None, dt.date(2025, 1, 1)]),
+              st.sampled_from([0, 1, 2]), st.sampled_from([None, 1, 2, 3]),
+              st.integers(min_value=0, max_value=10_000)),
+    min_size=0, max_size=12)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(raw_rows)
+def test_fold_latest_equals_batch_winners_then_fold(spark, data):
+    from tamper.operators.merge import fold_latest
+
+    # unique tie-breaker so "latest" is a total order, as in the pipeline
+    data = [(*r[:6], i) for i, r in enumerate(data)]
+    schema = "K string, ITEM string, STATUS string, D date, BATCH_ID long, TS long, SEQ long"
+    df = spark.createDataFrame(data, schema)
+    winners = latest_per_key(df, ["K", "BATCH_ID"], ["TS", "SEQ"])
+    expected = fold(winners, "K", UPDATE, COLS, COLS)
+    got = fold_latest(df, "K", UPDATE, COLS, COLS, "BATCH_ID", ["TS", "SEQ"])
+    assert rows(got) == rows(expected)
