@@ -394,8 +394,9 @@ BOTH_CTE = ("WITH " + ORDERS_BASE.strip() + ",\n" + SILVER_ORDERS.strip() + ",\n
 
 
 def _fresh(layer: str, name: str, src: str, col: str) -> str:
+    ing = "max(INGEST_TS)" if layer == "RAW" else "CAST(NULL AS TIMESTAMP)"
     return (f"SELECT {q(layer)} AS layer, {q(name)} AS table_name, count(*) AS row_count, "
-            f"CAST(max({col}) AS DATE) AS max_event_date, "
+            f"CAST(max({col}) AS DATE) AS max_event_date, {ing} AS max_ingest_ts, "
             f"round(CAST(epoch_us({ORDERS_AS_OF}) - epoch_us(CAST(max({col}) AS TIMESTAMP)) AS DOUBLE) "
             f"/ 60000000.0, 6) AS lag_min FROM {src}")
 

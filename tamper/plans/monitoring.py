@@ -23,9 +23,14 @@ def table_freshness(df: DataFrame, layer: str, table: str, as_of) -> DataFrame:
     column (NULL when there is none), and its lag in minutes at ``as_of``."""
     col = next((c for c in FRESHNESS_DATE_COLUMNS if c in df.columns), None)
     d = F.max(F.col(col)).cast("date") if col else F.lit(None).cast("date")
-    agg = df.agg(F.count(F.lit(1)).alias("row_count"), d.alias("max_event_date"))
+    # The business date above is not a load time; tables that carry their
+    # ingest time also report when the newest row arrived.
+    ing = (F.max(F.col("INGEST_TS")).cast("timestamp_ntz") if "INGEST_TS" in df.columns
+           else F.lit(None).cast("timestamp_ntz"))
+    agg = df.agg(F.count(F.lit(1)).alias("row_count"), d.alias("max_event_date"),
+                 ing.alias("max_ingest_ts"))
     return agg.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
-                      "row_count", "max_event_date",
+                      "row_count", "max_event_date", "max_ingest_ts",
                       F.round(lag_minutes("max_event_date", as_of), 6).alias("lag_min"))
 
 

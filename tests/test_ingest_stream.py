@@ -121,3 +121,40 @@ def test_compaction_snapshot_plus_newer_equals_full_fold(spark, scratch):
     assert v0 is not None
     assert sorted(map(tuple, incremental.collect())) == sorted(map(tuple, full.collect()))
     assert {r.TXID: r.ITEM for r in incremental.collect()}["t-1"] == "Two"
+
+
+def emission(rid, kg=120.0, est=96.0, month="2025-03-01"):
+    return json.dumps({"record_id": rid, "reporting_month": month, "warehouse_id": "PARIS_FR",
+                       "warehouse_name": "Paris", "warehouse_country": "France",
+                       "origin_country": "Ethiopia", "distance_class": "Regional",
+                       "shipping_method": "EcoDelivery", "shipments_count": 100,
+                       "avg_batch_size_kg": kg, "estimated_emissions_kgCO2e": est})
+
+
+def test_emissions_pipeline_nulls_negative_and_updates_all_columns(spark, scratch):
+    layout = Layout(f"{scratch}/e", "emissions")
+    write_lines(layout.path("landing"), "e0.jsonl", [emission("r-1"), emission("r-2", est=-5.0)])
+    write_lines(layout.path("landing"), "e1.jsonl", [emission("r-1", kg=130.0, est=104.0),
+                                                     json.dumps({"record_id": "r-3"})], tick=1)
+    out = {r.RECORD_ID: r for r in run_pipeline(spark, layout, AS_OF, version=0,
+                                                with_ingest=True).collect()}
+    assert set(out) == {"r-1", "r-2"}                     # r-3 lacks required keys
+    assert out["r-2"].ESTIMATED_EMISSIONS_KGCO2E is None  # C5
+    assert str(out["r-1"].AVG_BATCH_SIZE_KG) == "130.00"
+    assert spark.read.parquet(layout.path("quarantine")).count() == 1
+
+
+def test_continuous_hops_with_processing_time_trigger(spark, scratch):
+    from tamper.streaming.pipeline import publish_serving, read_serving, start_pipeline
+
+    layout = Layout(f"{scratch}/c2", "orders")
+    write_lines(layout.path("landing"), "b0.jsonl", [order("t-1"), order("t-2")])
+    queries = start_pipeline(spark, layout, AS_OF, trigger={"processingTime": "1 second"})
+    try:
+        for q in queries:
+            q.processAllAvailable()
+    finally:
+        for q in queries:
+            q.stop()
+    serving = read_serving(spark, layout, publish_serving(spark, layout))
+    assert serving.count() == 2
