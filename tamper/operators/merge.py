@@ -22,11 +22,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Sources (or key sets) up to this many serialized bytes are broadcast; the
+# size is measured on the data, not estimated from plan statistics.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def measured_bytes(df: DataFrame, cols: list[str] | None = None) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` as JSON text: an exact, cheap-to-aggregate upper
+    bound of what a broadcast would ship. One partial-aggregated pass."""
+    cols = cols or df.columns
+    r = df.agg(F.count(F.lit(1)).alias("n"),
+               F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in cols])))).alias("b")
+               ).first()
+    return int(r["n"] or 0), int(r["b"] or 0)
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: list[str],
-           insert_cols: list[str], columns: list[str] | None = None) -> DataFrame:
-    """U1. ``source`` must be unique per key (use ``latest_per_key`` or
-    ``fold`` first). Columns outside ``insert_cols`` are NULL on insert."""
+           insert_cols: list[str], columns: list[str] | None = None,
+           broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """One MERGE step. ``source`` must be unique per key (use
+    ``latest_per_key`` or ``fold`` first). Columns outside ``insert_cols`` are
+    NULL on insert.
+
+    When the source's measured size is at most ``broadcast_bytes``, the source
+    is broadcast and the target is only scanned (no shuffle of the target);
+    otherwise both sides shuffle on the key for a full outer join. Pass
+    ``broadcast_bytes=None`` to always use the shuffle form."""
     columns = columns or target.columns
+    if broadcast_bytes is not None:
+        _, size = measured_bytes(source)
+        if size <= broadcast_bytes:
+            return _upsert_broadcast(target, source, key, update_cols, insert_cols, columns)
+    return _upsert_shuffle(target, source, key, update_cols, insert_cols, columns)
+
+
+def _upsert_shuffle(target, source, key, update_cols, insert_cols, columns) -> DataFrame:
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in columns], F.lit(True).alias("t__present"))
     s_cols = [c for c in columns if c in source.columns]
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in s_cols], F.lit(True).alias("s__present"))
@@ -46,6 +76,29 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: list[str
     return j.select(*out)
 
 
+def _upsert_broadcast(target, source, key, update_cols, insert_cols, columns) -> DataFrame:
+    """Small source: target LEFT JOIN broadcast(source) applies the updates;
+    source keys not found in the target (found via a semi-join against the
+    broadcast key set, itself no larger than the source) are inserted."""
+    s_cols = [c for c in columns if c in source.columns]
+    s = F.broadcast(source.select(*[F.col(c).alias(f"s__{c}") for c in s_cols],
+                                  F.lit(True).alias("s__present")))
+    j = target.select(*columns).join(s, F.col(key) == F.col(f"s__{key}"), "left")
+    sp = F.col("s__present").isNotNull()
+    updated = j.select(*[
+        (F.when(sp, F.col(f"s__{c}")).otherwise(F.col(c))
+         if (c in update_cols and c in s_cols and c != key) else F.col(c))
+        .cast(target.schema[c].dataType).alias(c) for c in columns])
+    keys = F.broadcast(source.select(F.col(key).alias("__k")))
+    matched = target.select(F.col(key).alias("__m")).join(keys, F.col("__m") == F.col("__k"),
+                                                          "left_semi")
+    new = source.join(F.broadcast(matched), F.col(key) == F.col("__m"), "left_anti")
+    inserts = new.select(*[
+        (F.col(c) if (c in s_cols and (c in insert_cols or c == key)) else F.lit(None))
+        .cast(target.schema[c].dataType).alias(c) for c in columns])
+    return updated.unionByName(inserts)
+
+
 def fold(batches: DataFrame, key: str, update_cols: list[str], insert_cols: list[str],
          columns: list[str], batch_col: str = "BATCH_ID", first_col: str | None = None,
          bounds: bool = False) -> DataFrame:

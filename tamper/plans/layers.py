@@ -35,11 +35,17 @@ def table_columns(df: DataFrame, entity: str) -> DataFrame:
     return df.select(*ENTITIES[entity]["columns"])
 
 
-def merge_into(entity: str, target: DataFrame, source: DataFrame) -> DataFrame:
-    """One MERGE of ``source`` (unique per key) into ``target``."""
+def merge_into(entity: str, target: DataFrame, source: DataFrame,
+               broadcast_bytes: int | None = None) -> DataFrame:
+    """One MERGE of ``source`` (unique per key) into ``target``.
+
+    The batch chains below merge whole batches into whole tables, so they use
+    the shuffle form by default: a measured broadcast check would have to
+    evaluate each (lazily chained) source once more. Callers holding a small,
+    materialised source pass ``broadcast_bytes`` to allow the broadcast form."""
     e = ENTITIES[entity]
     return upsert(table_columns(target, entity), table_columns(source, entity), e["key"],
-                  e["update"], e["insert"], e["columns"])
+                  e["update"], e["insert"], e["columns"], broadcast_bytes=broadcast_bytes)
 
 
 def fold_batches(entity: str, batches: DataFrame, batch_col: str = BATCH_COLUMN) -> DataFrame:

@@ -36,10 +36,26 @@ def test_upsert_updates_only_update_columns_and_null_overwrites(spark):
                                     ("b", "Keep", "Paid", dt.date(2025, 1, 1), 0)], SCHEMA)
     source = spark.createDataFrame([("a", "New", "Returned", None, 1),
                                     ("c", "Ins", "Paid", dt.date(2025, 2, 1), 1)], SCHEMA)
-    out = upsert(target.select(COLS), source.select(COLS), "K", UPDATE, COLS)
-    assert rows(out) == [("a", "New", "Delivered", None),  # STATUS keeps first-seen value
-                         ("b", "Keep", "Paid", dt.date(2025, 1, 1)),
-                         ("c", "Ins", "Paid", dt.date(2025, 2, 1))]
+    for limit in (None, 1 << 30):
+        out = upsert(target.select(COLS), source.select(COLS), "K", UPDATE, COLS,
+                     broadcast_bytes=limit)
+        assert rows(out) == [("a", "New", "Delivered", None),  # STATUS keeps first-seen value
+                             ("b", "Keep", "Paid", dt.date(2025, 1, 1)),
+                             ("c", "Ins", "Paid", dt.date(2025, 2, 1))]
+
+
+def test_upsert_small_source_does_not_shuffle_target(spark):
+    target = spark.range(100000).select(F.col("id").cast("string").alias("K"),
+                                        F.lit("x").alias("ITEM"), F.lit("s").alias("STATUS"),
+                                        F.lit(None).cast("date").alias("D"))
+    source = spark.createDataFrame([("5", "y", "t", None), ("new", "z", "u", None)],
+                                   "K string, ITEM string, STATUS string, D date")
+    out = upsert(target, source, "K", UPDATE, COLS)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert out.count() == 100001
+    assert {r.K: r.ITEM for r in out.where(F.col("K").isin("5", "new")).collect()} == \
+        {"5": "y", "new": "z"}
 
 
 batch_rows = st.lists(
@@ -60,13 +76,14 @@ def test_fold_equals_sequential_upsert(spark, batches):
             seen[r[0]] = r
         clean.append([(*r, b) for r in seen.values()])
     schema = "K string, ITEM string, STATUS string, D date, BATCH_ID long"
-    state = spark.createDataFrame([], schema).select(COLS)
-    for b in clean:
-        src = spark.createDataFrame(b, schema).select(COLS)
-        state = upsert(state, src, "K", UPDATE, COLS)
     flat = [r for b in clean for r in b]
     folded = fold(spark.createDataFrame(flat, schema), "K", UPDATE, COLS, COLS)
-    assert rows(folded) == rows(state)
+    for limit in (None, 1 << 30):  # shuffle form, broadcast form
+        state = spark.createDataFrame([], schema).select(COLS)
+        for b in clean:
+            src = spark.createDataFrame(b, schema).select(COLS)
+            state = upsert(state, src, "K", UPDATE, COLS, broadcast_bytes=limit)
+        assert rows(folded) == rows(state)
 
 
 def test_fold_replay_is_idempotent(spark):
