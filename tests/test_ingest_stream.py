@@ -189,3 +189,17 @@ def test_replay_after_crash_between_write_and_commit(spark, scratch):
     run_pipeline(spark, layout, AS_OF, version=1, with_ingest=True)
     after = sorted(map(tuple, layer_state(spark, layout, "gold").collect()))
     assert [r for r in after if r[0] != "t-3"] == expected
+
+
+def test_load_raw_matches_columns_by_name(spark, scratch):
+    # a staged file with a missing table column, an extra column and
+    # lower-precision types: loading by name keeps the table schema
+    df = spark.createDataFrame([("r-1", "2025-03-01", "PARIS_FR", 3.5, "junk")],
+                               "RECORD_ID string, REPORTING_MONTH string, WAREHOUSE_ID string, "
+                               "AVG_BATCH_SIZE_KG double, EXTRA string")
+    df = df.withColumn("REPORTING_MONTH", F.to_date("REPORTING_MONTH")) \
+           .withColumn("AVG_BATCH_SIZE_KG", F.col("AVG_BATCH_SIZE_KG").cast("decimal(10,2)"))
+    ingest.write_batch(df, f"{scratch}/raw_e", 7)
+    got = ingest.load_raw(spark, f"{scratch}/raw_e", "emissions").first()
+    assert got.RECORD_ID == "r-1" and got.WAREHOUSE_NAME is None and got.BATCH_ID == 7
+    assert "EXTRA" not in got.asDict() and str(got.AVG_BATCH_SIZE_KG) == "3.50"
