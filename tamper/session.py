@@ -39,8 +39,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def apply_session_defaults(spark: SparkSession) -> None:
     """Runtime-settable parts of SESSION_DEFAULTS, for sessions built elsewhere."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.sources.partitionOverwriteMode"):
+    # Writers pass partitionOverwriteMode per write; only settings that change
+    # query results (time zone) or plans (AQE) are applied to a caller's session.
+    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
         try:
             spark.conf.set(k, SESSION_DEFAULTS[k])
         except Exception:  # pragma: no cover - immutable on some deployments
