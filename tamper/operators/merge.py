@@ -49,13 +49,26 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: list[str
     otherwise both sides shuffle on the key for a full outer join. Pass
     ``broadcast_bytes=None`` to always use the shuffle form."""
     columns = columns or target.columns
-    if broadcast_bytes is not None:
-        _, size = measured_bytes(source)
-        if size <= broadcast_bytes:
-            return _upsert_broadcast(target, source, key, update_cols, insert_cols, columns)
+    if broadcast_bytes is not None and fits_broadcast(source, broadcast_bytes):
+        return _upsert_broadcast(target, source, key, update_cols, insert_cols, columns)
     return _upsert_shuffle(target, source, key, update_cols, insert_cols, columns)
 
 
+# No serialized row is smaller than this, so a frame with more rows than
+# ``limit // MIN_ROW_BYTES`` cannot fit and need not be measured.
+MIN_ROW_BYTES = 16
+
+
+def fits_broadcast(df: DataFrame, limit: int) -> bool:
+    """Proof that ``df`` serializes to at most ``limit`` bytes. A bounded row
+    probe (each task stops after the cap) rejects large frames before the
+    exact, full measurement runs."""
+    cap = max(1, limit // MIN_ROW_BYTES)
+    if df.limit(cap + 1).count() > cap:
+        return False
+    return measured_bytes(df)[1] <= limit
+
+
 def _upsert_shuffle(target, source, key, update_cols, insert_cols, columns) -> DataFrame:
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in columns], F.lit(True).alias("t__present"))
     s_cols = [c for c in columns if c in source.columns]

@@ -638,3 +638,4 @@ FROM orders_landing""")
 # ------------------------------------------------------------------ ingestion / streaming
 SQL["ingest_json"] = with_orders(f"SELECT {', '.join(ORDER_COLS)} FROM orders_landing")
 SQL["stream_pipeline"] = SQL["upsert_orders"]
+SQL["stream_pipeline_emissions"] = SQL["upsert_emissions"]

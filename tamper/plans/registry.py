@@ -130,28 +130,38 @@ def _merge(fn, entity):
     return q
 
 
-def stream_pipeline(spark, sf_dir):
-    """T-1..T-6 end to end: the landed orders arrive as two RAW batches; after
+def _stream(entity: str, spark, sf_dir):
+    """T-1..T-6 end to end: the landed rows arrive as two RAW batches; after
     each, the SILVER and GOLD streaming hops drain (availableNow) and a serving
     snapshot is published. Returns the last snapshot."""
     from tamper.session import scratch_path
     from tamper.sources.ingest import write_batch
     from tamper.streaming.pipeline import Layout, run_pipeline
 
-    layout = Layout(scratch_path(spark, "stream_pipeline"), "orders")
+    layout = Layout(scratch_path(spark, f"stream_{entity}"), entity)
     # Build the landed rows once (one join job), partitioned by batch; each
     # arrival then copies one pruned partition into the RAW log.
     staging = layout.path("staging")
-    raw_orders(spark, sf_dir).write.partitionBy(BATCH_COLUMN).parquet(staging)
+    landed = raw_orders(spark, sf_dir) if entity == "orders" else raw_emissions(spark, sf_dir)
+    landed.write.partitionBy(BATCH_COLUMN).parquet(staging)
     landed = spark.read.parquet(staging)
+    as_of = TD.ORDERS_AS_OF if entity == "orders" else None
     out = None
     for b in (0, 1):
         write_batch(landed.where(F.col(BATCH_COLUMN) == b).drop(BATCH_COLUMN),
                     layout.path("raw"), b)
-        out = run_pipeline(spark, layout, TD.ORDERS_AS_OF, version=b)
+        out = run_pipeline(spark, layout, as_of, version=b)
     return out
 
 
+def stream_pipeline(spark, sf_dir):
+    return _stream("orders", spark, sf_dir)
+
+
+def stream_pipeline_emissions(spark, sf_dir):
+    return _stream("emissions", spark, sf_dir)
+
+
 def ingest_json(spark, sf_dir):
     """S1/S3/S5/S12 + C0: land the orders as JSON lines, read them back with
     the landing schema, keep the rows that pass the checks."""
@@ -229,4 +239,5 @@ QUERIES: dict[str, Query] = {
     # ingestion and streaming
     "ingest_json": ingest_json,
     "stream_pipeline": stream_pipeline,
+    "stream_pipeline_emissions": stream_pipeline_emissions,
 }
