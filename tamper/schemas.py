@@ -107,9 +107,10 @@ UPDATE_COLUMNS = {"orders": ORDER_UPDATE_COLUMNS, "emissions": EMISSION_UPDATE_C
 INSERT_COLUMNS = {"orders": ORDER_INSERT_COLUMNS, "emissions": EMISSION_INSERT_COLUMNS}
 
 
-def conform(df, schema: T.StructType):
+def conform(df, schema: T.StructType, extra: list[str] | tuple[str, ...] = ()):
     """Select ``schema``'s columns by name and cast them; missing ones are NULL,
-    extra ones are dropped (the raw load matches columns by name)."""
+    other columns are dropped (the raw load matches columns by name) except
+    those named in ``extra``, which are kept as they are."""
     from pyspark.sql import functions as F
 
     present = set(df.columns)
@@ -119,4 +120,4 @@ def conform(df, schema: T.StructType):
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *[c for c in extra if c in present])

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamper.functions import enrich
-from tamper.schemas import BATCH_COLUMN, EMISSION_SCHEMA, ORDER_SCHEMA, SEQ_COLUMNS
+from tamper.functions.time import first_of_month
+from tamper.schemas import BATCH_COLUMN, EMISSION_SCHEMA, ORDER_SCHEMA, SEQ_COLUMNS, conform
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -134,7 +135,7 @@ def orders_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = enrich.with_payment_status(df)
     df = enrich.with_carbon_score(df, regions=country_regions(spark, sf_dir))
     df = df.withColumn(BATCH_COLUMN, F.pmod(F.month("INGEST_TS"), F.lit(2)))
-    return conform_with_seq(df, ORDER_SCHEMA)
+    return conform(df, ORDER_SCHEMA, SEQ_COLUMNS + [BATCH_COLUMN])
 
 
 def emissions_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +156,7 @@ def emissions_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = j.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("RECORD_ID"),
-        F.trunc(F.to_date("l_shipdate"), "MM").alias("REPORTING_MONTH"),
+        first_of_month("l_shipdate").alias("REPORTING_MONTH"),
         F.concat(F.lit("W"), F.pmod(F.col("l_suppkey"), F.lit(4)).cast("string")).alias("WAREHOUSE_ID"),
         F.col("n_name").alias("WAREHOUSE_NAME"),
         F.col("n_name").alias("ORIGIN_COUNTRY"),
@@ -170,20 +171,7 @@ def emissions_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("SEQ2"),
         F.pmod(F.month("l_shipdate"), F.lit(2)).alias(BATCH_COLUMN),
     )
-    return conform_with_seq(df, EMISSION_SCHEMA)
-
-
-def conform_with_seq(df: DataFrame, schema) -> DataFrame:
-    """The table columns of ``schema`` (cast, missing ones NULL) plus the
-    ordering and batch columns."""
-    extra = [c for c in SEQ_COLUMNS + [BATCH_COLUMN] if c in df.columns]
-    return df.select(*[_cast(df, f) for f in schema.fields], *extra)
-
-
-def _cast(df: DataFrame, f):
-    if f.name in df.columns:
-        return F.col(f.name).cast(f.dataType).alias(f.name)
-    return F.lit(None).cast(f.dataType).alias(f.name)
+    return conform(df, EMISSION_SCHEMA, SEQ_COLUMNS + [BATCH_COLUMN])
 
 
 # ---------------------------------------------------------------- run logs
