@@ -83,6 +83,10 @@ def test_streaming_pipeline_merges_partial_columns(spark, scratch):
     runs = spark.read.parquet(layout.runs)
     summary = monitoring.task_summary(runs).first()
     assert summary.total_runs >= 6 and summary.failed == 0
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(minutes=1)
+    recent = monitoring.task_history(runs, 1, now)
+    assert recent.count() == summary.total_runs
+    assert recent.where("DURATION_SEC IS NULL").count() == 0
 
 
 def test_one_batch_vs_many_same_update_columns_and_keys(spark, scratch):
@@ -203,3 +207,10 @@ def test_load_raw_matches_columns_by_name(spark, scratch):
     got = ingest.load_raw(spark, f"{scratch}/raw_e", "emissions").first()
     assert got.RECORD_ID == "r-1" and got.WAREHOUSE_NAME is None and got.BATCH_ID == 7
     assert "EXTRA" not in got.asDict() and str(got.AVG_BATCH_SIZE_KG) == "3.50"
+
+
+def test_write_batch_caps_records_per_file(spark, scratch):
+    df = spark.range(5).coalesce(1).selectExpr("cast(id as string) as k")
+    ingest.write_batch(df, f"{scratch}/capped", 3, max_records_per_file=2)
+    files = [f for f in os.listdir(f"{scratch}/capped/BATCH_ID=3") if f.endswith(".parquet")]
+    assert len(files) == 3 and spark.read.parquet(f"{scratch}/capped").count() == 5

@@ -95,3 +95,11 @@ def test_task_duration_labels(spark):
                                  "NAME string, STATE string, DURATION_SEC long")
     r = monitoring.task_duration_box(runs).first()
     assert r.TASK_LABEL == name[:27] + "..." and len(r.TASK_LABEL) == 30
+
+
+def test_box_stats_approx_close_to_exact(spark):
+    df = spark.range(20000).selectExpr("'t' as L", "'S' as S", "cast(id % 997 as double) as d")
+    exact = box_stats(df, ["L", "S"], "d").first()
+    approx = box_stats(df, ["L", "S"], "d", exact=False).first()
+    for f in ("q1", "median", "q3"):
+        assert abs(getattr(exact, f) - getattr(approx, f)) <= 997 * 0.01
