@@ -10,6 +10,7 @@ in every engine that does decimal arithmetic.
 
 from __future__ import annotations
 
+import functools
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,13 @@ def _col(c) -> Column:
 
 
 def literal_map(pairs, value_type: str | None = None) -> Column:
+    """A ``map`` literal of fixed pairs (built once per argument set: each
+    literal is a call into the JVM)."""
+    return _literal_map(tuple((k, v) for k, v in pairs), value_type)
+
+
+@functools.lru_cache(maxsize=64)
+def _literal_map(pairs: tuple, value_type: str | None) -> Column:
     args = []
     for k, v in pairs:
         args.append(F.lit(k))

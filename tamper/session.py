@@ -43,7 +43,8 @@ def apply_session_defaults(spark: SparkSession) -> None:
     # query results (time zone) or plans (AQE) are applied to a caller's session.
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
         try:
-            spark.conf.set(k, SESSION_DEFAULTS[k])
+            if spark.conf.get(k, None) != SESSION_DEFAULTS[k]:
+                spark.conf.set(k, SESSION_DEFAULTS[k])
         except Exception:  # pragma: no cover - immutable on some deployments
             pass
 

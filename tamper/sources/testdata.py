@@ -43,8 +43,19 @@ WAREHOUSE_NAMES = ["PIPELINE_WH", "ANALYTICS_WH", "ADHOC_WH"]
 DATABASE_NAME = "COFFEE_DWH"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. The DataFrame is reused per session and path: each
+    ``read.parquet`` lists files and reads footers on the driver, and the
+    test tables are read-only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _pick(names: list[str], idx) -> F.Column:
