@@ -489,6 +489,7 @@ b0 AS ({_batch_orders(0)}),
 b1 AS ({_batch_orders(1)})
 """ + _merge_select("TXID", ORDER_COLS, ORDER_UPDATE))
 SQL["fold_orders"] = SQL["upsert_orders"]
+SQL["rebuild_orders"] = SQL["upsert_orders"]
 SQL["gold_chain"] = SQL["upsert_orders"]
 SQL["serving_chain"] = SQL["upsert_orders"]
 SQL["upsert_emissions"] = (EMISSIONS_CTE + f""",

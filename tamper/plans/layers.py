@@ -86,16 +86,21 @@ def upsert_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str =
 
 def fold_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN
                      ) -> DataFrame:
-    """Same state as ``upsert_two_batches``, as one aggregation over the raw
-    rows of all batches (W1 per batch + U2, one shuffle)."""
-    return rebuild(entity, raw, as_of, batch_col)
+    """Same state as ``upsert_two_batches`` as one aggregation (U2) over the
+    per-batch winners that a layer log stores."""
+    return fold_batches(entity, batch_winners(entity, raw, as_of, batch_col), batch_col)
 
 
 def rebuild(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN,
             order_by: list[str] | None = None) -> DataFrame:
     """A layer's state rebuilt from its whole RAW log: rows are cleaned (a
     row-wise step), then W1 and the MERGE sequence collapse into one
-    ``fold_latest`` aggregation keyed by the entity key."""
+    ``fold_latest`` aggregation keyed by the entity key.
+
+    Compared with ``fold_two_batches`` (window, then fold: two shuffles) this
+    shuffles once and shrinks hot keys map-side; it spends more CPU per row on
+    struct-ordered ``max_by`` (measured ~15 % slower at sf0.1 on one machine,
+    where shuffles are cheap)."""
     from tamper.operators.clean import clean_emissions, clean_orders
     from tamper.operators.merge import fold_latest
     from tamper.schemas import SEQ_COLUMNS

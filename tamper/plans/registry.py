@@ -221,6 +221,7 @@ QUERIES: dict[str, Query] = {
     # merge core
     "upsert_orders": _merge(layers.upsert_two_batches, "orders"),
     "fold_orders": _merge(layers.fold_two_batches, "orders"),
+    "rebuild_orders": _merge(layers.rebuild, "orders"),
     "gold_chain": _merge(layers.gold_chain, "orders"),
     "serving_chain": _merge(layers.serving_chain, "orders"),
     "upsert_emissions": _merge(layers.upsert_two_batches, "emissions"),
