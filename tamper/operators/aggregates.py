@@ -58,29 +58,47 @@ def top_k(df: DataFrame, key: str, value: str, n: int = 10) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between min and max of the non-NULL values; the last
-    bin is closed. When min = max the values land in the middle bin of
-    ``[v - 0.5, v + 0.5]``. Every bin is returned, empty ones with 0.
-
-    min and max come from one scalar subquery (one extra partial-aggregated scan);
-    the bin index is plain arithmetic, and the count is a partial aggregation
-    on at most ``bins`` keys."""
+    bin is closed. When min = max the range is ``[v - 0.5, v + 0.5]``. Every
+    bin is returned, empty ones with 0.
+
+    Bin assignment is the usual equal-width histogram rule, bit for bit:
+    ``floor((v - lo) / (hi - lo) * bins)`` (the maximum folded into the last
+    bin), then moved down one bin if ``v`` is below that bin's lower edge and
+    up one if it is at or above the next edge, with edges ``i * step + lo`` and
+    the last edge exactly ``hi``. Float rounding at edges therefore resolves
+    the same way as in array libraries.
+
+    The two bounds are fetched first (one partial-aggregated job that returns
+    two numbers, as a scalar subquery would); the binning is then literal
+    arithmetic inside codegen, and the count a partial aggregation on at most
+    ``bins`` keys."""
     spark = df.sparkSession
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    # One scalar subquery (a single partial-aggregated scan) for both bounds.
-    mm = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    lo, hi = mm.getField("lo"), mm.getField("hi")
-    first = F.when(lo == hi, lo - 0.5).otherwise(lo)
-    last = F.when(lo == hi, hi + 0.5).otherwise(hi)
-    idx = F.when(lo == hi, F.lit(bins // 2).cast("long")).otherwise(
-        F.least(F.floor((F.col("v") - lo) / (hi - lo) * float(bins)), F.lit(bins - 1).cast("long")))
-    counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    r = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     # ``bins`` rows by construction: a bounded broadcast.
     grid = F.broadcast(spark.range(bins).withColumnRenamed("id", "bin"))
-    width = (last - first) / float(bins)
+    if r["lo"] is None:
+        return grid.select("bin", F.lit(None).cast("double").alias("bin_start"),
+                           F.lit(None).cast("double").alias("bin_end"),
+                           F.lit(0).cast("long").alias("n_rows"))
+    lo, hi = float(r["lo"]), float(r["hi"])
+    first, last = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+    step = (last - first) / float(bins)
+
+    def edge(i):
+        return F.when(i >= bins, F.lit(last)).otherwise(i.cast("double") * F.lit(step)
+                                                        + F.lit(first))
+
+    v = F.col("v")
+    raw = F.floor((v - F.lit(first)) / F.lit(last - first) * float(bins))
+    i0 = F.when(raw >= bins, F.lit(bins - 1).cast("long")).otherwise(raw)
+    i1 = F.when(v < edge(i0), i0 - 1).otherwise(i0)
+    i2 = F.when((v >= edge(i1 + 1)) & (i1 != bins - 1), i1 + 1).otherwise(i1)
+    counts = vals.select(i2.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     return (grid.join(counts, "bin", "left")
             .select(F.col("bin"),
-                    (first + F.col("bin").cast("double") * width).alias("bin_start"),
-                    (first + (F.col("bin") + 1).cast("double") * width).alias("bin_end"),
+                    edge(F.col("bin")).alias("bin_start"),
+                    edge(F.col("bin") + 1).alias("bin_end"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n_rows")))
 
 

@@ -214,21 +214,25 @@ def with_emissions(body: str) -> str:
 
 
 def _hist(src: str, col: str, bins: int = 20) -> str:
+    fb = float(bins)
+    e = lambda i: f"(CASE WHEN ({i}) >= {bins} THEN e.last ELSE CAST({i} AS DOUBLE) * e.step + e.first END)"
     return f"""
 , vals AS (SELECT CAST({col} AS DOUBLE) AS v FROM {src} WHERE {col} IS NOT NULL),
 mm AS (SELECT min(v) AS lo, max(v) AS hi FROM vals),
-edges AS (SELECT lo, hi, CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS first,
-                 CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS last FROM mm),
-binned AS (
-  SELECT CASE WHEN (SELECT lo FROM mm) = (SELECT hi FROM mm) THEN CAST({bins // 2} AS BIGINT)
-              ELSE least(CAST(floor((v - (SELECT lo FROM mm)) / ((SELECT hi FROM mm) - (SELECT lo FROM mm)) * {float(bins)}) AS BIGINT), {bins - 1})
-         END AS bin
-  FROM vals),
-counts AS (SELECT bin, count(*) AS n FROM binned GROUP BY bin),
+edges AS (SELECT first, last, (last - first) / {fb} AS step FROM (
+  SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS first,
+         CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS last FROM mm)),
+b0 AS (
+  SELECT v, CASE WHEN CAST(floor((v - e.first) / (e.last - e.first) * {fb}) AS BIGINT) >= {bins}
+                 THEN {bins - 1} ELSE CAST(floor((v - e.first) / (e.last - e.first) * {fb}) AS BIGINT) END AS i0
+  FROM vals CROSS JOIN edges e),
+b1 AS (SELECT b0.v, CASE WHEN b0.v < {e('b0.i0')} THEN b0.i0 - 1 ELSE b0.i0 END AS i1
+       FROM b0 CROSS JOIN edges e),
+b2 AS (SELECT CASE WHEN b1.v >= {e('b1.i1 + 1')} AND b1.i1 <> {bins - 1} THEN b1.i1 + 1 ELSE b1.i1 END AS bin
+       FROM b1 CROSS JOIN edges e),
+counts AS (SELECT bin, count(*) AS n FROM b2 GROUP BY bin),
 grid AS (SELECT range AS bin FROM range({bins}))
-SELECT g.bin AS bin,
-  round(e.first + CAST(g.bin AS DOUBLE) * ((e.last - e.first) / {float(bins)}), 6) AS bin_start,
-  round(e.first + CAST(g.bin + 1 AS DOUBLE) * ((e.last - e.first) / {float(bins)}), 6) AS bin_end,
+SELECT g.bin AS bin, round({e('g.bin')}, 6) AS bin_start, round({e('g.bin + 1')}, 6) AS bin_end,
   CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows
 FROM grid g CROSS JOIN edges e LEFT JOIN counts c ON g.bin = c.bin"""
 

@@ -103,3 +103,14 @@ def test_box_stats_approx_close_to_exact(spark):
     approx = box_stats(df, ["L", "S"], "d", exact=False).first()
     for f in ("q1", "median", "q3"):
         assert abs(getattr(exact, f) - getattr(approx, f)) <= 997 * 0.01
+
+
+def test_histogram_matches_numpy_on_edge_values(spark):
+    # decimal prices that sit exactly on bin edges: rounding must resolve as
+    # the reference's array histogram does
+    vals = [1.0 + i * 0.01 for i in range(201)] + [1.3, 1.7, 2.9, 3.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.n_rows for r in histogram(df, "v").orderBy("bin").collect()]
+    assert got == list(np.histogram(vals, bins=20)[0])
+    edges = [r.bin_start for r in histogram(df, "v").orderBy("bin").collect()]
+    assert edges == list(np.histogram(vals, bins=20)[1][:-1])
