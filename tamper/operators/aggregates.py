@@ -9,7 +9,7 @@ dashboards' frame operations do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -154,4 +154,4 @@ def round_doubles(df: DataFrame, places: int = 6, exclude: tuple[str, ...] = ())
 
 
 __all__ = ["money_sum", "exact_mean", "count_by", "sum_by", "with_share", "share_by", "top_k",
-           "histogram", "box_stats", "round_doubles", "Window"]
+           "histogram", "box_stats", "round_doubles"]
