@@ -281,6 +281,12 @@ SQL["payment_status"] = with_orders(_share_by("silver_orders", "PAYMENT_STATUS")
 SQL["shipping_methods"] = with_orders(_count_by("silver_orders", "SHIPPING_METHOD"))
 SQL["delay_histogram"] = with_orders(_hist("silver_orders", "DELIVERY_DELAY_DAYS"))
 SQL["delivery_status"] = with_orders(_count_by("silver_orders", "DELIVERY_STATUS"))
+_CATS = ["BAG_SIZE", "ORIGIN_COUNTRY", "REGION", "PAYMENT_METHOD", "PAYMENT_STATUS",
+         "SHIPPING_METHOD", "DELIVERY_STATUS"]
+SQL["category_breakdown"] = with_orders("\nUNION ALL ".join(
+    f"SELECT {q(c)} AS dimension, {c} AS value, count(*) AS n_orders, "
+    f"coalesce(CAST(sum(TOTAL_PRICE) AS DOUBLE), 0.0) AS sales "
+    f"FROM silver_orders WHERE {c} IS NOT NULL GROUP BY {c}" for c in _CATS))
 
 # ------------------------------------------------------------------ emissions
 E = "ESTIMATED_EMISSIONS_KGCO2E"

@@ -192,6 +192,7 @@ QUERIES: dict[str, Query] = {
     "shipping_methods": _on_orders(sales.shipping_methods),
     "delay_histogram": _on_orders(sales.delay_histogram),
     "delivery_status": _on_orders(sales.delivery_status),
+    "category_breakdown": _on_orders(sales.category_breakdown),
     # emissions dashboard
     "emissions_kpis": _on_emissions(emissions.emissions_kpis),
     "emissions_monthly": _on_emissions(emissions.emissions_monthly),
