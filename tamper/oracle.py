@@ -313,6 +313,11 @@ SQL["emissions_by_distance"] = with_emissions(f"""
 , c AS ({_sum_by("silver_emissions", "DISTANCE_CLASS", E, "emissions")})
 SELECT DISTANCE_CLASS, round(emissions, 6) AS emissions,
   round(emissions * 100.0 / (SELECT sum(emissions) FROM c), 6) AS share_pct FROM c""")
+SQL["emissions_breakdown"] = with_emissions("\nUNION ALL ".join(
+    f"SELECT {q(c)} AS dimension, CAST({c} AS VARCHAR) AS value, "
+    f"coalesce(CAST(sum({E}) AS DOUBLE), 0.0) AS emissions "
+    f"FROM silver_emissions WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in ["REPORTING_MONTH", "WAREHOUSE_NAME", "ORIGIN_COUNTRY", "DISTANCE_CLASS"]))
 _E7_WH = ", ".join(q(f"NATION_{i}") for i in range(0, 25, 2))
 SQL["emissions_filtered"] = with_emissions(f"""
 SELECT * FROM silver_emissions

@@ -63,3 +63,21 @@ def emissions_by_origin(df: DataFrame) -> DataFrame:
 def emissions_by_distance(df: DataFrame) -> DataFrame:
     """Total and share per distance class."""
     return round_doubles(with_share(sum_by(df, "DISTANCE_CLASS", E, "emissions"), "emissions"))
+
+
+# Category columns of the emission charts.
+CATEGORY_COLUMNS = ["REPORTING_MONTH", "WAREHOUSE_NAME", "ORIGIN_COUNTRY", "DISTANCE_CLASS"]
+
+
+def emissions_breakdown(df: DataFrame, dims: list[str] | None = None) -> DataFrame:
+    """Total emissions per value of every chart dimension in ONE pass (GROUPING
+    SETS): one scan instead of one per chart. Long format (dimension, value as
+    text, emissions); NULL values dropped per dimension."""
+    dims = dims or CATEGORY_COLUMNS
+    g = (df.select(*dims, E)
+         .groupingSets([[d] for d in dims], *dims)
+         .agg(money_sum(E).alias("emissions"), *[F.grouping(d).alias(f"__g_{d}") for d in dims]))
+    dim = F.coalesce(*[F.when(F.col(f"__g_{d}") == 0, F.lit(d)) for d in dims])
+    val = F.coalesce(*[F.when(F.col(f"__g_{d}") == 0, F.col(d).cast("string")) for d in dims])
+    return (g.select(dim.alias("dimension"), val.alias("value"), "emissions")
+             .where(F.col("value").isNotNull()))

@@ -201,6 +201,7 @@ QUERIES: dict[str, Query] = {
     "emissions_by_origin": _on_emissions(emissions.emissions_by_origin),
     "emissions_by_distance": _on_emissions(emissions.emissions_by_distance),
     "emissions_filtered": emissions_filtered,
+    "emissions_breakdown": _on_emissions(emissions.emissions_breakdown),
     # monitoring
     "freshness": freshness,
     "freshness_all": freshness_all,
