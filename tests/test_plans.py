@@ -53,3 +53,11 @@ def test_no_cross_joins(spark, name):
         pytest.skip("writes files; covered by the streaming tests")
     p = plan(spark, name)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_merge_aggregations_combine_map_side(spark):
+    # a hot key shrinks to one partial row per map task before the shuffle
+    for name in ("rebuild_orders", "fold_orders"):
+        p = plan(spark, name)
+        ex = re.search(r"Exchange hashpartitioning\(TXID", p)
+        assert "partial_max_by" in p[ex.start():], name

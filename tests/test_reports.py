@@ -114,3 +114,19 @@ def test_histogram_matches_numpy_on_edge_values(spark):
     assert got == list(np.histogram(vals, bins=20)[0])
     edges = [r.bin_start for r in histogram(df, "v").orderBy("bin").collect()]
     assert edges == list(np.histogram(vals, bins=20)[1][:-1])
+
+
+def test_category_breakdown_equals_per_chart_reports(spark):
+    from tamper.plans import registry as R
+
+    orders = R.serving_orders(spark, "/root/testdata/sf0.001")
+    b = sales.category_breakdown(orders)
+    for col, report in (("BAG_SIZE", sales.sales_by_bag), ("REGION", sales.orders_by_region),
+                        ("PAYMENT_METHOD", sales.payment_methods),
+                        ("DELIVERY_STATUS", sales.delivery_status)):
+        one = {r.value: (r.n_orders, r.sales) for r in b.where(f"dimension = '{col}'").collect()}
+        rep = report(orders).collect()
+        if "sales" in rep[0].asDict():
+            assert {r[col]: r.sales for r in rep} == {k: v[1] for k, v in one.items()}
+        else:
+            assert {r[col]: r.n_orders for r in rep} == {k: v[0] for k, v in one.items()}
