@@ -214,3 +214,18 @@ def test_write_batch_caps_records_per_file(spark, scratch):
     ingest.write_batch(df, f"{scratch}/capped", 3, max_records_per_file=2)
     files = [f for f in os.listdir(f"{scratch}/capped/BATCH_ID=3") if f.endswith(".parquet")]
     assert len(files) == 3 and spark.read.parquet(f"{scratch}/capped").count() == 5
+
+
+def test_load_errors_from_quarantine(spark, scratch):
+    from tamper.streaming.pipeline import load_history
+
+    layout = Layout(f"{scratch}/le", "orders")
+    write_lines(layout.path("landing"), "good.jsonl", [order("t-1")])
+    write_lines(layout.path("landing"), "bad.jsonl",
+                [order("t-2"), "{oops", json.dumps({"txid": "t-9"})], tick=1)
+    run_pipeline(spark, layout, AS_OF, version=0, with_ingest=True)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(minutes=1)
+    errs = monitoring.load_errors(load_history(spark, layout), 1, now).collect()
+    assert len(errs) == 1 and errs[0].FILE_NAME.endswith("bad.jsonl")
+    assert errs[0].ROW_COUNT == 2 and errs[0].TABLE_FQN == "RAW_ORDERS"
+    assert errs[0].FIRST_ERROR_MESSAGE.startswith("malformed record")
