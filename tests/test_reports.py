@@ -130,3 +130,11 @@ def test_category_breakdown_equals_per_chart_reports(spark):
             assert {r[col]: r.sales for r in rep} == {k: v[1] for k, v in one.items()}
         else:
             assert {r[col]: r.n_orders for r in rep} == {k: v[0] for k, v in one.items()}
+
+
+def test_dq_orders_approx_distinct(spark):
+    df = spark.range(50000).selectExpr("cast(id % 20000 as string) as TXID", "'c' as CUSTOMER_ID",
+                                       "cast(null as date) as PURCHASE_TIME")
+    exact = quality.dq_orders(df, dt.date(2025, 1, 1)).first().N_DISTINCT_TXID
+    approx = quality.dq_orders(df, dt.date(2025, 1, 1), approx=True).first().N_DISTINCT_TXID
+    assert exact == 20000 and abs(approx - exact) <= 0.05 * exact
