@@ -533,6 +533,14 @@ SELECT c_custkey, c_name,
   substr(h, 21, 12) END AS CUSTOMER_UUID
 FROM (SELECT c_custkey, c_name, {_UUID_H} AS h FROM customer)"""
 
+SQL["product_ids"] = f"""
+SELECT p_partkey, p_name,
+  CASE WHEN p_name IS NULL THEN NULL ELSE
+  substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
+  translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' ||
+  substr(h, 21, 12) END AS PRODUCT_UUID
+FROM (SELECT p_partkey, p_name, sha1(unhex({q(L.NAMESPACE_DNS_HEX)}) || encode(p_name)) AS h FROM part)"""
+
 _ITEMS = list(L.PRICE_MAP)
 _COFFEE = _in_list([i.lower() for i in L.COFFEE_ITEMS])
 _BASE = ("CASE lower(ITEM) " + " ".join(

@@ -34,6 +34,12 @@ def uuid5_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", "c_name", uuid5_dns("c_name").alias("CUSTOMER_UUID"))
 
 
+def product_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: deterministic product ids from product names."""
+    p = TD.table(spark, sf_dir, "part")
+    return p.select("p_partkey", "p_name", uuid5_dns("p_name").alias("PRODUCT_UUID"))
+
+
 def catalog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items mapped onto the product catalogue: item by part key (every
     other one upper-cased, as lookups must ignore case), bag size by part

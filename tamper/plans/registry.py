@@ -231,6 +231,7 @@ QUERIES: dict[str, Query] = {
     # derived columns and rules
     "initcap_items": enrichment.initcap_items,
     "uuid5_ids": enrichment.uuid5_ids,
+    "product_ids": enrichment.product_ids,
     "price": enrichment.price,
     "carbon_score": enrichment.carbon_score,
     "warehouse_assignment": enrichment.warehouse_assignment,
