@@ -93,3 +93,13 @@ def test_rule_checks(spark):
     assert [r["life"] for r in rows] == [False, False, True]
     assert [r["cert"] for r in rows] == [False, True, True]
     assert [r["age"] for r in rows] == [True, True, True]
+
+
+def test_region_dimension_with_duplicates_never_multiplies_rows(spark):
+    orders = spark.createDataFrame([(1, "NATION_1"), (2, "NATION_2"), (3, None)],
+                                   "k long, COUNTRY string")
+    dim = spark.createDataFrame([("NATION_1", "AMERICA"), ("NATION_1", "ASIA"),
+                                 ("NATION_2", "EUROPE")], "country string, region string")
+    out = enrich.with_region(orders, "COUNTRY", "REGION", regions=dim)
+    assert out.count() == 3
+    assert {r.k: r.REGION for r in out.collect()} == {1: "AMERICA", 2: "EUROPE", 3: None}
