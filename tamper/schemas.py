@@ -96,6 +96,12 @@ EMISSION_JSON_KEYS = {
 }
 EMISSION_REQUIRED_KEYS = list(EMISSION_JSON_KEYS)
 
+# NOT NULL columns of the RAW tables: a landed row that has NULL here after
+# type coercion (e.g. a purchase date that does not parse) is rejected by the
+# load and goes to the quarantine.
+ORDER_NOT_NULL = ["TXID", "PURCHASE_TIME"]
+EMISSION_NOT_NULL = ["RECORD_ID"]
+
 # Columns carried next to the table columns to give "latest" a total order
 # (ingest time, then two tie-breakers), and the batch a row arrived in.
 SEQ_COLUMNS = ["INGEST_TS", "SEQ1", "SEQ2"]

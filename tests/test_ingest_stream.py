@@ -35,15 +35,17 @@ def write_lines(folder, name, lines, tick=0):
 
 def test_json_ingest_quarantine(spark, scratch):
     lines = [order("t-1"), "", "{not json", json.dumps({"txid": "t-2", "item": "x"}),
-             order("t-3", purchase_time="2025-13-01")]
+             order("t-3", purchase_time="2025-13-01"), order("t-4", delivered="2025-13-01")]
     write_lines(f"{scratch}/in", "a.jsonl", lines)
     good, bad = ingest.to_raw(ingest.read_json(spark, f"{scratch}/in", "orders"), "orders")
     g = {r.TXID: r for r in good.collect()}
     # blank line skipped; malformed and missing-required-key rows quarantined;
-    # a row with a bad date loses its required PURCHASE_TIME only after parsing
-    assert set(g) == {"t-1", "t-3"} and bad.count() == 2
+    # a purchase date that does not parse violates PURCHASE_TIME NOT NULL
+    # (quarantined), a bad value in a nullable date column becomes NULL
+    assert set(g) == {"t-1", "t-4"} and bad.count() == 3
     assert g["t-1"].DELIVERED_DATE == dt.date(2025, 3, 9) and g["t-1"].REGION is None
-    assert g["t-3"].PURCHASE_TIME is None
+    assert g["t-4"].DELIVERED_DATE is None and g["t-4"].PURCHASE_TIME == dt.date(2025, 3, 1)
+    assert "t-3" in {r.txid for r in bad.collect()}
 
 
 def test_write_batch_replay_is_idempotent(spark, scratch):
