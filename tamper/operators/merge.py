@@ -49,7 +49,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: list[str
     otherwise both sides shuffle on the key for a full outer join. Pass
     ``broadcast_bytes=None`` to always use the shuffle form."""
     columns = columns or target.columns
-    if broadcast_bytes is not None and fits_broadcast(source, broadcast_bytes):
+    shipped = [key] + [c for c in columns if c in update_cols and c in source.columns and c != key]
+    if broadcast_bytes is not None and fits_broadcast(source.select(*shipped), broadcast_bytes):
         return _upsert_broadcast(target, source, key, update_cols, insert_cols, columns)
     return _upsert_shuffle(target, source, key, update_cols, insert_cols, columns)
 
@@ -90,17 +91,20 @@ def _upsert_shuffle(target, source, key, update_cols, insert_cols, columns) -> D
 
 
 def _upsert_broadcast(target, source, key, update_cols, insert_cols, columns) -> DataFrame:
-    """Small source: target LEFT JOIN broadcast(source) applies the updates;
-    source keys not found in the target (found via a semi-join against the
-    broadcast key set, itself no larger than the source) are inserted."""
+    """Small source: target LEFT JOIN broadcast(source key + update columns)
+    applies the updates; source keys not found in the target (found via a
+    semi-join against the broadcast key set, itself no larger than the source)
+    are inserted from the source directly, so only the key and the update
+    columns are ever broadcast."""
     s_cols = [c for c in columns if c in source.columns]
-    s = F.broadcast(source.select(*[F.col(c).alias(f"s__{c}") for c in s_cols],
+    shipped = [key] + [c for c in s_cols if c in update_cols and c != key]
+    s = F.broadcast(source.select(*[F.col(c).alias(f"s__{c}") for c in shipped],
                                   F.lit(True).alias("s__present")))
     j = target.select(*columns).join(s, F.col(key) == F.col(f"s__{key}"), "left")
     sp = F.col("s__present").isNotNull()
     updated = j.select(*[
         (F.when(sp, F.col(f"s__{c}")).otherwise(F.col(c))
-         if (c in update_cols and c in s_cols and c != key) else F.col(c))
+         if (c in shipped and c != key) else F.col(c))
         .cast(target.schema[c].dataType).alias(c) for c in columns])
     keys = F.broadcast(source.select(F.col(key).alias("__k")))
     matched = target.select(F.col(key).alias("__m")).join(keys, F.col("__m") == F.col("__k"),
