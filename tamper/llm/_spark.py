@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tamper.session import scratch_path
 
 __all__ = ["table", "written", "arrow_batches", "row_bitmap", "bitmap_filter", "components",
-           "md5_key"]
+           "with_copy"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -54,9 +55,19 @@ def bitmap_filter(df: DataFrame, bitmap: DataFrame, index: Column, keep: bool =
     return looked.where(hit if keep else ~hit).select(*[F.col(f"`{n}`") for n in names])
 
 
-def md5_key(text: Column) -> Column:
-    """128-bit identity of a text; null has its own."""
-    return F.coalesce(F.md5(text), F.lit("-"))
+def with_copy(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with ``copy``: 0, or where rows share an id, the ordinal of
+    the row among them by a hash of the text. Ids are usually unique, which one narrow
+    count shows; only rows with a shared id are numbered. Null ids are left at 0."""
+    shared = docs.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("n")).where("n > 1").select("doc_id")
+    if shared.isEmpty():
+        return docs.withColumn("copy", F.lit(0).cast("long"))
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    some = docs.join(shared, "doc_id", "left_semi").withColumn(
+        "copy", (F.row_number().over(order) - 1).cast("long"))
+    return docs.join(shared, "doc_id", "left_anti").withColumn(
+        "copy", F.lit(0).cast("long")).unionByName(some)
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

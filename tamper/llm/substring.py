@@ -14,8 +14,8 @@ into maximal removal intervals, and only documents that may have one are joined
 
 Defined cases: null text has no words and nothing is removed; texts shorter than a window
 keep everything; rows with a null id are neither a source nor removed from (a null id is
-not smaller than another); rows that share an id are the same document and do not repeat
-each other; an empty table gives an empty result; extra columns are ignored. Windows are
+not smaller than another); rows that share an id do not repeat each
+other, each is cut by itself; an empty table gives an empty result; extra columns are ignored. Windows are
 judged on the input, so the order of removal does not matter.
 """
 
@@ -29,13 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamper.llm import _text as X
-from tamper.llm._spark import arrow_batches, bitmap_filter, row_bitmap, table, written
+from tamper.llm._packed import SCHEMA, packed_batch, packed_rows, part_of_ids, run_starts, unpack
+from tamper.llm._spark import arrow_batches, bitmap_filter, row_bitmap, table, with_copy, written
 
 U64 = np.uint64
 WINDOW = 50
 WINDOWS_PER_BUCKET = 1 << 20
 BASES = (U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F))
 BITMAP_BITS = 23
+COPY = 40  # a position's high bits tell apart rows that share an id
 
 
 def _inverse(r: int) -> int:
@@ -70,68 +72,20 @@ def windows(part: pa.RecordBatch, window: int):
     deal = rolling(word_hash, window, BASES[0])[begin]
     same = rolling(word_hash, window, BASES[1])[begin] >> U64(8)
     ids = known.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-    return deal, same, ids[row[begin]], begin - first[row[begin]]
-
-
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of integers as byte planes, high bytes first: sorted or small values leave
-    planes that the shuffle's compression removes."""
-    return b"".join(c.astype(f">u{c.itemsize}").view(np.uint8).reshape(-1, c.itemsize)
-                    .T.tobytes() for c in columns)
-
-
-def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
-    sizes = [np.dtype(k).itemsize for k in kinds]
-    n = len(blob) // sum(sizes) if blob else 0
-    flat, at, out = np.frombuffer(blob, np.uint8), 0, []
-    for k, s in zip(kinds, sizes, strict=True):
-        planes = flat[at:at + n * s].reshape(s, n).T
-        out.append(np.ascontiguousarray(planes).view(f">u{s}")[:, 0].astype(k))
-        at += n * s
-    return out
-
-
-def _runs(sorted_keys: np.ndarray) -> np.ndarray:
-    """Start of each run of equal values."""
-    if not len(sorted_keys):
-        return np.zeros(0, np.int64)
-    return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
+    copy = known.column("copy").to_numpy(zero_copy_only=False).astype(np.int64) << COPY
+    return deal, same, ids[row[begin]], begin - first[row[begin]] + copy[row[begin]]
 
 
 def _later(keys: np.ndarray, ids: np.ndarray):
     """Order by key, and for each entry in that order whether its id is over the least
     id of its key."""
     order = np.argsort(keys, kind="stable")
-    runs = _runs(keys[order])
+    runs = run_starts(keys[order])
     least = np.minimum.reduceat(ids[order], runs) if len(runs) else ids[:0]
     return order, ids[order] > np.repeat(least, np.diff(np.append(runs, len(keys))))
 
 
-def _rows(kind: int, part_of: np.ndarray, planes: list[np.ndarray], count: int):
-    """One row (kind, part, blob) for each part that has entries; entries stay in order."""
-    if not len(part_of):
-        return []
-    order = np.argsort(part_of.astype(np.uint16) if count <= 1 << 16 else part_of, kind="stable")
-    cuts = _runs(part_of[order])
-    ends = np.append(cuts[1:], len(order))
-    return [(kind, int(part_of[order[a]]), pack(*(p[order[a:b]] for p in planes)))
-            for a, b in zip(cuts, ends, strict=True)]
-
-
-def _batch(rows) -> pa.RecordBatch:
-    kind, part, blob = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(kind, pa.int32()), pa.array(part, pa.int64()), pa.array(blob, pa.binary())],
-        names=["kind", "part", "blob"])
-
-
-def _part_of(ids: np.ndarray, parts: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (X.mix(ids.view(U64)) % U64(parts)).astype(np.int64)
-
-
 ENTRY, FOUND = 0, 1
-PACKED = "kind int, part long, blob binary"
 
 
 def _window_batches(window: int, buckets: int):
@@ -150,11 +104,11 @@ def _window_batches(window: int, buckets: int):
                 send, found = order[~later], order[later]
                 by_id = found[np.lexsort((pos[found], ids[found]))]
                 send = send[np.argsort(same[send], kind="stable")]
-                yield _batch(
-                    _rows(ENTRY, bucket[send], [(same << U64(8))[send], ids[send].view(U64),
-                                                pos[send].astype(np.uint32)], buckets)
-                    + _rows(FOUND, _part_of(ids[by_id], buckets),
-                            [ids[by_id].view(U64), pos[by_id].astype(np.uint32)], buckets))
+                yield packed_batch(
+                    packed_rows(ENTRY, bucket[send], [(same << U64(8))[send], ids[send].view(U64),
+                                                pos[send].view(U64)], buckets)
+                    + packed_rows(FOUND, part_of_ids(ids[by_id], buckets),
+                            [ids[by_id].view(U64), pos[by_id].view(U64)], buckets))
     return run
 
 
@@ -165,7 +119,7 @@ def _bucket_group(buckets: int):
         kinds, blobs = group.column("kind").to_numpy(), group.column("blob")
         rows = [(FOUND, p.as_py(), b.as_py()) for k, p, b in
                 zip(kinds, group.column("part"), blobs, strict=True) if k == FOUND]
-        entries = [unpack(b.as_py(), "u8", "u8", "u4")
+        entries = [unpack(b.as_py(), "u8", "u8", "u8")
                    for k, b in zip(kinds, blobs, strict=True) if k == ENTRY]
         if entries:
             same, ids, pos = (np.concatenate(c) for c in zip(*entries, strict=True))
@@ -174,9 +128,9 @@ def _bucket_group(buckets: int):
             order, later = _later(same, ids)
             found = order[later]
             by_id = found[np.lexsort((pos[found], ids[found]))]
-            rows += _rows(FOUND, _part_of(ids[by_id], buckets),
+            rows += packed_rows(FOUND, part_of_ids(ids[by_id], buckets),
                           [ids[by_id].view(U64), pos[by_id]], buckets)
-        return pa.Table.from_batches([_batch(rows)])
+        return pa.Table.from_batches([packed_batch(rows)])
     return run
 
 
@@ -190,29 +144,30 @@ def merge(positions: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 def _interval_group(window: int):
     def run(group: pa.Table) -> pa.Table:
         ids, pos = (np.concatenate(c) for c in zip(
-            *(unpack(b.as_py(), "u8", "u4") for b in group.column("blob")), strict=True))
+            *(unpack(b.as_py(), "u8", "u8") for b in group.column("blob")), strict=True))
         ids, pos = ids.view(np.int64), pos.astype(np.int64)
         order = np.lexsort((pos, ids))
         ids, pos = ids[order], pos[order]
-        cuts = _runs(ids)
+        copy, pos = pos >> COPY, pos & ((1 << COPY) - 1)
+        cuts = np.flatnonzero(np.concatenate(([True], (np.diff(ids) != 0) | (np.diff(copy) != 0))))
         out = [merge(pos[a:b], window) for a, b in zip(cuts, np.append(cuts[1:], len(ids)),
                                                        strict=True)]
-        return pa.table({"doc_id": pa.array(ids[cuts]),
+        return pa.table({"doc_id": pa.array(ids[cuts]), "copy": pa.array(copy[cuts]),
                          "starts": pa.array([a.tolist() for a, _ in out], pa.list_(pa.int64())),
                          "ends": pa.array([b.tolist() for _, b in out], pa.list_(pa.int64()))})
     return run
 
 
 def removal_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, starts, ends: for each document with repeated windows, the maximal
-    intervals of word positions to remove."""
+    """doc_id, copy, starts, ends: for each row of ``docs`` (doc_id, copy, text) with
+    repeated windows, the maximal intervals of word positions to remove."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(256, size // (6 * WINDOWS_PER_BUCKET))
-    packed = (docs.select("doc_id", "text").mapInArrow(_window_batches(window, buckets), PACKED)
-              .groupBy("part").applyInArrow(_bucket_group(buckets), PACKED))
+    packed = (docs.select("doc_id", "copy", "text").mapInArrow(_window_batches(window, buckets), SCHEMA)
+              .groupBy("part").applyInArrow(_bucket_group(buckets), SCHEMA))
     return packed.groupBy("part").applyInArrow(
-        _interval_group(window), "doc_id long, starts array<long>, ends array<long>")
+        _interval_group(window), "doc_id long, copy long, starts array<long>, ends array<long>")
 
 
 def cut(text: str | None, starts, ends) -> tuple[int, int, str]:
@@ -253,12 +208,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False)
     spark = docs.sparkSession
     arrow_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    docs = docs.select("doc_id", "text")
+    docs = with_copy(docs.select("doc_id", "text"))
     found = written(removal_intervals(docs, window), "substring")
     index = F.expr(f"xxhash64(doc_id) & {(1 << BITMAP_BITS) - 1}L")
     # 2^23 bits at most: which documents can have an interval at all
     bitmap = row_bitmap(found, index)
-    may = bitmap_filter(docs, bitmap, index).join(found, "doc_id", "left")
+    may = bitmap_filter(docs, bitmap, index).join(found, ["doc_id", "copy"], "left")
     clear = bitmap_filter(docs, bitmap, index, keep=False).select(
         "*", F.lit(None).cast("array<long>").alias("starts"),
         F.lit(None).cast("array<long>").alias("ends"))
