@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 from tamper.session import scratch_path
 
 __all__ = ["table", "written", "arrow_batches", "row_bitmap", "bitmap_filter", "components",
-           "with_copy"]
+           "with_copy", "boxed", "unboxed"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -55,6 +55,19 @@ def bitmap_filter(df: DataFrame, bitmap: DataFrame, index: Column, keep: bool =
     return looked.where(hit if keep else ~hit).select(*[F.col(f"`{n}`") for n in names])
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, rest): all other columns in one struct, so that none of their names
+    can clash with an operator's own."""
+    other = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("__"), *other).alias("rest"))
+
+
+def unboxed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of the documents that were boxed, in their order."""
+    return df.select(*[F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c)
+                       for c in columns])
+
+
 def with_copy(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with ``copy``: 0, or where rows share an id, the ordinal of
     the row among them by a hash of the text. Ids are usually unique, which one narrow
@@ -62,7 +75,7 @@ def with_copy(docs: DataFrame) -> DataFrame:
     shared = docs.where("doc_id is not null").groupBy("doc_id").agg(
         F.count("*").alias("n")).where("n > 1").select("doc_id")
     if shared.isEmpty():
-        return docs.withColumn("copy", F.lit(0).cast("long"))
+        return docs.select("*", F.lit(0).cast("long").alias("copy"))
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     some = docs.join(shared, "doc_id", "left_semi").withColumn(
         "copy", (F.row_number().over(order) - 1).cast("long"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tamper.llm._spark import bitmap_filter, row_bitmap, table, written
+from tamper.llm._spark import bitmap_filter, boxed, row_bitmap, table, unboxed, written
 
 WINDOW = 13
 # word characters of the contract, capital letters included
@@ -57,10 +57,11 @@ def items_of(benchmark: DataFrame) -> DataFrame:
             .withColumn("row", F.xxhash64("item", "iw")))
 
 
-def with_key(docs: DataFrame) -> DataFrame:
+def with_key(docs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Rows with equal id and text share a key; matches are verified against the text, so
     a collision of keys costs a comparison and changes no result."""
-    return docs.select("doc_id", "text").withColumn(
+    more = [c for c in extra or () if c != "text"]
+    return docs.select("doc_id", "text", *more).withColumn(
         "key", F.xxhash64(F.col("doc_id").cast("string"), "text"))
 
 
@@ -162,28 +163,39 @@ def _verified(window: int) -> tuple[Column, Column]:
     return F.expr(f"filter({found}, x -> size(x.spots) > 0)")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (distinct item ids as strings, sorted) and
-    ``contaminated`` (n_hit > 0 and 20 * n_hit >= n_words) of every row of ``docs``; the
-    columns of ``docs`` other than doc_id and text are not carried."""
-    keyed = with_key(docs)
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, extra: list[str]) -> DataFrame:
+    """Every row of ``docs`` with n_words, n_hit, items and the columns ``extra`` of it."""
+    keyed = with_key(docs, extra)
     cands = written(phrase_matches(keyed, benchmark, window), "decontam-cands")
     index = F.expr(f"key & {(1 << BITMAP_BITS) - 1}L")
     bitmap = row_bitmap(cands, index)
-    clean = bitmap_filter(keyed, bitmap, index, keep=False).select(
-        "doc_id", F.size(raw_words(F.col("text"))).cast("long").alias("n_words"),
-        F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
-    hit = (bitmap_filter(keyed, bitmap, index)
-           .join(cands, "key", "left")
-           .select("doc_id", F.expr("coalesce(cands, array())").alias("cands"),
-                   F.transform(raw_words(F.col("text")), lower_ascii).alias("dw"))
+    out = ["doc_id", *extra, "n_words", "n_hit", "items"]
+    clean_rows = (bitmap_filter(keyed, bitmap, index, keep=False)
+                  .withColumn("n_words", F.size(raw_words(F.col("text"))).cast("long"))
+                  .withColumn("n_hit", F.lit(0).cast("long"))
+                  .withColumn("items", F.array().cast("array<string>")).select(*out))
+    hit = (bitmap_filter(keyed, bitmap, index).join(cands, "key", "left")
+           .withColumn("cands", F.expr("coalesce(cands, array())"))
+           .withColumn("dw", F.transform(raw_words(F.col("text")), lower_ascii))
            .withColumn("found", _verified(window))
-           .select("doc_id", F.size("dw").cast("long").alias("n_words"),
-                   F.expr("cast(size(array_distinct(flatten(found.spots))) as long)").alias("n_hit"),
-                   F.expr("array_sort(array_distinct(found.item))").alias("items")))
-    return hit.unionByName(clean).select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
-        F.expr("n_hit > 0 and 20 * n_hit >= n_words").alias("contaminated"))
+           .withColumn("n_words", F.size("dw").cast("long"))
+           .withColumn("n_hit", F.expr("cast(size(array_distinct(flatten(found.spots))) as long)"))
+           .withColumn("items", F.expr("array_sort(array_distinct(found.item))")).select(*out))
+    return hit.unionByName(clean_rows).withColumn(
+        "contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items (distinct item ids as strings, sorted) and
+    ``contaminated`` (n_hit > 0 and 20 * n_hit >= n_words) of every row of ``docs``."""
+    return _judged(docs, benchmark, window, []).withColumn(
+        "n_items", F.size("items").cast("long"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    judged = _judged(boxed(docs), benchmark, window, ["text", "rest"])
+    return unboxed(judged.where("not contaminated"), docs.columns)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

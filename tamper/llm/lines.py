@@ -32,11 +32,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamper.llm import _text as X
 from tamper.llm._packed import SCHEMA, packed_batch, packed_rows, run_starts, unpack
-from tamper.llm._spark import (arrow_batches, bitmap_filter, components, row_bitmap, table,
-                               with_copy, written)
+from tamper.llm._spark import (arrow_batches, bitmap_filter, boxed, components, row_bitmap, table,
+                               unboxed, with_copy, written)
 
 U64 = np.uint64
 MAX_EDITS, MIN_CHARS = 2, 20
@@ -349,12 +350,12 @@ def _cut_batches(digest: bool):
     return run
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
-                digest: bool = False) -> DataFrame:
-    """doc_id, n_links, line_classes (``line number:class`` of every line in a class,
-    comma-joined), n_lines, n_removed, kept (text left, or its SHA-256) of every row."""
+def _cut(docs: DataFrame, max_edits: int, min_chars: int, digest: bool) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text and any further columns, which are kept) with
+    n_links, line_classes, n_lines, n_removed and kept instead of the text."""
     arrow_batches(docs.sparkSession)
-    docs = with_copy(docs.select("doc_id", "text"))
+    keep = [c for c in docs.columns if c != "text"]
+    docs = with_copy(docs)
     classes = line_classes(docs, max_edits, min_chars)
     per_doc = written(classes.groupBy("doc_id", "copy").agg(
         F.sum("n_links").alias("n_links"),
@@ -367,12 +368,27 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     clear = bitmap_filter(docs, bitmap, index, keep=False).select(
         "*", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("string").alias("line_classes"),
         F.lit(None).cast("array<long>").alias("gone"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return (may.unionByName(clear)
-            .select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                    F.coalesce("line_classes", F.lit("")).alias("line_classes"), "text", "gone")
-            .mapInArrow(_cut_batches(digest), f"doc_id {kind}, n_links long, line_classes string, "
-                                              "n_lines long, n_removed long, kept string"))
+    rows = may.unionByName(clear).select(
+        *keep, F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("line_classes", F.lit("")).alias("line_classes"), "text", "gone")
+    schema = T.StructType([f for f in rows.schema if f.name not in ("text", "gone")]
+                          + [T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()),
+                             T.StructField("kept", T.StringType())])
+    return rows.mapInArrow(_cut_batches(digest), schema)
+
+
+def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+                digest: bool = False) -> DataFrame:
+    """doc_id, n_links, line_classes (``line number:class`` of every line in a class,
+    comma-joined), n_lines, n_removed, kept (text left, or its SHA-256) of every row."""
+    return _cut(docs.select("doc_id", "text"), max_edits, min_chars, digest)
+
+
+def without_repeats(docs: DataFrame, max_edits: int = MAX_EDITS,
+                    min_chars: int = MIN_CHARS) -> DataFrame:
+    """The rows of ``docs``, all columns, with repeated lines taken out of their texts."""
+    got = _cut(boxed(docs), max_edits, min_chars, digest=False)
+    return unboxed(got.select("doc_id", F.col("kept").alias("text"), "rest"), docs.columns)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tamper.llm import _text as X
 from tamper.llm._learn import MAX_TRAIN, held_out, training_rows
-from tamper.llm._spark import arrow_batches, table
+from tamper.llm._spark import arrow_batches, boxed, table, unboxed
 
 PASSAGE = 64
 MAX_BAG = 256
@@ -212,6 +212,21 @@ def score(docs: DataFrame, model) -> DataFrame:
                                                     f"doc_id {kind}, score double")
 
 
+def _accept_batches(model, threshold: float):
+    def run(batches):
+        for batch in batches:
+            for part in X.chunks(batch):
+                yield part.filter(pa.array(model.score(*encode(part.column("text"))) >= threshold))
+    return run
+
+
+def accepted(docs: DataFrame, model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``threshold``."""
+    arrow_batches(docs.sparkSession)
+    box = boxed(docs)
+    return unboxed(box.mapInArrow(_accept_batches(model, threshold), box.schema), docs.columns)
+
+
 def predict(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     arrow_batches(docs.sparkSession)
     return score(docs, train(docs, labels, "quality", max_train)).select(

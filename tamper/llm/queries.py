@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from tamper.llm import simhash
+from tamper.llm import (ann, decontaminate, lines, packing, quality, secrets, sharding, simhash,
+                        substring, toxicity)
 
 QUERIES = {
+    "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_simhash_dedup": simhash.op2_simhash_dedup,
+    "op3_vector_sharding": sharding.op3_vector_sharding,
+    "op4_substring_dedup": substring.op4_substring_dedup,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_curve_packing": packing.op6_curve_packing,
+    "op7_decontamination": decontaminate.op7_decontamination,
+    "op8_secret_scan": secrets.op8_secret_scan,
+    "op9_line_dedup": lines.op9_line_dedup,
+    "op10_prefix_forest": ann.op10_prefix_forest,
 }
 
 # DuckDB SQL with the same rows, where SQL can express the operator on whole tables.

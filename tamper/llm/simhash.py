@@ -30,12 +30,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamper.llm import _text as X
-from tamper.llm._spark import arrow_batches, components, row_bitmap, table, written
+from tamper.llm._spark import (arrow_batches, bitmap_filter, boxed, components, row_bitmap, table,
+                               unboxed, written)
 
 U64 = np.uint64
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
+BITMAP_BITS = 23
 
 # The primes of XXH64 and the generator polynomial of the Golay code.
 P1, P2, P3, P4, P5 = (U64(0x9E3779B185EBCA87), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9),
@@ -147,12 +150,14 @@ def fingerprints(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def _fingerprint_batches(shingle: int):
+    """Adds ``fp`` and drops the text."""
     def run(batches):
         for batch in batches:
+            keep = [c for c in batch.schema.names if c != "text"]
             for part in X.chunks(batch):
                 fp = fingerprints(part.column("text"), shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp)],
-                                                 names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(fp)],
+                                                 names=[*keep, "fp"])
     return run
 
 
@@ -259,18 +264,27 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")))
 
 
+def _fingerprinted(docs: DataFrame, shingle: int) -> DataFrame:
+    """The columns of ``docs`` but the text, and ``fp``; written."""
+    arrow_batches(docs.sparkSession)
+    schema = T.StructType([f for f in docs.schema if f.name != "text"]
+                          + [T.StructField("fp", T.LongType())])
+    return written(docs.mapInArrow(_fingerprint_batches(shingle), schema), "simhash")
+
+
+def _rooted(each: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, least_id, root): every different fingerprint and its component."""
+    classes = written(each.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-classes")
+    comp = components(links(classes.select("fp"), max_bits), "simhash-cc")
+    return classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row of ``docs``
     (doc_id, text)."""
-    spark = docs.sparkSession
-    arrow_batches(spark)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    each = written(docs.select("doc_id", "text").mapInArrow(_fingerprint_batches(shingle),
-                                                            f"doc_id {kind}, fp long"), "simhash")
-    classes = written(each.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-classes")
-    comp = components(links(classes.select("fp"), max_bits), "simhash-cc")
-    rooted = (classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "least_id", F.coalesce("root", "fp").alias("root")))
+    each = _fingerprinted(docs.select("doc_id", "text"), shingle)
+    rooted = _rooted(each, max_bits)
     best = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     label = rooted.join(best, "root").select("fp", "component_id")
     return (each.join(label, "fp")
@@ -278,5 +292,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
                     "component_id"))
 
 
+def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their component: the smallest
+    non-null doc_id, of repeated ids the first row as stored."""
+    tagged = written(boxed(docs).withColumn("tag", F.monotonically_increasing_id()), "simhash-rows")
+    each = _fingerprinted(tagged.select("doc_id", "tag", "text"), shingle)
+    root = written(each.join(_rooted(each, max_bits).select("fp", "root"), "fp").select(
+        "root", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag").alias("row")), "simhash-roots")
+    first = root.groupBy("root").agg(F.min("row").alias("best"), F.count("*").alias("n")).where("n > 1")
+    losers = written(root.join(first, "root").where("row.tag <> best.tag").select("row.tag"), "simhash-out")
+    index = F.expr(f"xxhash64(tag) & {(1 << BITMAP_BITS) - 1}L")
+    bitmap = row_bitmap(losers, index)
+    kept = bitmap_filter(tagged, bitmap, index, keep=False).unionByName(
+        bitmap_filter(tagged, bitmap, index).join(losers, "tag", "left_anti"))
+    return unboxed(kept, docs.columns)
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
