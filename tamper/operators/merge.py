@@ -55,18 +55,9 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: list[str
     return _upsert_shuffle(target, source, key, update_cols, insert_cols, columns)
 
 
-# No serialized row is smaller than this, so a frame with more rows than
-# ``limit // MIN_ROW_BYTES`` cannot fit and need not be measured.
-MIN_ROW_BYTES = 16
-
-
 def fits_broadcast(df: DataFrame, limit: int) -> bool:
-    """Proof that ``df`` serializes to at most ``limit`` bytes. A bounded row
-    probe (each task stops after the cap) rejects large frames before the
-    exact, full measurement runs."""
-    cap = max(1, limit // MIN_ROW_BYTES)
-    if df.limit(cap + 1).count() > cap:
-        return False
+    """Proof that ``df`` serializes to at most ``limit`` bytes: one aggregation with
+    partial sums in every task."""
     return measured_bytes(df)[1] <= limit
 
 
@@ -83,7 +74,8 @@ def _upsert_shuffle(target, source, key, update_cols, insert_cols, columns) -> D
         if c == key:
             expr = F.when(tp, F.col(f"t__{c}")).otherwise(F.col(f"s__{c}"))
         elif c in update_cols and c in s_cols:
-            expr = F.when(sp, F.col(f"s__{c}")).otherwise(F.col(f"t__{c}"))
+            expr = (F.when(tp & sp, F.col(f"s__{c}")).when(tp, F.col(f"t__{c}"))
+                    .otherwise(src))
         else:
             expr = F.when(tp, F.col(f"t__{c}")).otherwise(src)
         out.append(expr.cast(target.schema[c].dataType).alias(c))
@@ -108,7 +100,7 @@ def _upsert_broadcast(target, source, key, update_cols, insert_cols, columns) ->
         .cast(target.schema[c].dataType).alias(c) for c in columns])
     keys = F.broadcast(source.select(F.col(key).alias("__k")))
     matched = target.select(F.col(key).alias("__m")).join(keys, F.col("__m") == F.col("__k"),
-                                                          "left_semi")
+                                                          "left_semi").distinct()
     new = source.join(F.broadcast(matched), F.col(key) == F.col("__m"), "left_anti")
     inserts = new.select(*[
         (F.col(c) if (c in s_cols and (c in insert_cols or c == key)) else F.lit(None))
@@ -185,6 +177,38 @@ def fold_latest(rows: DataFrame, key: str, update_cols: list[str], insert_cols:
     return agg.select(*out)
 
 
+def fold_log(rows: DataFrame, key: str, update_cols: list[str], insert_cols: list[str],
+             columns: list[str], bounds: bool = False) -> DataFrame:
+    """U2 over a layer's log, whose rows carry where they come from: FIRST_BATCH /
+    LAST_BATCH and the place of the row inside that RAW batch, FIRST_POS / LAST_POS
+    (ingest time and row position). Update columns come from the latest row of the newest
+    batch, insert-only columns from the latest row of the oldest batch. The order is total
+    over (batch, place), so it does not matter how a RAW batch was cut into micro-batches,
+    nor how often the rows were folded before."""
+    newest = F.struct("LAST_BATCH", "LAST_POS")
+    oldest = F.struct((-F.col("FIRST_BATCH")).alias("nb"), "FIRST_POS")
+    upd = [c for c in columns if c in update_cols and c != key]
+    keep = [c for c in columns if c not in upd and c != key]
+    agg = rows.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.max_by(F.struct(F.lit(0).alias("__"), *[F.col(c) for c in upd]), newest).alias("__new"),
+        F.max_by(F.struct("FIRST_BATCH", "FIRST_POS", *[F.col(c) for c in keep]), oldest).alias("__old"),
+        F.max(newest).alias("__last"))
+    out = []
+    for c in columns:
+        if c == key:
+            out.append(F.col(key))
+        elif c in upd:
+            out.append(F.col(f"__new.{c}").alias(c))
+        elif c in insert_cols:
+            out.append(F.col(f"__old.{c}").alias(c))
+        else:
+            out.append(F.lit(None).cast(rows.schema[c].dataType).alias(c))
+    if bounds:
+        out += [F.col("__old.FIRST_BATCH"), F.col("__last.LAST_BATCH"),
+                F.col("__old.FIRST_POS"), F.col("__last.LAST_POS")]
+    return agg.select(*out)
+
+
 def changed_rows(state: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Post-images of the rows a batch touched: what a change feed on the
     merged table emits for that batch (a left-semi join, no columns from the

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
+# Private folders of local sessions, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 # Settings every job in this library expects. AQE is what turns joins with a
 # small runtime side into broadcast joins (a measured size, not a guess), merges
 # tiny shuffle partitions and splits skewed ones.
@@ -52,16 +59,22 @@ def apply_session_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, a laptop) a private temp folder is
-    created and registered, so that a cluster job never falls back to a
-    machine-local path silently.
-    """
+    Where the setting is absent, a local session (tests, a laptop) gets a private temp
+    folder with a warning, removed at exit; any other master is an error, since executors
+    would not see each other's files."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        root = _LOCAL_ROOTS.get(spark.sparkContext.applicationId)
+    if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         root = tempfile.mkdtemp(prefix="tamper-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        warnings.warn(f"spark.checkpoint.dir is unset; using {root}", stacklevel=2)
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        _LOCAL_ROOTS[spark.sparkContext.applicationId] = root
     spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
