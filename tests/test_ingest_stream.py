@@ -60,26 +60,26 @@ def _pipeline(spark, root, batches, max_files=None):
     layout = Layout(root, "orders")
     for i, lines in enumerate(batches):
         write_lines(layout.path("landing"), f"b{i}.jsonl", lines, tick=i)
-    return layout, run_pipeline(spark, layout, AS_OF, version=0, with_ingest=True,
+    return layout, run_pipeline(spark, layout, AS_OF, with_ingest=True,
                                 max_files_per_trigger=max_files)
 
 
 def test_streaming_pipeline_merges_partial_columns(spark, scratch):
     layout = Layout(f"{scratch}/p", "orders")
     write_lines(layout.path("landing"), "b0.jsonl", [order("t-1", item="espresso roast")])
-    run_pipeline(spark, layout, AS_OF, version=0, with_ingest=True)
+    run_pipeline(spark, layout, AS_OF, with_ingest=True)
     # same key again: new ITEM and a NULL delivered date, other status
     write_lines(layout.path("landing"), "b1.jsonl",
                 [order("t-1", item="single-origin spotlight blend", status="Returned",
                        delivered=None), order("t-2")], tick=1)
-    serving = run_pipeline(spark, layout, AS_OF, version=1, with_ingest=True)
+    serving = run_pipeline(spark, layout, AS_OF, with_ingest=True)
     r = {x.TXID: x for x in serving.collect()}
     assert r["t-1"].ITEM == "Single-Origin Spotlight Blend"   # update column: new value
     assert r["t-1"].DELIVERED_DATE is None                     # NULL overwrites
     assert r["t-1"].DELIVERY_STATUS == "Delivered"             # other column: first seen
     assert set(r) == {"t-1", "t-2"}
     # replaying the hops with nothing new changes nothing
-    again = run_pipeline(spark, layout, AS_OF, version=2, with_ingest=True)
+    again = run_pipeline(spark, layout, AS_OF, with_ingest=True)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, serving.collect()))
     # the run log feeds the monitoring reports
     runs = spark.read.parquet(layout.runs)
@@ -119,7 +119,7 @@ def test_compaction_snapshot_plus_newer_equals_full_fold(spark, scratch):
     v0 = compact(spark, layout, "silver")
     write_lines(layout.path("landing"), "late.jsonl",
                 [order("t-1", item="two", status="Returned"), order("t-9")], tick=5)
-    run_pipeline(spark, layout, AS_OF, version=1, with_ingest=True)
+    run_pipeline(spark, layout, AS_OF, with_ingest=True)
     e = ENTITIES["orders"]
     full = fold(read_layer(spark, layout, "silver"), e["key"], e["update"], e["insert"],
                 e["columns"], batch_col=LAST, first_col=FIRST)
@@ -142,7 +142,7 @@ def test_emissions_pipeline_nulls_negative_and_updates_all_columns(spark, scratc
     write_lines(layout.path("landing"), "e0.jsonl", [emission("r-1"), emission("r-2", est=-5.0)])
     write_lines(layout.path("landing"), "e1.jsonl", [emission("r-1", kg=130.0, est=104.0),
                                                      json.dumps({"record_id": "r-3"})], tick=1)
-    out = {r.RECORD_ID: r for r in run_pipeline(spark, layout, AS_OF, version=0,
+    out = {r.RECORD_ID: r for r in run_pipeline(spark, layout, AS_OF,
                                                 with_ingest=True).collect()}
     assert set(out) == {"r-1", "r-2"}                     # r-3 lacks required keys
     assert out["r-2"].ESTIMATED_EMISSIONS_KGCO2E is None  # C5
@@ -192,7 +192,7 @@ def test_replay_after_crash_between_write_and_commit(spark, scratch):
 
     assert read_layer(spark, layout, "silver").count() == n_before
     write_lines(layout.path("landing"), "b1.jsonl", [order("t-3")], tick=1)
-    run_pipeline(spark, layout, AS_OF, version=1, with_ingest=True)
+    run_pipeline(spark, layout, AS_OF, with_ingest=True)
     after = sorted(map(tuple, layer_state(spark, layout, "gold").collect()))
     assert [r for r in after if r[0] != "t-3"] == expected
 
@@ -225,7 +225,7 @@ def test_load_errors_from_quarantine(spark, scratch):
     write_lines(layout.path("landing"), "good.jsonl", [order("t-1")])
     write_lines(layout.path("landing"), "bad.jsonl",
                 [order("t-2"), "{oops", json.dumps({"txid": "t-9"})], tick=1)
-    run_pipeline(spark, layout, AS_OF, version=0, with_ingest=True)
+    run_pipeline(spark, layout, AS_OF, with_ingest=True)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(minutes=1)
     errs = monitoring.load_errors(load_history(spark, layout), 1, now).collect()
     assert len(errs) == 1 and errs[0].FILE_NAME.endswith("bad.jsonl")
