@@ -662,4 +662,7 @@ FROM orders_landing""")
 # ------------------------------------------------------------------ ingestion / streaming
 SQL["ingest_json"] = with_orders(f"SELECT {', '.join(ORDER_COLS)} FROM orders_landing")
 SQL["stream_pipeline"] = SQL["upsert_orders"]
+SQL["stream_pipeline_limited"] = SQL["upsert_orders"]
+SQL["upsert_orders_broadcast"] = SQL["upsert_orders"]
+SQL["upsert_emissions_broadcast"] = SQL["upsert_emissions"]
 SQL["stream_pipeline_emissions"] = SQL["upsert_emissions"]

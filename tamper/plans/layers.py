@@ -75,13 +75,34 @@ def batch_winners(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATC
     return w.select(*e["columns"], batch_col)
 
 
-def upsert_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN
-                       ) -> DataFrame:
-    """M1/M2 run twice: batch 0 into an empty SILVER, then batch 1."""
-    b0 = silver_source(entity, raw.where(F.col(batch_col) == 0), as_of)
-    b1 = silver_source(entity, raw.where(F.col(batch_col) == 1), as_of)
-    s0 = merge_into(entity, empty_like(b0, entity), b0)
-    return merge_into(entity, s0, b1)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A hop's table, written to the shared folder and read again: the next hop reads its
+    columns instead of running the whole chain below it once more."""
+    from tamper.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def batches_of(entity: str, raw: DataFrame, as_of, batch_col: str) -> list[DataFrame]:
+    """The per-batch winners in batch order (NULL ids, which no batch has, first): landed
+    rows are read and cleaned once, whatever the number of batches. The driver sees the
+    batch ids."""
+    won = written(batch_winners(entity, raw, as_of, batch_col), f"winners_{entity}")
+    ids = sorted((r[0] for r in won.select(batch_col).distinct().collect()),
+                 key=lambda v: (v is not None, v))
+    return [won.where(F.col(batch_col).eqNullSafe(i)).drop(batch_col) for i in ids]
+
+
+def upsert_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN,
+                       broadcast_bytes: int | None = None) -> DataFrame:
+    """M1/M2 run once for each batch, the first into an empty SILVER."""
+    state = None
+    for batch in batches_of(entity, raw, as_of, batch_col):
+        state = merge_into(entity, empty_like(batch, entity) if state is None else state, batch,
+                           broadcast_bytes)
+    return empty_like(raw, entity) if state is None else state
 
 
 def fold_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN
@@ -119,20 +140,25 @@ def gold_chain(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_C
     GOLD reads SILVER's change feed: after each batch, the post-images of the
     keys that batch touched. GOLD copies values as they are (no cleaning, no
     de-duplication)."""
-    b0 = silver_source(entity, raw.where(F.col(batch_col) == 0), as_of)
-    b1 = silver_source(entity, raw.where(F.col(batch_col) == 1), as_of)
-    s0 = merge_into(entity, empty_like(b0, entity), b0)
-    g0 = merge_into(entity, empty_like(b0, entity), s0)
-    s1 = merge_into(entity, s0, b1)
+    return _chain(entity, raw, as_of, batch_col)[0]
+
+
+def _chain(entity: str, raw: DataFrame, as_of, batch_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """GOLD after the last batch, and GOLD after the one before."""
     key = ENTITIES[entity]["key"]
-    return merge_into(entity, g0, changed_rows(s1, b1, key))
+    silver = gold = before = None
+    for batch in batches_of(entity, raw, as_of, batch_col):
+        if silver is None:
+            silver = gold = written(merge_into(entity, empty_like(batch, entity), batch), f"silver_{entity}")
+            continue
+        before = gold
+        silver = written(merge_into(entity, silver, batch), f"silver_{entity}")
+        gold = written(merge_into(entity, gold, changed_rows(silver, batch, key)), f"gold_{entity}")
+    return (empty_like(raw, entity) if gold is None else gold), before
 
 
 def serving_chain(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN
                   ) -> DataFrame:
     """GOLD -> serving (M5/M6): the serving copy merges the full GOLD table."""
-    b0 = silver_source(entity, raw.where(F.col(batch_col) == 0), as_of)
-    g0 = merge_into(entity, empty_like(b0, entity), b0)
-    serving0 = merge_into(entity, empty_like(b0, entity), g0)
-    g1 = gold_chain(entity, raw, as_of, batch_col)
-    return merge_into(entity, serving0, g1)
+    gold, before = _chain(entity, raw, as_of, batch_col)
+    return gold if before is None else merge_into(entity, before, gold)

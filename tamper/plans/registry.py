@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamper.operators.merge import DEFAULT_BROADCAST_BYTES
 from tamper.plans import emissions, enrichment, layers, monitoring, quality, sales
 from tamper.schemas import BATCH_COLUMN
 from tamper.session import apply_session_defaults
@@ -130,7 +131,13 @@ def _merge(fn, entity):
     return q
 
 
-def _stream(entity: str, spark, sf_dir):
+def broadcast_upsert(entity, raw, as_of=None):
+    """U1 with the measured source broadcast to the target's scan."""
+    return layers.upsert_two_batches(entity, raw, as_of,
+                                     broadcast_bytes=DEFAULT_BROADCAST_BYTES)
+
+
+def _stream(entity: str, spark, sf_dir, max_files_per_trigger: int | None = None):
     """T-1..T-6 end to end: the landed rows arrive as two RAW batches; after
     each, the SILVER and GOLD streaming hops drain (availableNow) and a serving
     snapshot is published. Returns the last snapshot."""
@@ -150,7 +157,7 @@ def _stream(entity: str, spark, sf_dir):
     for b in (0, 1):
         write_batch(landed.where(F.col(BATCH_COLUMN) == b).drop(BATCH_COLUMN),
                     layout.path("raw"), b)
-        out = run_pipeline(spark, layout, as_of, version=b)
+        out = run_pipeline(spark, layout, as_of, max_files_per_trigger=max_files_per_trigger)
     return out
 
 
@@ -158,6 +165,11 @@ def stream_pipeline(spark, sf_dir):
     return _stream("orders", spark, sf_dir)
 
 
+def stream_pipeline_limited(spark, sf_dir):
+    """The same, two files a micro-batch: a RAW batch spans several micro-batches."""
+    return _stream("orders", spark, sf_dir, max_files_per_trigger=2)
+
+
 def stream_pipeline_emissions(spark, sf_dir):
     return _stream("emissions", spark, sf_dir)
 
@@ -222,6 +234,8 @@ QUERIES: dict[str, Query] = {
     "dq_report": dq_report,
     # merge core
     "upsert_orders": _merge(layers.upsert_two_batches, "orders"),
+    "upsert_orders_broadcast": _merge(broadcast_upsert, "orders"),
+    "upsert_emissions_broadcast": _merge(broadcast_upsert, "emissions"),
     "fold_orders": _merge(layers.fold_two_batches, "orders"),
     "rebuild_orders": _merge(layers.rebuild, "orders"),
     "gold_chain": _merge(layers.gold_chain, "orders"),
@@ -243,5 +257,6 @@ QUERIES: dict[str, Query] = {
     # ingestion and streaming
     "ingest_json": ingest_json,
     "stream_pipeline": stream_pipeline,
+    "stream_pipeline_limited": stream_pipeline_limited,
     "stream_pipeline_emissions": stream_pipeline_emissions,
 }
