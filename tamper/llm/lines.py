@@ -7,8 +7,8 @@ So every line indexes its segments under (segment number, length, content), and
 each length from its own down by max_edits, the substrings that the position windows of
 the partition allow. Entries meet in buckets (packed, one row for each chunk and bucket);
 equal keys whose letter parities differ in at most 2 * max_edits bits are candidates, and
-each candidate pair of different lines is verified on its text with a banded bit-parallel
-edit distance: one small integer per error count, a bit for each diagonal of the band.
+candidates of different lines are verified on their texts with a banded bit-parallel edit
+distance: one small integer per error count, a bit for each diagonal of the band.
 
 Equal lines are one class before anything is joined (a min per line hash, combined
 map-side); links between different lines are joined to classes by connected components.
@@ -16,8 +16,9 @@ Each class keeps its first line, by (doc_id, copy, line number), and every other
 removed. Lines shorter than ``min_chars`` carry too little to be called repeats and stay.
 
 Skew: a line in a third of all documents is one class row after map-side combining; each
-chunk sends a line's entries once. A key shared by many different lines is compared in
-blocks of bounded size, and only pairs that pass the parity filter leave the bucket.
+chunk sends a line's entries once. A key that many similar lines share sends its lines,
+not their pairs, to a group for each pair of blocks of bounded size; the group returns
+links that connect them.
 
 Defined cases: null text has no lines; an empty text is one empty line; rows with a null
 id are neither source nor changed; rows that share an id are told apart by a hash of their
@@ -42,7 +43,7 @@ from tamper.llm._spark import (arrow_batches, bitmap_filter, boxed, components,
 U64 = np.uint64
 MAX_EDITS, MIN_CHARS = 2, 20
 ENTRIES_PER_BUCKET = 1 << 20
-BLOCK = 1 << 11
+BLOCK, PAIRS_PER_LINE = 1 << 11, 2
 BITMAP_BITS = 23
 BASE = 0x9FB21C651E98DF25
 INDEX, PROBE = 0, 1
@@ -170,8 +171,21 @@ def _entry_batches(max_edits: int, min_chars: int, buckets: int):
     return run
 
 
-def _pairs_group(max_edits: int):
-    """One bucket's entries -> candidate pairs (a, b) of different lines, a < b."""
+CANDIDATES = "a long, b long, g long, role int, parity long"
+
+
+def _close(parity, name, own, ask, max_edits: int):
+    """Index pairs (into own, ask) of different lines whose parities allow max_edits."""
+    i, j = np.nonzero((np.bitwise_count(parity[own][:, None] ^ parity[ask]) <= 2 * max_edits)
+                      & (name[own][:, None] != name[ask]))
+    return own[i], ask[j]
+
+
+def _candidate_group(max_edits: int):
+    """One bucket's entries -> candidates. A key with few close pairs gives them as
+    (a, b). A key with many gives its lines instead, as members (a, role, parity) of
+    group g, one group for each pair of blocks: links are then found among them with
+    their texts at hand, and no pair of the group is written."""
     def run(group: pa.Table) -> pa.Table:
         key, name, parity, role = (np.concatenate(c) for c in zip(
             *(unpack(b.as_py(), "u8", "u8", "u4", "u1") for b in group.column("blob")), strict=True))
@@ -181,24 +195,61 @@ def _pairs_group(max_edits: int):
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | (role[1:] != role[:-1])))
         key, name, parity, role = key[new], name[new], parity[new], role[new]
         cuts = np.append(run_starts(key), len(key))
-        # keys with more than one line
-        many = [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)
-                if b - a > 1 and name[a] != name[b - 1]]
-        left, right = [], []
-        for a, b in many:
+        pairs, members = [], []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b - a < 2 or name[a] == name[b - 1]:
+                continue
             own = np.flatnonzero(role[a:b] == INDEX) + a
             ask = np.flatnonzero(role[a:b] == PROBE) + a
+            if len(own) * len(ask) <= BLOCK:
+                p, q = _close(parity, name, own, ask, max_edits)
+                if len(p) <= PAIRS_PER_LINE * (b - a):
+                    pairs.append((np.minimum(name[p], name[q]), np.maximum(name[p], name[q])))
+                    continue
             for lo in range(0, len(own), BLOCK):
                 for lo2 in range(0, len(ask), BLOCK):
-                    p, q = own[lo:lo + BLOCK], ask[lo2:lo2 + BLOCK]
-                    close = (np.bitwise_count(parity[p][:, None] ^ parity[q]) <= 2 * max_edits)
-                    i, j = np.nonzero(close & (name[p][:, None] != name[q]))
-                    left.append(name[p[i]])
-                    right.append(name[q[j]])
-        a = np.concatenate(left) if left else np.zeros(0, U64)
-        b = np.concatenate(right) if right else np.zeros(0, U64)
-        a, b = np.minimum(a, b).view(np.int64), np.maximum(a, b).view(np.int64)
-        return pa.table({"a": a, "b": b}).group_by(["a", "b"]).aggregate([])
+                    both = np.concatenate((own[lo:lo + BLOCK], ask[lo2:lo2 + BLOCK]))
+                    with np.errstate(over="ignore"):
+                        g = X.mix(key[a:a + 1] + U64(lo // BLOCK * 0x10001) + (U64(lo2 // BLOCK) << U64(32)))
+                    members.append((name[both], np.repeat(g, len(both)), role[both], parity[both]))
+        x, y = (np.concatenate(c) for c in zip(*pairs, strict=True)) if pairs else (np.zeros(0, U64),) * 2
+        m, g, r, f = (np.concatenate(c) for c in zip(*members, strict=True)) if members else (
+            np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.uint8), np.zeros(0, np.uint32))
+        n, k = len(x), len(m)
+        none, no = np.zeros(n + k, np.int64), np.arange(n + k) >= n
+        return pa.table({"a": pa.array(np.concatenate((x, m)).view(np.int64)),
+                         "b": pa.array(np.concatenate((y, m)).view(np.int64), mask=no),
+                         "g": pa.array(np.concatenate((none[:n], g.view(np.int64))), mask=~no),
+                         "role": pa.array(np.concatenate((none[:n], r)).astype(np.int32), mask=~no),
+                         "parity": pa.array(np.concatenate((none[:n], f)).astype(np.int64), mask=~no)})
+    return run
+
+
+def _member_group(max_edits: int):
+    """The lines of one group, with texts -> links that connect what is connected among
+    them: a pair whose lines are already joined is not looked at again."""
+    def run(group: pa.Table) -> pa.Table:
+        name, role = group.column("a").to_numpy(), group.column("role").to_numpy()
+        parity = group.column("parity").to_numpy().astype(np.uint32)
+        text = group.column("line").to_pylist()
+        root = {int(n): int(n) for n in name}
+
+        def top(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        ask = np.flatnonzero(role == PROBE)
+        for i in np.flatnonzero(role == INDEX):
+            for j in _close(parity, name, np.array([i]), ask, max_edits)[1]:
+                p, q = top(int(name[i])), top(int(name[j]))
+                if p != q and within(text[i], text[j], max_edits) is not None:
+                    root[max(p, q)] = min(p, q)
+                    out.append((min(int(name[i]), int(name[j])), max(int(name[i]), int(name[j]))))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()),
+                         "b": pa.array([y for _, y in out], pa.int64())})
     return run
 
 
@@ -282,7 +333,8 @@ def _text_batches(min_chars: int, wanted):
 
 
 def near_links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(a, b): every pair of different lines (by name) within ``max_edits`` edits."""
+    """(a, b): links between different lines (by name) within ``max_edits`` edits; every
+    two lines that such links connect are connected by the links returned."""
     spark = docs.sparkSession
     if min_chars <= max_edits:
         raise ValueError("min_chars has to exceed max_edits")
@@ -290,10 +342,11 @@ def near_links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
     # about 15 entries for each line of some 200 bytes
     buckets = max(256, size // 200 * 15 // ENTRIES_PER_BUCKET)
     known = docs.where("doc_id is not null").select("text")
-    pairs = written(known.mapInArrow(_entry_batches(max_edits, min_chars, buckets), SCHEMA)
-                    .groupBy("part").applyInArrow(_pairs_group(max_edits), "a long, b long")
-                    .distinct(), "lines-pairs")
-    names = pairs.select(F.explode(F.array("a", "b")).alias("name"))
+    found = written(known.mapInArrow(_entry_batches(max_edits, min_chars, buckets), SCHEMA)
+                    .groupBy("part").applyInArrow(_candidate_group(max_edits), CANDIDATES)
+                    .distinct(), "lines-candidates")
+    pairs, members = found.where("b is not null").select("a", "b"), found.where("b is null")
+    names = found.select(F.col("a").alias("name")).union(pairs.select("b"))
     # 2^23 bits, whatever the number of pairs
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
     for w in row_bitmap(names, F.expr(f"name & {(1 << BITMAP_BITS) - 1}L")).collect():
@@ -303,32 +356,32 @@ def near_links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
                     .groupBy("name").agg(F.min("line").alias("line")), "lines-texts")
     both = (pairs.join(texts.select(F.col("name").alias("a"), F.col("line").alias("ta")), "a")
             .join(texts.select(F.col("name").alias("b"), F.col("line").alias("tb")), "b"))
-    return both.select("a", "b", "ta", "tb").mapInArrow(_verify_batches(max_edits), "a long, b long")
+    alone = both.select("a", "b", "ta", "tb").mapInArrow(_verify_batches(max_edits), "a long, b long")
+    crowd = (members.join(texts.select(F.col("name").alias("a"), "line"), "a")
+             .select("g", "a", "role", "parity", "line")
+             .groupBy("g").applyInArrow(_member_group(max_edits), "a long, b long"))
+    return alone.union(crowd)
 
 
 def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS,
                  min_chars: int = MIN_CHARS) -> DataFrame:
-    """For every line (doc_id, copy, number) of a class with more than one line: class_id,
-    n_links (different lines within max_edits edits) and ``first`` (the line that stays).
-    ``docs`` has doc_id, copy and text."""
+    """For every line (doc_id, copy, number) of a class with more than one line: class_id
+    and ``first`` (the line that stays). ``docs`` has doc_id, copy and text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     each = written(docs.select("doc_id", "copy", "text").mapInArrow(
         _occurrence_batches(min_chars), f"doc_id {kind}, copy long, number long, a long, b long"),
         "lines-each")
     link = written(near_links(docs, max_edits, min_chars), "lines-links")
     comp = written(components(link, "lines-cc"), "lines-roots")
-    degree = (link.select(F.explode(F.array("a", "b")).alias("node"))
-              .groupBy("node").agg(F.count("*").alias("n_links")))
     place = F.struct("doc_id", "copy", "number")
     equal = each.groupBy("a", "b").agg(F.min(place).alias("least"), F.count("*").alias("n"))
-    known = (equal.join(comp.join(degree, "node").withColumnRenamed("node", "a"), "a", "left")
+    known = (equal.join(comp.withColumnRenamed("node", "a"), "a", "left")
              .where("n > 1 or root is not null")
              .withColumn("class_id", F.coalesce("root", F.xxhash64("a", "b"))))
     first = known.groupBy("class_id").agg(F.min("least").alias("least"))
-    known = written(known.select("a", "b", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-                    .join(first, "class_id"), "lines-classes")
+    known = written(known.select("a", "b", "class_id").join(first, "class_id"), "lines-classes")
     return each.join(known, ["a", "b"]).select(
-        "doc_id", "copy", "number", "class_id", "n_links", (place == F.col("least")).alias("first"))
+        "doc_id", "copy", "number", "class_id", (place == F.col("least")).alias("first"))
 
 
 def _cut_batches(digest: bool):
@@ -352,13 +405,12 @@ def _cut_batches(digest: bool):
 
 def _cut(docs: DataFrame, max_edits: int, min_chars: int, digest: bool) -> DataFrame:
     """Every row of ``docs`` (doc_id, text and any further columns, which are kept) with
-    n_links, line_classes, n_lines, n_removed and kept instead of the text."""
+    line_classes, n_lines, n_removed and kept instead of the text."""
     arrow_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c != "text"]
     docs = with_copy(docs)
     classes = line_classes(docs, max_edits, min_chars)
     per_doc = written(classes.groupBy("doc_id", "copy").agg(
-        F.sum("n_links").alias("n_links"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "class_id"))),
                                  lambda x: F.concat_ws(":", x["number"], x["class_id"])), ",").alias("line_classes"),
         F.collect_list(F.when(~F.col("first"), F.col("number"))).alias("gone")), "lines-docs")
@@ -366,11 +418,10 @@ def _cut(docs: DataFrame, max_edits: int, min_chars: int, digest: bool) -> DataF
     bitmap = row_bitmap(per_doc, index)
     may = bitmap_filter(docs, bitmap, index).join(per_doc, ["doc_id", "copy"], "left")
     clear = bitmap_filter(docs, bitmap, index, keep=False).select(
-        "*", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("string").alias("line_classes"),
+        "*", F.lit(None).cast("string").alias("line_classes"),
         F.lit(None).cast("array<long>").alias("gone"))
     rows = may.unionByName(clear).select(
-        *keep, F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("line_classes", F.lit("")).alias("line_classes"), "text", "gone")
+        *keep, F.coalesce("line_classes", F.lit("")).alias("line_classes"), "text", "gone")
     schema = T.StructType([f for f in rows.schema if f.name not in ("text", "gone")]
                           + [T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()),
                              T.StructField("kept", T.StringType())])
@@ -379,7 +430,7 @@ def _cut(docs: DataFrame, max_edits: int, min_chars: int, digest: bool) -> DataF
 
 def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
                 digest: bool = False) -> DataFrame:
-    """doc_id, n_links, line_classes (``line number:class`` of every line in a class,
+    """doc_id, line_classes (``line number:class`` of every line in a class,
     comma-joined), n_lines, n_removed, kept (text left, or its SHA-256) of every row."""
     return _cut(docs.select("doc_id", "text"), max_edits, min_chars, digest)
 
