@@ -31,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,30 +48,18 @@ BLOCK, PAIRS_PER_LINE = 1 << 11, 2
 BITMAP_BITS = 23
 BASE = 0x9FB21C651E98DF25
 INDEX, PROBE = 0, 1
-NEWLINE = X.separators(0x0A)
-
-
-def lines_of(column: pa.Array, min_chars: int):
-    """Lines of at least ``min_chars`` code points of all rows: (code points of all rows,
-    row, line number, start, end)."""
-    texts = [t or "" for t in column.to_pylist()]
-    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    size = np.array([len(t) for t in texts], np.int64)
-    ends_at = np.cumsum(size)
-    first = ends_at - size
-    breaks = np.flatnonzero(points == 0x0A)
-    # every row ends a line; order borders by place, a row's end after its last break
-    place = np.concatenate((breaks, ends_at))
-    row = np.concatenate((np.searchsorted(ends_at, breaks, "right"), np.arange(len(texts))))
-    order = np.lexsort((place, row))
-    place, row = place[order], row[order]
-    lead = run_starts(row)
-    start = np.empty(len(place), np.int64)
-    start[1:] = place[:-1] + 1
-    start[lead] = first[row[lead]]
-    number = np.arange(len(place)) - np.repeat(lead, np.diff(np.append(lead, len(row))))
-    keep = place - start >= min_chars
-    return points, row[keep], number[keep], start[keep], place[keep]
+
+
+def lines_of(texts: list, min_chars: int):
+    """(row, line number, line) of every line of at least ``min_chars`` code points."""
+    return [(row, number, line) for row, text in enumerate(texts) if text
+            for number, line in enumerate(text.split("\n")) if len(line) >= min_chars]
+
+
+def identities(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each line as two halves: the first names it, both identify it."""
+    both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in lines), ">u8").reshape(-1, 2)
+    return both[:, 1].astype(U64), both[:, 0].astype(U64)
 
 
 class Prefix:
@@ -92,15 +81,6 @@ class Prefix:
                          + (end - start).astype(U64))
 
 
-def identities(prefix: Prefix, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each line: the first names it, both together identify it."""
-    whole = prefix(start, end)
-    half = (start + end) // 2
-    with np.errstate(over="ignore"):
-        other = X.mix(prefix(start, half) * U64(3) ^ (prefix(half, end) + U64(0x51)))
-    return whole, other
-
-
 def segments(length: np.ndarray, parts: int) -> tuple[list, list]:
     """Offsets and lengths of ``parts`` even segments, the longer ones last."""
     short, longer = length // parts, length % parts
@@ -155,13 +135,14 @@ def _entry_batches(max_edits: int, min_chars: int, buckets: int):
     def run(batches):
         for batch in batches:
             for part in X.chunks(batch, limit=2 << 20):
-                points, _, _, start, end = lines_of(part.column("text"), min_chars)
-                if not len(start):
+                lines = list({x for _, _, x in lines_of(part.column("text").to_pylist(), min_chars)})
+                if not lines:
                     continue
+                name, _ = identities(lines)
+                points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+                end = np.cumsum([len(x) for x in lines])
+                start = np.concatenate(([0], end[:-1]))
                 prefix = Prefix(points)
-                name = prefix(start, end)
-                _, once = np.unique(name, return_index=True)
-                start, end, name = start[once], end[once], name[once]
                 parity = parities(points, start, end)
                 line, key, role = signatures(prefix, start, end, max_edits)
                 order = np.argsort(key, kind="stable")
@@ -303,11 +284,12 @@ def _occurrence_batches(min_chars: int):
         for batch in batches:
             for part in X.chunks(batch, limit=2 << 20):
                 part = part.filter(part.column("doc_id").is_valid())
-                points, row, number, start, end = lines_of(part.column("text"), min_chars)
-                a, b = identities(Prefix(points), start, end)
-                row = pa.array(row)
+                found = lines_of(part.column("text").to_pylist(), min_chars)
+                row, number, lines = zip(*found, strict=True) if found else ((), (), ())
+                a, b = identities(lines)
+                row = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(row), part.column("copy").take(row), pa.array(number),
+                    [part.column("doc_id").take(row), part.column("copy").take(row), pa.array(number, pa.int64()),
                      pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
                     names=["doc_id", "copy", "number", "a", "b"])
     return run
@@ -319,15 +301,12 @@ def _text_batches(min_chars: int, wanted):
         bits = np.frombuffer(wanted.value, np.uint8)
         for batch in batches:
             for part in X.chunks(batch, limit=2 << 20):
-                points, _, _, start, end = lines_of(part.column("text"), min_chars)
-                name = Prefix(points)(start, end)
+                lines = list({x for _, _, x in lines_of(part.column("text").to_pylist(), min_chars)})
+                name, _ = identities(lines)
                 slot = (name & U64((1 << BITMAP_BITS) - 1)).astype(np.int64)
                 pick = np.flatnonzero(bits[slot >> 3] >> (slot & 7) & 1)
-                pick = pick[np.unique(name[pick], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name[pick].view(np.int64)),
-                     pa.array([points[s:e].tobytes().decode("utf-32-le") for s, e in
-                               zip(start[pick], end[pick], strict=True)], pa.string())],
+                    [pa.array(name[pick].view(np.int64)), pa.array([lines[i] for i in pick], pa.string())],
                     names=["name", "line"])
     return run
 
