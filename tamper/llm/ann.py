@@ -149,10 +149,11 @@ def _prefix(level: str) -> str:
     return f"shiftright(code, cast(({SYMBOLS} - {level}) * {SYMBOL_BITS} as int))"
 
 
-def chosen_levels(forest: DataFrame, asked: DataFrame, total: int) -> DataFrame:
+def chosen_levels(forest: DataFrame, asked: DataFrame, total: int, least: int):
     """(query, level): the longest common prefix length at which all trees together hold
-    enough entries; 0 if none does."""
-    enough = min(EFFORT * total ** 0.5, total)
+    enough entries and one tree alone holds ``least`` different ones; 0 if none does. And
+    the counts (tree, level, prefix, n)."""
+    enough = EFFORT * total ** 0.5
     levels = F.explode(F.sequence(F.lit(1), F.lit(SYMBOLS))).alias("level")
     counts = (forest.select("tree", "code", levels)
               .groupBy("tree", "level", F.expr(_prefix("level")).alias("prefix"))
@@ -161,7 +162,8 @@ def chosen_levels(forest: DataFrame, asked: DataFrame, total: int) -> DataFrame:
     own = asked.select(F.col("cid").alias("query"), "tree", "code", levels).withColumn(
         "prefix", F.expr(_prefix("level")))
     reach = (own.join(counts, ["tree", "level", "prefix"])
-             .groupBy("query", "level").agg(F.sum("n").alias("n")).where(F.col("n") >= enough)
+             .groupBy("query", "level").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+             .where((F.col("n") >= enough) & (F.col("most") >= least))
              .groupBy("query").agg(F.max("level").alias("level")))
     all_queries = asked.select(F.col("cid").alias("query")).distinct()
     return all_queries.join(reach, "query", "left").select(
@@ -201,7 +203,7 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY, neighbours: int = NEIGH
         .repartitionByRange("tree", "code").sortWithinPartitions("tree", "code"), "ann-forest")
     own = written(asked.mapInArrow(_code_batches(largest, SYMBOLS, True, True),
                                    "cid long, tree int, code long, h binary"), "ann-own")
-    level, counts = chosen_levels(forest, own.drop("h"), total)
+    level, counts = chosen_levels(forest, own.drop("h"), total, neighbours + 1)
     level = written(level, "ann-levels")
     used = sorted(r["level"] for r in level.select("level").distinct().collect())  # at most SYMBOLS + 1
 
