@@ -20,6 +20,7 @@ LETTER, NUMBER, SPACE, OTHER, ODD = range(5)
 SPECIAL = "<|endoftext|>"
 SLOTS = 1 << 19
 LONGEST = 64  # longer pre-tokens are encoded each time, not kept
+ENCODED = 4096
 
 
 @lru_cache(maxsize=1)
@@ -123,9 +124,12 @@ class Tokens:
             strings = [whole[a:b].tobytes().decode("utf-32-le") for a, b in
                        zip(starts[lead], ends[lead], strict=True)]
             where, count = np.empty(len(lead), np.int64), np.empty(len(lead), np.int64)
-            for i, e in enumerate(self.tokenizer.encode_batch(strings, add_special_tokens=False)):
-                count[i] = len(e.ids)
-                where[i] = self._keep(e.ids)
+            # an encoding is far larger than its ids: few are held at a time
+            for lo in range(0, len(strings), ENCODED):
+                some = self.tokenizer.encode_batch(strings[lo:lo + ENCODED], add_special_tokens=False)
+                for i, e in enumerate(some, lo):
+                    count[i] = len(e.ids)
+                    where[i] = self._keep(e.ids)
             at[miss], size[miss] = where[back], count[back]
             short = ends[lead] - starts[lead] <= LONGEST
             put = slot[lead][short]

@@ -29,6 +29,7 @@ from tamper.llm._spark import arrow_batches, boxed, table, unboxed
 
 PASSAGE = 64
 MAX_BAG = 256
+CHUNK = 2 << 20  # text bytes that a worker encodes at a time
 HIDDEN, GATE = 24, 12
 EPOCHS, RATE, DECAY = 220, 0.02, 1e-4
 
@@ -167,7 +168,7 @@ class Constant:
 def _feature_batches(batches):
     """Labelled documents -> their passages, evenly thinned to MAX_BAG, as bytes."""
     for batch in batches:
-        for part in X.chunks(batch):
+        for part in X.chunks(batch, limit=CHUNK):
             x, first = encode(part.column("text"))
             blobs = []
             for a, b in zip(first[:-1], first[1:], strict=True):
@@ -195,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train:
 def _score_batches(model):
     def run(batches):
         for batch in batches:
-            for part in X.chunks(batch):
+            for part in X.chunks(batch, limit=CHUNK):
                 x, first = encode(part.column("text"))
                 score = model.score(x, first)
                 cols = [part.column(c) for c in part.schema.names if c != "text"]
@@ -215,7 +216,7 @@ def score(docs: DataFrame, model) -> DataFrame:
 def _accept_batches(model, threshold: float):
     def run(batches):
         for batch in batches:
-            for part in X.chunks(batch):
+            for part in X.chunks(batch, limit=CHUNK):
                 yield part.filter(pa.array(model.score(*encode(part.column("text"))) >= threshold))
     return run
 
