@@ -661,6 +661,20 @@ FROM orders_landing""")
 
 # ------------------------------------------------------------------ ingestion / streaming
 SQL["ingest_json"] = with_orders(f"SELECT {', '.join(ORDER_COLS)} FROM orders_landing")
+SQL["load_staged_orders"] = SQL["ingest_json"]
+SQL["load_staged_emissions"] = with_emissions(
+    f"SELECT {', '.join(EMISSION_COLS)} FROM emissions_landing")
+SQL["ingest_json_emissions"] = with_emissions(f"""
+SELECT {', '.join('WAREHOUSE_NAME AS WAREHOUSE_COUNTRY' if c == 'WAREHOUSE_COUNTRY' else c
+                  for c in EMISSION_COLS)}
+FROM emissions_landing""")
+SQL["ingest_quarantine"] = with_orders("""
+SELECT CASE WHEN n % 7 = 0 OR n % 11 = 0 OR n % 13 = 0 OR PURCHASE_TIME IS NULL
+            THEN 'quarantine' ELSE 'good' END AS side,
+  count(*) AS n_rows, count(DISTINCT TXID) AS n_keys
+FROM (SELECT TXID, PURCHASE_TIME,
+        CAST(regexp_replace(TXID, '[^0-9]', '', 'g') AS HUGEINT) AS n FROM orders_landing)
+GROUP BY 1""")
 SQL["stream_pipeline"] = SQL["upsert_orders"]
 SQL["stream_pipeline_limited"] = SQL["upsert_orders"]
 SQL["upsert_orders_broadcast"] = SQL["upsert_orders"]

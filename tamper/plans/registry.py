@@ -174,17 +174,72 @@ def stream_pipeline_emissions(spark, sf_dir):
     return _stream("emissions", spark, sf_dir)
 
 
-def ingest_json(spark, sf_dir):
-    """S1/S3/S5/S12 + C0: land the orders as JSON lines, read them back with
-    the landing schema, keep the rows that pass the checks."""
-    from tamper.schemas import ORDER_COLUMNS
+def _landed(entity: str, spark, sf_dir):
+    from tamper.schemas import SCHEMAS
+
+    raw = raw_orders(spark, sf_dir) if entity == "orders" else raw_emissions(spark, sf_dir)
+    return raw.select(*SCHEMAS[entity].names)
+
+
+def _ingest_json(entity: str) -> Query:
+    """S1-S6/S12 + C0: land the rows as JSON lines, read them back with the landing
+    schema, keep the rows that pass the checks."""
+    def q(spark, sf_dir):
+        from tamper.session import scratch_path
+        from tamper.sources import ingest
+
+        df = _landed(entity, spark, sf_dir)
+        if entity == "emissions":  # a required key; the test warehouses are named by country
+            df = df.withColumn("WAREHOUSE_COUNTRY", F.col("WAREHOUSE_NAME"))
+        folder = ingest.land_json(df, scratch_path(spark, "landing"), entity, "batch")
+        return ingest.to_raw(ingest.read_json(spark, folder, entity), entity, keep=())[0]
+    return q
+
+
+#: Types of a staging writer that knows neither decimals nor dates.
+STAGED_TYPES = {"decimal": "double", "integer": "bigint", "date": "string"}
+
+
+def _staged(entity: str, spark, sf_dir, broken: bool = False):
+    """The landed rows staged as Parquet of other physical types. ``broken``: every
+    seventh quantity of an order is not a whole number, every eleventh price has more
+    digits than the column, every thirteenth purchase date does not parse."""
     from tamper.session import scratch_path
     from tamper.sources import ingest
 
-    folder = ingest.land_json(raw_orders(spark, sf_dir).select(*ORDER_COLUMNS),
-                              scratch_path(spark, "landing"), "orders", "batch")
-    good, _bad = ingest.to_raw(ingest.read_json(spark, folder, "orders"), "orders")
-    return good.select(*ORDER_COLUMNS)
+    df = _landed(entity, spark, sf_dir)
+    df = df.select(*[F.col(f.name).cast(STAGED_TYPES.get(f.dataType.typeName(), f.dataType))
+                     .alias(f.name) for f in df.schema.fields])
+    if broken:
+        n = F.regexp_replace("TXID", "[^0-9]", "").cast("decimal(38,0)")
+        df = df.withColumns({
+            "QUANTITY": F.when(n % 7 == 0, F.col("QUANTITY").cast("double") + F.lit(0.5))
+                         .otherwise(F.col("QUANTITY").cast("double")),
+            "UNIT_PRICE": F.when(n % 11 == 0, F.lit(1e12)).otherwise(F.col("UNIT_PRICE")),
+            "PURCHASE_TIME": F.when(n % 13 == 0, F.lit("2025-13-01"))
+                              .otherwise(F.concat("PURCHASE_TIME", F.lit("T10:20:30")))})
+    path = scratch_path(spark, "staged")
+    df.write.mode("overwrite").parquet(path)
+    return ingest.load_staged(spark, path, entity)
+
+
+def load_staged_orders(spark, sf_dir):
+    """Staged order files whose types are not the table's."""
+    return _staged("orders", spark, sf_dir)[0]
+
+
+def load_staged_emissions(spark, sf_dir):
+    """Staged emission files whose types are not the table's."""
+    return _staged("emissions", spark, sf_dir)[0]
+
+
+def ingest_quarantine(spark, sf_dir):
+    """Good and quarantined rows of staged orders with seeded bad values."""
+    good, bad = _staged("orders", spark, sf_dir, broken=True)
+    return (good.select(F.lit("good").alias("side"), "TXID")
+            .unionByName(bad.select(F.lit("quarantine").alias("side"), "TXID"))
+            .groupBy("side").agg(F.count(F.lit(1)).alias("n_rows"),
+                                 F.countDistinct("TXID").alias("n_keys")))
 
 
 QUERIES: dict[str, Query] = {
@@ -255,7 +310,11 @@ QUERIES: dict[str, Query] = {
     "delivery_delay": enrichment.delivery_delay,
     "rule_checks": enrichment.rule_checks,
     # ingestion and streaming
-    "ingest_json": ingest_json,
+    "ingest_json": _ingest_json("orders"),
+    "ingest_json_emissions": _ingest_json("emissions"),
+    "load_staged_orders": load_staged_orders,
+    "load_staged_emissions": load_staged_emissions,
+    "ingest_quarantine": ingest_quarantine,
     "stream_pipeline": stream_pipeline,
     "stream_pipeline_limited": stream_pipeline_limited,
     "stream_pipeline_emissions": stream_pipeline_emissions,

@@ -211,6 +211,21 @@ def test_load_raw_matches_columns_by_name(spark, scratch):
     assert "EXTRA" not in got.asDict() and str(got.AVG_BATCH_SIZE_KG) == "3.50"
 
 
+def test_load_staged_takes_other_types_and_keeps_bad_rows(spark, scratch):
+    rows = [("t-1", 3.456, 2, "2024-03-05T13:45:12"), ("t-2", 1e12, 2, "2024-03-05"),
+            ("t-3", 1.0, 2, "2024-13-05"), (None, 1.0, 2, "2024-03-05"),
+            ("t-5", None, None, "2024-03-05"), ("t-6", float("nan"), 2, "2024-03-05")]
+    spark.createDataFrame(rows, "txid string, unit_price double, quantity long, purchase_time string") \
+        .withColumn("extra", F.lit(1)).write.parquet(f"{scratch}/staged")
+    good, bad = ingest.load_staged(spark, f"{scratch}/staged", "orders")
+    assert good.schema.names == ingest.ORDER_SCHEMA.names
+    got = {r.TXID: r for r in good.collect()}
+    assert set(got) == {"t-1", "t-5"} and str(got["t-1"].UNIT_PRICE) == "3.46"
+    assert got["t-1"].PURCHASE_TIME == dt.date(2024, 3, 5) and got["t-5"].QUANTITY is None
+    assert sorted(str(r.txid) for r in bad.collect()) == ["None", "t-2", "t-3", "t-6"]
+    assert bad.columns == ["txid", "unit_price", "quantity", "purchase_time", "extra"]
+
+
 def test_write_batch_caps_records_per_file(spark, scratch):
     df = spark.range(5).coalesce(1).selectExpr("cast(id as string) as k")
     ingest.write_batch(df, f"{scratch}/capped", 3, max_records_per_file=2)
