@@ -60,7 +60,7 @@ orders_base AS (
     upper(p_name) AS ITEM,
     CASE WHEN p_size <= 16 THEN '250g' WHEN p_size <= 33 THEN '500g' ELSE '1kg' END AS BAG_SIZE,
     CAST(p_retailprice AS DECIMAL(10,2)) AS UNIT_PRICE,
-    CAST(l_quantity AS INTEGER) AS QUANTITY,
+    CAST(l_quantity AS BIGINT) AS QUANTITY,
     CAST(l_extendedprice AS DECIMAL(12,2)) AS TOTAL_PRICE,
     sn.n_name AS ORIGIN_COUNTRY,
     CAST(o_orderdate AS DATE) AS PURCHASE_TIME,
@@ -79,7 +79,7 @@ orders_base AS (
          WHEN l_returnflag = 'R' THEN 'Returned' ELSE 'Delivered' END AS DELIVERY_STATUS,
     o_orderpriority AS PAYMENT_METHOD,
     CASE WHEN l_returnflag = 'A' OR o_orderstatus = 'P' THEN NULL
-         ELSE CAST((l_linenumber % 4) + (CAST(l_quantity AS INTEGER) % 20 + 1) AS INTEGER)
+         ELSE CAST((l_linenumber % 4) + (CAST(l_quantity AS INTEGER) % 20 + 1) AS BIGINT)
     END AS DELIVERY_DELAY_DAYS,
     l_shipdate AS INGEST_TS, l_partkey AS SEQ1, l_suppkey AS SEQ2
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -177,7 +177,7 @@ emissions_landing AS (
     n_name AS ORIGIN_COUNTRY,
     CASE l_linenumber % 3 WHEN 0 THEN 'Local' WHEN 1 THEN 'Regional' ELSE 'Intercontinental' END AS DISTANCE_CLASS,
     CASE l_linenumber % 4 WHEN 0 THEN 'Standard' WHEN 1 THEN 'Express' WHEN 2 THEN 'EcoDelivery' ELSE 'Local Pickup' END AS SHIPPING_METHOD,
-    CAST(l_quantity AS INTEGER) - 1 AS SHIPMENTS_COUNT,
+    CAST(l_quantity AS BIGINT) - 1 AS SHIPMENTS_COUNT,
     CAST(50 + 4 * p_size AS DECIMAL(10,2)) AS AVG_BATCH_SIZE_KG,
     CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (CAST(l_discount AS DECIMAL(4,2)) - CAST(0.02 AS DECIMAL(4,2))) AS DECIMAL(12,2)) AS ESTIMATED_EMISSIONS_KGCO2E,
     CAST(NULL AS VARCHAR) AS RAW_PAYLOAD,

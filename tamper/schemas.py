@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Whole numbers are NUMBER(10, 0): ten digits, more than an INT holds.
+WHOLE_DIGITS = 10
+
 ORDER_KEY = "TXID"
 EMISSION_KEY = "RECORD_ID"
 
@@ -20,7 +23,7 @@ ORDER_SCHEMA = T.StructType([
     T.StructField("ITEM", T.StringType(), True),
     T.StructField("BAG_SIZE", T.StringType(), True),
     T.StructField("UNIT_PRICE", T.DecimalType(10, 2), True),
-    T.StructField("QUANTITY", T.IntegerType(), True),
+    T.StructField("QUANTITY", T.LongType(), True),
     T.StructField("TOTAL_PRICE", T.DecimalType(12, 2), True),
     T.StructField("ORIGIN_COUNTRY", T.StringType(), True),
     T.StructField("FAIR_TRADE_CERTIFIED", T.BooleanType(), True),
@@ -41,7 +44,7 @@ ORDER_SCHEMA = T.StructType([
     T.StructField("DELIVERY_STATUS", T.StringType(), True),
     T.StructField("PAYMENT_METHOD", T.StringType(), True),
     T.StructField("PAYMENT_STATUS", T.StringType(), True),
-    T.StructField("DELIVERY_DELAY_DAYS", T.IntegerType(), True),
+    T.StructField("DELIVERY_DELAY_DAYS", T.LongType(), True),
     T.StructField("CARBON_SCORE", T.DecimalType(10, 2), True),
     # VARIANT in the reference and never filled by its ingester; a nullable
     # string keeps the column (and the schema width) without a variant reader.
@@ -57,7 +60,7 @@ EMISSION_SCHEMA = T.StructType([
     T.StructField("ORIGIN_COUNTRY", T.StringType(), True),
     T.StructField("DISTANCE_CLASS", T.StringType(), True),
     T.StructField("SHIPPING_METHOD", T.StringType(), True),
-    T.StructField("SHIPMENTS_COUNT", T.IntegerType(), True),
+    T.StructField("SHIPMENTS_COUNT", T.LongType(), True),
     T.StructField("AVG_BATCH_SIZE_KG", T.DecimalType(10, 2), True),
     T.StructField("ESTIMATED_EMISSIONS_KGCO2E", T.DecimalType(12, 2), True),
     T.StructField("RAW_PAYLOAD", T.StringType(), True),

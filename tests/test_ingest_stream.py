@@ -226,6 +226,15 @@ def test_load_staged_takes_other_types_and_keeps_bad_rows(spark, scratch):
     assert bad.columns == ["txid", "unit_price", "quantity", "purchase_time", "extra"]
 
 
+def test_whole_numbers_have_ten_digits(spark):
+    from pyspark.sql import types as T
+
+    texts = ["3000000000", "9999999999", "10000000000", "2.0", "2.5", "x", None, "-9999999999"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.v for r in df.select(ingest.typed_value(F.col("t"), T.LongType()).alias("v")).collect()]
+    assert got == [3000000000, 9999999999, None, 2, None, None, None, -9999999999]
+
+
 def test_write_batch_caps_records_per_file(spark, scratch):
     df = spark.range(5).coalesce(1).selectExpr("cast(id as string) as k")
     ingest.write_batch(df, f"{scratch}/capped", 3, max_records_per_file=2)
