@@ -277,6 +277,49 @@ def test_recall_on_the_embeddings(spark):
     assert hit >= 0.9 * len(got)
 
 
+def vectors(spark, x):
+    return spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+
+
+def forest_recall(df):
+    """Of the neighbours by brute force over all rows."""
+    e = df.toPandas().set_index("vec_id")
+    x = np.stack(e.embedding.to_numpy()).astype(float)
+    got, hit = ann.search(df).toPandas(), 0
+    for q, g in got.groupby("query_id"):
+        s = x @ x[e.index.get_loc(q)]
+        s[e.index.get_loc(q)] = -np.inf
+        hit += len(set(e.index[np.argsort(-s)[:20]]) & set(g.vec_id))
+    return hit / len(got)
+
+
+def test_recall_where_prefixes_decide(spark, monkeypatch):
+    assert forest_recall(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")) >= 0.9
+    levels = {}
+
+    def keep(df, name, **options):
+        levels[name] = written(df, name, **options)
+        return levels[name]
+
+    written = ann.written
+    monkeypatch.setattr(ann, "written", keep)
+    rng = np.random.default_rng(6)
+    tight = np.repeat(rng.standard_normal((80, 64)), 75, axis=0) + 0.5 * rng.standard_normal((6000, 64))
+    assert forest_recall(vectors(spark, tight.astype(np.float32))) >= 0.9
+    assert levels["ann-levels"].where("level = 0").isEmpty() and levels["ann-again"].where("level = 0").isEmpty()
+
+
+def test_chances_are_those_of_the_prefixes():
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((400, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(axis=1)[:, None] * x
+    y = 0.7 * x + 0.51 ** 0.5 * side / np.linalg.norm(side, axis=1)[:, None]
+    same = ann.prefixes(x, 1.0, 2, True) == ann.prefixes(y, 1.0, 2, False)
+    assert abs(same.any(axis=1).mean() - ann.collisions()[0, 2, 70]) < 0.1
+
+
 # --- 3, 6, 8 ---------------------------------------------------------------
 
 def test_sharding(spark, docs, none):
