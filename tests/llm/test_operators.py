@@ -320,6 +320,15 @@ def test_chances_are_those_of_the_prefixes():
     assert abs(same.any(axis=1).mean() - ann.collisions()[0, 2, 70]) < 0.1
 
 
+def test_near_copies_and_one_long_vector(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.standard_normal(32) + 1e-5 * rng.standard_normal((2000, 32)), rng.standard_normal((100, 32))])
+    assert forest_recall(vectors(spark, x.astype(np.float32))) >= 0.99
+    x = rng.standard_normal((600, 32)).astype(np.float32)
+    x[599] *= 1e7
+    assert forest_recall(vectors(spark, x)) >= 0.99
+
+
 # --- 3, 6, 8 ---------------------------------------------------------------
 
 def test_sharding(spark, docs, none):
