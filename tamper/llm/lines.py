@@ -13,7 +13,9 @@ distance: one small integer per error count, a bit for each diagonal of the band
 Equal lines are one class before anything is joined (a min per line hash, combined
 map-side); links between different lines are joined to classes by connected components.
 Each class keeps its first line, by (doc_id, copy, line number), and every other one is
-removed. Lines shorter than ``min_chars`` carry too little to be called repeats and stay.
+removed. Equal lines of any length are a class; lines shorter than ``min_chars`` take no
+part in the edit join, where two edits would change too much of them. Shorter lines of
+white space alone separate others and stay.
 
 Skew: a line in a third of all documents is one class row after map-side combining; each
 chunk sends a line's entries once. A key that many similar lines share sends its lines,
@@ -50,10 +52,12 @@ BASE = 0x9FB21C651E98DF25
 INDEX, PROBE = 0, 1
 
 
-def lines_of(texts: list, min_chars: int):
-    """(row, line number, line) of every line of at least ``min_chars`` code points."""
+def lines_of(texts: list, min_chars: int, short: bool = False):
+    """(row, line number, line) of every line of at least ``min_chars`` code points; with
+    ``short`` also of every shorter one that is not blank."""
     return [(row, number, line) for row, text in enumerate(texts) if text
-            for number, line in enumerate(text.split("\n")) if len(line) >= min_chars]
+            for number, line in enumerate(text.split("\n"))
+            if len(line) >= min_chars or short and line.strip()]
 
 
 def identities(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -284,7 +288,7 @@ def _occurrence_batches(min_chars: int):
         for batch in batches:
             for part in X.chunks(batch, limit=2 << 20):
                 part = part.filter(part.column("doc_id").is_valid())
-                found = lines_of(part.column("text").to_pylist(), min_chars)
+                found = lines_of(part.column("text").to_pylist(), min_chars, short=True)
                 row, number, lines = zip(*found, strict=True) if found else ((), (), ())
                 a, b = identities(lines)
                 row = pa.array(row, pa.int64())

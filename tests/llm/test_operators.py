@@ -228,6 +228,12 @@ def test_lines(docs, none):
     assert lines.without_repeats(docs).columns == docs.columns
 
 
+def test_short_lines(spark):
+    docs = spark.createDataFrame([(1, "menu\n\nx\nmenus"), (2, "menu\n\n \nmenu"), (3, "x\n \n")], "doc_id long, text string")
+    got = {r.doc_id: (r.kept, r.n_removed) for r in lines.dedup_lines(docs).collect()}
+    assert got == {1: ("menu\n\nx\nmenus", 0), 2: ("\n ", 2), 3: (" \n", 1)}
+
+
 def test_crowded_keys_give_links_not_pairs(spark):
     """Many near copies of one line: all in one class, with fewer links than pairs."""
     line = "the quick brown fox jumps over the lazy dog near the river bank"
