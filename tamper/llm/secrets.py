@@ -1,7 +1,8 @@
 """Operator 8: secret scans with password guess costs.
 
 Three base kinds are plain patterns (assignments, access keys, hex strings). The method
-proper looks at values in a credential context ("password is ...", "pwd=...", "auth: ...")
+proper looks at values in a credential context ("password is ...", "pwd=...", "auth: ...",
+"Bearer ..." with a value that is no plain word)
 and computes the least number of guesses (log2) over all segmentations of the value into
 dictionary words (also capitalised or with digits for letters), dates, repeats, keyboard
 walks and brute-force spans, by dynamic programming from left to right. Values that cost
@@ -35,8 +36,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CONTEXT = re.compile(r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|"
                      r"private[_-]?key|auth(?:orization)?|credential|bearer)s?[\"']?\x20*"
                      r"(?:[:=]+>?|\x20is\x20)\x20*[\"']?([^\s\"'<>,;(){}]+)", re.I | re.A)
-HINTS = ("pass", "pwd", "secret", "token", "api", "key", "auth", "credential", "bearer")
-LEAST, STRONG = 6, 36.0
+SCHEME = re.compile(r"\b(?:bearer|basic|token|digest|negotiate)\x20+[\"']?([^\s\"'<>,;(){}]+)", re.I | re.A)
+SCHEMES = ("bearer", "basic", "token", "digest", "negotiate")
+TOKEN = re.compile(r"[0-9+/=_]|[a-z].*[A-Z]", re.A)
+HINTS = ("pass", "pwd", "secret", "token", "api", "key", "auth", "credential", "bearer", "basic",
+         "digest", "negotiate")
+LEAST, STRONG = 6, 33.0
 
 # Common words of passwords and placeholders, most common first.
 WORDS = """password pass admin user login welcome letmein secret qwerty test master dragon
@@ -48,7 +53,7 @@ database default changeme example sample dummy placeholder none null true false
 your my here insert value token key api the new old temp demo prod dev stage public
 private service account client app web mail home work office company school apple google
 january february march april may june july august september october november december
-monday tuesday wednesday thursday friday saturday sunday""".split()
+monday tuesday wednesday thursday friday saturday sunday api_key access_key""".split()
 RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
 LONGEST_WORD = max(map(len, WORDS))
 LEET = str.maketrans("4301$5@7!8", "aeolssatib")
@@ -69,9 +74,9 @@ def _neighbours() -> dict[str, set[str]]:
 NEAR = _neighbours()
 
 
-def _char_bits(c: str) -> float:
+def _char_bits(c: str, mixed: bool = False) -> float:
     if c.isascii():
-        return log2(10 if c.isdigit() else 26 if c.isalpha() else 33)
+        return log2(10 if c.isdigit() else 52 if c.isalpha() and mixed else 26 if c.isalpha() else 33)
     return log2(100)
 
 
@@ -81,6 +86,7 @@ def guess_bits(value: str) -> float:
     if len(low) != n:  # a letter whose lower case is longer
         low = value
     plain = low.translate(LEET)
+    mixed = value[1:] != value[1:].lower() and value != value.upper()  # more than a first capital
     best = [0.0] + [float("inf")] * n
     dates = {}
     for i in range(n):
@@ -93,7 +99,7 @@ def guess_bits(value: str) -> float:
             if here + bits < best[end]:
                 best[end] = here + bits
 
-        reach(i + 1, _char_bits(value[i]))
+        reach(i + 1, _char_bits(value[i], mixed))
         for size in range(3, min(LONGEST_WORD, n - i) + 1):
             for text, extra in ((low, 0), (plain, 1)):
                 if rank := RANK.get(text[i:i + size]):
@@ -115,7 +121,7 @@ def guess_bits(value: str) -> float:
             while len(piece) == unit and value.startswith(piece, end):
                 end += unit
                 if end - i >= 3:
-                    reach(end, sum(map(_char_bits, piece)) + log2((end - i) / unit))
+                    reach(end, sum(_char_bits(c, mixed) for c in piece) + log2((end - i) / unit))
     return best[n]
 
 
@@ -125,8 +131,10 @@ def scan(text: str, may_hex: bool = True) -> list[tuple[int, int, str]]:
     low = text.lower()
     if any(h in low for h in HINTS):
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-        found += [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text)
-                  if len(m[1]) >= LEAST and guess_bits(m[1]) >= STRONG]
+        # after a scheme stand blanks alone, as in prose: a value there has to look like a token
+        values = {m.span(1) for m in CONTEXT.finditer(text) if m[1].lower() not in SCHEMES}
+        values |= {m.span(1) for m in SCHEME.finditer(text) if TOKEN.search(m[1])}
+        found += [(a, 3, b) for a, b in values if b - a >= LEAST and guess_bits(text[a:b]) >= STRONG]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     if may_hex:
