@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tamper.llm import (ann, decontaminate, lines, packing, quality, secrets, sharding, simhash,
-                        substring, toxicity)
+from tamper.llm import (ann, conversations, decontaminate, lines, packing, quality, secrets,
+                        sharding, simhash, sql, substring, toxicity)
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -16,7 +16,10 @@ QUERIES = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_prefix_forest": ann.op10_prefix_forest,
+    "op11_prefix_trie": conversations.op11_prefix_trie,
 }
 
 # DuckDB SQL with the same rows, where SQL can express the operator on whole tables.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_prefix_trie": sql.PREFIX_TRIE,
+}
