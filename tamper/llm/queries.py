@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tamper.llm import (ann, conversations, decontaminate, lines, packing, quality, secrets,
-                        sharding, simhash, sql, substring, toxicity)
+                        sharding, simhash, spelling, sql, substring, toxicity)
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -17,9 +17,11 @@ QUERIES = {
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_prefix_forest": ann.op10_prefix_forest,
     "op11_prefix_trie": conversations.op11_prefix_trie,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
 }
 
 # DuckDB SQL with the same rows, where SQL can express the operator on whole tables.
 SQL: dict[str, str] = {
     "op11_prefix_trie": sql.PREFIX_TRIE,
+    "op12_spelling_variants": sql.SPELLING,
 }

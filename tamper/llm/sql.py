@@ -35,11 +35,39 @@ child as (select prefix[1:depth - 1] as prefix, count(*) as n_children from node
 worth as (select node.*, coalesce(n_children, 0) as n_children, case when depth = 0 then 0 else
         (n_convs - 1) * len(regexp_extract_all(prefix[depth].text, '{WORDS}')) end as saved
     from node left join child using (prefix)),
-up as (select prefix, saved, n_children, unnest(range(depth + 1)) as at from worth),
-below as (select prefix[1:at] as prefix, sum(saved) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+up as (select prefix, saved, n_children, unnest(range(depth + 1)) as cut from worth),
+below as (select prefix[1:cut] as prefix, sum(saved) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
     from up group by 1)
 select w.conv_id, w.depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, b.n_leaves,
     b.saved_tokens::bigint as saved_tokens, sha256(coalesce(w.ends, '')) as ends_sha256
 from worth w join below b using (prefix)
 left join node p on w.depth > 0 and p.prefix = w.prefix[1:w.depth - 1] and p.depth = w.depth - 1
 """
+
+# Near words share a word with one letter removed; both removed at one place: a replacement.
+SPELLING = f"""
+with recursive {CRC_TABLE},
+run as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents),
+said as (select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run,
+    count(*) as n from run group by 1, 2),
+code as (select run, n, {crc32("flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''), lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [195::bigint, (unicode(c) - 64)::bigint] end))")} as h
+    from said, crc),
+form0 as (select case when h % 97 = 0 then left(run, (h % length(run))::int)
+        || substr(run, (h % length(run))::int + 2) else run end as word, n from code),
+word as (select word, sum(n)::bigint as n from form0 where length(word) >= 5 group by 1 having sum(n) >= 3),
+gone as (select word, n, unnest(range(length(word))) as i from word),
+less as (select word, n, i, left(word, i::int) || substr(word, i::int + 2) as rest from gone),
+pair as (select distinct a.word, b.word as near, b.n as near_n from less a join less b
+        on a.rest = b.rest and a.i = b.i and a.word <> b.word
+    union select a.word, w.word, w.n from less a join word w on a.rest = w.word
+    union select w.word, a.word, a.n from less a join word w on a.rest = w.word),
+best as (select word, count(*) as n_near, max(near_n) as top from pair group by 1),
+choice as (select b.word, n_near, top, min(near) as near from best b join pair p on p.word = b.word and near_n = top
+    group by 1, 2, 3),
+formed as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when top >= 2 * w.n then near end as form,
+        case when top >= 2 * w.n then top end as form_n from word w left join choice c using (word)),
+walk as (select word, word as at_word, form from formed
+    union all select walk.word, f.word, f.form from walk join formed f on walk.form = f.word)
+select f.word, f.n, f.n_near, f.form, f.form_n, w.at_word as root
+from formed f join walk w on w.word = f.word and w.form is null
+"""
