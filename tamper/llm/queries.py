@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tamper.llm import (ann, conversations, decontaminate, lines, packing, quality, secrets,
-                        sharding, simhash, spelling, sql, substring, toxicity)
+from tamper.llm import (ann, chosenpath, conversations, decontaminate, lines, packing, quality,
+                        secrets, sharding, simhash, spelling, sql, substring, toxicity)
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -18,10 +18,12 @@ QUERIES = {
     "op10_prefix_forest": ann.op10_prefix_forest,
     "op11_prefix_trie": conversations.op11_prefix_trie,
     "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_chosen_path": chosenpath.op13_chosen_path,
 }
 
 # DuckDB SQL with the same rows, where SQL can express the operator on whole tables.
 SQL: dict[str, str] = {
     "op11_prefix_trie": sql.PREFIX_TRIE,
     "op12_spelling_variants": sql.SPELLING,
+    "op13_chosen_path": sql.CHOSEN_PATH,
 }
