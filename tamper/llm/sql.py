@@ -75,15 +75,15 @@ from formed f join walk w on w.word = f.word and w.form is null
 CHOSEN_PATH = f"""
 with recursive doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '{WORDS}') as w from documents),
-cut as (select doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1),
+sets as (select doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1),
         lambda i: array_to_string(w[i:i + 3], ' '))) as s from doc),
-part as (select doc_id, len(s) as n, unnest(s) as shingle from cut),
-both as (select a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb, count(*) as k
+part as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+pairs as (select a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb, count(*) as k
     from part a join part b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2, 3, 4),
-link as (select a, b from both where 100 * k >= 80 * (na + nb - k)),
+link as (select a, b from pairs where 100 * k >= 80 * (na + nb - k)),
 reach as (select a, b from link union select r.a, l.b from reach r join link l on l.a = r.b),
 least_id as (select a, min(b) as b from reach group by 1)
 select doc_id, len(s) as n_shingles, least(doc_id, coalesce(b, doc_id)) as component_id,
     doc_id = least(doc_id, coalesce(b, doc_id)) as kept
-from cut left join least_id on a = doc_id
+from sets left join least_id on a = doc_id
 """
