@@ -77,9 +77,17 @@ def first_of_month(c) -> Column:
     return F.trunc(_col(c).cast(T.DateType()), "MM")
 
 
+# A time of day and zone after a date; the written date counts, not the day in UTC.
+TIME_SUFFIX = (r"(?:T|\s+)(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?"
+               r"\s*(?:Z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)?$")
+# ISO, compact, year first with slashes, month first with slashes, month names.
+DATE_FORMATS = ["yyyy-M-d", "yyyyMMdd", "yyyy/M/d", "M/d/yyyy", "MMM d, yyyy", "MMMM d, yyyy",
+                "d MMM yyyy", "d MMMM yyyy"]
+
+
 def try_date(c) -> Column:
-    """String -> DATE. Dates and ISO date-times (reduced to their date) are accepted; a bad
-    value (``2025-13-01``) becomes NULL."""
-    text = _col(c).cast("string")
-    full = F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(text))
-    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), full.cast(T.DateType()))
+    """String -> DATE in any of ``DATE_FORMATS``, with or without a time of day and zone.
+    The date is the one that is written, whatever the zone; a bad value (``2025-13-01``)
+    becomes NULL."""
+    day = F.regexp_replace(F.trim(_col(c).cast("string")), TIME_SUFFIX, "")
+    return F.coalesce(*[F.try_to_date(day, f) for f in DATE_FORMATS])

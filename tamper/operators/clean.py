@@ -44,7 +44,7 @@ def latest_per_key(df: DataFrame, keys: str | list[str], order_by: list[str] | N
     only its own top row per key before the shuffle, so even a key holding a
     third of all rows sends at most one row per input partition."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order_by = order_by or SEQ_COLUMNS
+    order_by = order_by or [c for c in SEQ_COLUMNS if c in df.columns]
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
     return (df.withColumn("__rn", F.row_number().over(w))
               .where(F.col("__rn") == 1).drop("__rn"))

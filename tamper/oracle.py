@@ -680,3 +680,27 @@ SQL["stream_pipeline_limited"] = SQL["upsert_orders"]
 SQL["upsert_orders_broadcast"] = SQL["upsert_orders"]
 SQL["upsert_emissions_broadcast"] = SQL["upsert_emissions"]
 SQL["stream_pipeline_emissions"] = SQL["upsert_emissions"]
+
+# Staged by three writers; a third has text prices, every eleventh of them no number.
+_STAGED = """SELECT *, CAST(regexp_replace(TXID, '[^0-9]', '', 'g') AS HUGEINT) AS n FROM orders_landing"""
+_FITS = "PURCHASE_TIME IS NOT NULL AND NOT (n % 3 = 1 AND n % 11 = 0)"
+SQL["load_staged_mixed"] = with_orders(
+    f"SELECT {', '.join(ORDER_COLS)} FROM ({_STAGED}) WHERE {_FITS}")
+SQL["load_staged_rejects"] = with_orders(f"""
+SELECT CASE WHEN PURCHASE_TIME IS NULL THEN 'PURCHASE_TIME is NULL or does not parse'
+            ELSE 'UNIT_PRICE does not fit decimal(10,2)' END AS reason, count(*) AS n_rows
+FROM ({_STAGED}) WHERE NOT ({_FITS}) GROUP BY 1
+UNION ALL SELECT 'unreadable file', 1""")
+SQL["load_staged_stream"] = with_orders(f"""
+SELECT count(*) FILTER (WHERE {_FITS}) AS raw_rows,
+  CAST(sum(TOTAL_PRICE) FILTER (WHERE {_FITS}) AS DOUBLE) AS raw_total,
+  count(DISTINCT TXID) FILTER (WHERE {_FITS}) AS serving_rows,
+  count(DISTINCT TXID) FILTER (WHERE {_FITS}) AS serving_keys,
+  count(*) FILTER (WHERE NOT ({_FITS})) AS rejected_rows, 1 AS broken_files
+FROM ({_STAGED})""")
+SQL["pipeline_progress"] = with_orders("""
+SELECT HOP, BATCH_ID, 'SUCCEEDED' AS STATE, count(DISTINCT TXID) AS ROWS
+FROM orders_landing, (VALUES ('silver'), ('gold')) AS h(HOP) GROUP BY HOP, BATCH_ID""")
+SQL["pipeline_runs"] = with_orders("""
+SELECT 3 * count(DISTINCT BATCH_ID) AS total_runs, 3 * count(DISTINCT BATCH_ID) AS succeeded, 0 AS failed
+FROM orders_landing""")

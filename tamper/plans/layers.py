@@ -130,7 +130,7 @@ def rebuild(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLU
     rows = raw.where(F.col(e["key"]).isNotNull())
     rows = clean_orders(rows, as_of) if entity == "orders" else clean_emissions(rows)
     return fold_latest(rows, e["key"], e["update"], e["insert"], e["columns"], batch_col,
-                       order_by or SEQ_COLUMNS)
+                       order_by or [c for c in SEQ_COLUMNS if c in rows.columns])
 
 
 def gold_chain(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamper.operators.merge import DEFAULT_BROADCAST_BYTES
-from tamper.plans import emissions, enrichment, layers, monitoring, quality, sales
-from tamper.schemas import BATCH_COLUMN
+from tamper.plans import emissions, enrichment, layers, loads, monitoring, quality, sales
 from tamper.session import apply_session_defaults
 from tamper.sources import testdata as TD
 
@@ -137,41 +136,17 @@ def broadcast_upsert(entity, raw, as_of=None):
                                      broadcast_bytes=DEFAULT_BROADCAST_BYTES)
 
 
-def _stream(entity: str, spark, sf_dir, max_files_per_trigger: int | None = None):
-    """T-1..T-6 end to end: the landed rows arrive as two RAW batches; after
-    each, the SILVER and GOLD streaming hops drain (availableNow) and a serving
-    snapshot is published. Returns the last snapshot."""
-    from tamper.session import scratch_path
-    from tamper.sources.ingest import write_batch
-    from tamper.streaming.pipeline import Layout, run_pipeline
-
-    layout = Layout(scratch_path(spark, f"stream_{entity}"), entity)
-    # Build the landed rows once (one join job), partitioned by batch; each
-    # arrival then copies one pruned partition into the RAW log.
-    staging = layout.path("staging")
-    landed = raw_orders(spark, sf_dir) if entity == "orders" else raw_emissions(spark, sf_dir)
-    landed.write.partitionBy(BATCH_COLUMN).parquet(staging)
-    landed = spark.read.parquet(staging)
-    as_of = TD.ORDERS_AS_OF if entity == "orders" else None
-    out = None
-    for b in (0, 1):
-        write_batch(landed.where(F.col(BATCH_COLUMN) == b).drop(BATCH_COLUMN),
-                    layout.path("raw"), b)
-        out = run_pipeline(spark, layout, as_of, max_files_per_trigger=max_files_per_trigger)
-    return out
-
-
 def stream_pipeline(spark, sf_dir):
-    return _stream("orders", spark, sf_dir)
+    return loads.streamed(spark, sf_dir)[1]
 
 
 def stream_pipeline_limited(spark, sf_dir):
     """The same, two files a micro-batch: a RAW batch spans several micro-batches."""
-    return _stream("orders", spark, sf_dir, max_files_per_trigger=2)
+    return loads.streamed(spark, sf_dir, max_files_per_trigger=2)[1]
 
 
 def stream_pipeline_emissions(spark, sf_dir):
-    return _stream("emissions", spark, sf_dir)
+    return loads.streamed(spark, sf_dir, "emissions")[1]
 
 
 def _landed(entity: str, spark, sf_dir):
@@ -196,10 +171,6 @@ def _ingest_json(entity: str) -> Query:
     return q
 
 
-#: Types of a staging writer that knows neither decimals nor dates.
-STAGED_TYPES = {"decimal": "double", "integer": "bigint", "date": "string"}
-
-
 def _staged(entity: str, spark, sf_dir, broken: bool = False):
     """The landed rows staged as Parquet of other physical types. ``broken``: every
     seventh quantity of an order is not a whole number, every eleventh price has more
@@ -208,7 +179,7 @@ def _staged(entity: str, spark, sf_dir, broken: bool = False):
     from tamper.sources import ingest
 
     df = _landed(entity, spark, sf_dir)
-    df = df.select(*[F.col(f.name).cast(STAGED_TYPES.get(f.dataType.typeName(), f.dataType))
+    df = df.select(*[F.col(f.name).cast(loads.STAGED_TYPES.get(f.dataType.typeName(), f.dataType))
                      .alias(f.name) for f in df.schema.fields])
     if broken:
         n = F.regexp_replace("TXID", "[^0-9]", "").cast("decimal(38,0)")
@@ -315,6 +286,11 @@ QUERIES: dict[str, Query] = {
     "load_staged_orders": load_staged_orders,
     "load_staged_emissions": load_staged_emissions,
     "ingest_quarantine": ingest_quarantine,
+    "load_staged_mixed": loads.load_staged_mixed,
+    "load_staged_rejects": loads.load_staged_rejects,
+    "load_staged_stream": loads.load_staged_stream,
+    "pipeline_progress": loads.pipeline_progress,
+    "pipeline_runs": loads.pipeline_runs,
     "stream_pipeline": stream_pipeline,
     "stream_pipeline_limited": stream_pipeline_limited,
     "stream_pipeline_emissions": stream_pipeline_emissions,

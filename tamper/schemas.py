@@ -105,9 +105,13 @@ EMISSION_REQUIRED_KEYS = list(EMISSION_JSON_KEYS)
 ORDER_NOT_NULL = ["TXID", "PURCHASE_TIME"]
 EMISSION_NOT_NULL = ["RECORD_ID"]
 
-# Columns carried next to the table columns to give "latest" a total order
-# (ingest time, then two tie-breakers), and the batch a row arrived in.
-SEQ_COLUMNS = ["INGEST_TS", "SEQ1", "SEQ2"]
+# Columns carried next to the table columns to give "latest" a total order that any
+# layout of tasks repeats: ingest time, file, then two positions inside the file; and the
+# batch a row arrived in.
+SEQ_COLUMNS = ["INGEST_TS", "SOURCE_FILE", "SEQ1", "SEQ2"]
+SEQ_FIELDS = [T.StructField("INGEST_TS", T.TimestampNTZType(), True),
+              T.StructField("SOURCE_FILE", T.StringType(), True),
+              T.StructField("SEQ1", T.LongType(), True), T.StructField("SEQ2", T.LongType(), True)]
 BATCH_COLUMN = "BATCH_ID"
 
 SCHEMAS = {"orders": ORDER_SCHEMA, "emissions": EMISSION_SCHEMA}
