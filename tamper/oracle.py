@@ -420,11 +420,10 @@ _RAW_FRESH = [("RAW", "RAW_ORDERS", "orders_landing", "DELIVERED_DATE"),
               ("RAW", "RAW_EMISSIONS", "emissions_landing", "REPORTING_MONTH")]
 _ALL_FRESH = _RAW_FRESH + [
     ("SILVER", "SILVER_ORDERS", "silver_orders", "DELIVERED_DATE"),
-    ("SILVER", "SILVER_EMISSIONS", "silver_emissions", "REPORTING_MONTH"),
-    ("GOLD", "GOLD_ORDERS", "silver_orders", "DELIVERED_DATE"),
-    ("GOLD", "GOLD_EMISSIONS", "silver_emissions", "REPORTING_MONTH")]
+    ("SILVER", "SILVER_EMISSIONS", "silver_emissions", "REPORTING_MONTH")]
+_FRESH_GOLD = [("GOLD", "GOLD_ORDERS", "gold_orders", "DELIVERED_DATE"),
+               ("GOLD", "GOLD_EMISSIONS", "gold_emissions", "REPORTING_MONTH")]
 SQL["freshness"] = BOTH_CTE + "\n" + "\nUNION ALL ".join(_fresh(*t) for t in _RAW_FRESH)
-SQL["freshness_all"] = BOTH_CTE + "\n" + "\nUNION ALL ".join(_fresh(*t) for t in _ALL_FRESH)
 
 # ------------------------------------------------------------------ quality
 def _dq_orders(src: str) -> str:
@@ -704,3 +703,42 @@ FROM orders_landing, (VALUES ('silver'), ('gold')) AS h(HOP) GROUP BY HOP, BATCH
 SQL["pipeline_runs"] = with_orders("""
 SELECT 3 * count(DISTINCT BATCH_ID) AS total_runs, 3 * count(DISTINCT BATCH_ID) AS succeeded, 0 AS failed
 FROM orders_landing""")
+
+SQL["gold_chain_emissions"] = SQL["upsert_emissions"]
+SQL["freshness_all"] = (BOTH_CTE + f""",
+b0 AS ({_batch_orders(0)}), b1 AS ({_batch_orders(1)}),
+gold_orders AS ({_merge_select("TXID", ORDER_COLS, ORDER_UPDATE)}),
+e0 AS ({_batch_emissions(0)}), e1 AS ({_batch_emissions(1)}),
+gold_emissions AS ({_merge_select("RECORD_ID", EMISSION_COLS, EMISSION_UPDATE, ("METADATA",))
+                    .replace("b0", "e0").replace("b1", "e1")})
+""" + "\nUNION ALL ".join(_fresh(*t) for t in _ALL_FRESH + _FRESH_GOLD))
+SQL["freshness_stored"] = (ORDERS_CTE + f""",
+gold_orders AS ({_batch_orders(0)}),
+all_layers AS (""" + "\nUNION ALL ".join(
+    _fresh(f"{layer}", f"{layer}_ORDERS", src, "DELIVERED_DATE")
+    for layer, src in (("RAW", "orders_landing"), ("SILVER", "silver_orders"), ("GOLD", "gold_orders")))
+    + """)
+SELECT layer, table_name, row_count, max_event_date, lag_min FROM all_layers""")
+SQL["dq_orders_sketched"] = with_orders(
+    f"SELECT *, TRUE AS ESTIMATE_OK FROM ({_dq_orders('orders_landing')})")
+SQL["warehouse_choices"] = with_emissions("SELECT DISTINCT WAREHOUSE_NAME FROM silver_emissions")
+
+
+def _long(name: str, key: str | None, count: str | None, amount: str | None) -> str:
+    body = SQL[name].removeprefix(ORDERS_CTE)
+    k = f"CAST({key} AS VARCHAR)" if key else "CAST(NULL AS VARCHAR)"
+    n = f"CAST({count} AS BIGINT)" if count else "CAST(NULL AS BIGINT)"
+    a = f"CAST({amount} AS DOUBLE)" if amount else "CAST(NULL AS DOUBLE)"
+    inner = body.strip()
+    inner = ("WITH " + inner[1:].strip()) if inner.startswith(",") else inner
+    return f"SELECT {q(name)} AS report, {k} AS key, {n} AS n, {a} AS amount FROM ({inner})"
+
+
+SQL["sales_dashboard"] = ORDERS_CTE + "\n" + "\nUNION ALL ".join(_long(*r) for r in [
+    ("sales_daily", "PURCHASE_DATE", None, "sales"), ("top_products", "ITEM", None, "sales"),
+    ("sales_by_bag", "BAG_SIZE", None, "sales"), ("orders_by_origin", "ORIGIN_COUNTRY", "n_orders", None),
+    ("orders_by_region", "REGION", "n_orders", "share_pct"), ("payment_methods", "PAYMENT_METHOD", "n_orders", None),
+    ("payment_status", "PAYMENT_STATUS", "n_orders", "share_pct"),
+    ("shipping_methods", "SHIPPING_METHOD", "n_orders", None),
+    ("delivery_status", "DELIVERY_STATUS", "n_orders", None), ("sales_histogram", "bin", "n_rows", "bin_start"),
+    ("delay_histogram", "bin", "n_rows", "bin_start"), ("sales_kpis", None, "total_orders", "total_sales")])

@@ -75,34 +75,47 @@ def batch_winners(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATC
     return w.select(*e["columns"], batch_col)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """A hop's table, written to the shared folder and read again: the next hop reads its
     columns instead of running the whole chain below it once more."""
     from tamper.session import scratch_path
 
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def batches_of(entity: str, raw: DataFrame, as_of, batch_col: str) -> list[DataFrame]:
     """The per-batch winners in batch order (NULL ids, which no batch has, first): landed
-    rows are read and cleaned once, whatever the number of batches. The driver sees the
-    batch ids."""
-    won = written(batch_winners(entity, raw, as_of, batch_col), f"winners_{entity}")
+    rows are read and cleaned once, whatever the number of batches, and a batch reads its
+    own partition. The driver sees the batch ids."""
+    won = written(batch_winners(entity, raw, as_of, batch_col), f"winners_{entity}", batch_col)
     ids = sorted((r[0] for r in won.select(batch_col).distinct().collect()),
                  key=lambda v: (v is not None, v))
     return [won.where(F.col(batch_col).eqNullSafe(i)).drop(batch_col) for i in ids]
 
 
+def inserted(entity: str, batch: DataFrame) -> DataFrame:
+    """The table after a MERGE of ``batch`` into an empty one: every row is inserted."""
+    e = ENTITIES[entity]
+    return batch.select(*[F.col(c) if c == e["key"] or c in e["insert"]
+                          else F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in e["columns"]])
+
+
 def upsert_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN,
                        broadcast_bytes: int | None = None) -> DataFrame:
-    """M1/M2 run once for each batch, the first into an empty SILVER."""
-    state = None
-    for batch in batches_of(entity, raw, as_of, batch_col):
-        state = merge_into(entity, empty_like(batch, entity) if state is None else state, batch,
-                           broadcast_bytes)
-    return empty_like(raw, entity) if state is None else state
+    """M1/M2 run once for each batch (U1). The first batch is the table; between two merges
+    the table is written, so a merge reads one table and one batch however many came
+    before. For long histories ``rebuild`` gives the same state in one aggregation."""
+    batches = batches_of(entity, raw, as_of, batch_col)
+    if not batches:
+        return empty_like(raw, entity)
+    state = inserted(entity, batches[0])
+    for i, batch in enumerate(batches[1:]):
+        if i:
+            state = written(state, f"merged_{entity}")
+        state = merge_into(entity, state, batch, broadcast_bytes)
+    return state
 
 
 def fold_two_batches(entity: str, raw: DataFrame, as_of=None, batch_col: str = BATCH_COLUMN
@@ -149,7 +162,7 @@ def _chain(entity: str, raw: DataFrame, as_of, batch_col: str) -> tuple[DataFram
     silver = gold = before = None
     for batch in batches_of(entity, raw, as_of, batch_col):
         if silver is None:
-            silver = gold = written(merge_into(entity, empty_like(batch, entity), batch), f"silver_{entity}")
+            silver = gold = inserted(entity, batch)  # a stored batch; nothing to merge with
             continue
         before = gold
         silver = written(merge_into(entity, silver, batch), f"silver_{entity}")

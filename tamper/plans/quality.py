@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tamper.functions.text import percent_text
 from tamper.functions.time import date_literal, ts_literal
+from tamper.schemas import BATCH_COLUMN
 
 NULL_RATE_LIMIT = 5.0  # percent; a rate passes when strictly below
 
@@ -35,6 +36,31 @@ def dq_orders(df: DataFrame, as_of, approx: bool = False) -> DataFrame:
     )
 
 
+SKETCH_LGK = 14  # 2^14 registers: a sketch of at most 16 KB, a standard error of 0.8 %
+
+
+def key_sketches(df: DataFrame, as_of, batch_col: str = BATCH_COLUMN) -> DataFrame:
+    """The order checks of each batch in a form that can be merged: counts, and the
+    different keys as a HyperLogLog sketch. Stored once a batch, a report over any number
+    of batches adds them up (``dq_orders_merged``) and reads no order again."""
+    return df.groupBy(batch_col).agg(
+        F.count(F.lit(1)).alias("N"),
+        F.count_if(F.col("CUSTOMER_ID").isNull()).alias("N_NULL_CUSTOMER"),
+        F.count_if(F.col("TXID").isNull()).alias("N_NULL_TXID"),
+        F.hll_sketch_agg("TXID", SKETCH_LGK).alias("KEYS"),
+        F.count_if(F.col("PURCHASE_TIME").cast("timestamp_ntz") > ts_literal(as_of))
+         .alias("N_FUTURE_PURCHASES"))
+
+
+def dq_orders_merged(sketches: DataFrame) -> DataFrame:
+    """Q1 from stored batch sketches: all counts are exact but N_DISTINCT_TXID, which is
+    an estimate. A few KB a batch are read and no key is shuffled."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("N", "N_NULL_CUSTOMER", "N_NULL_TXID")]
+    return sketches.agg(*sums, F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("KEYS")), F.lit(0))
+                        .alias("N_DISTINCT_TXID"),
+                        F.coalesce(F.sum("N_FUTURE_PURCHASES"), F.lit(0)).alias("N_FUTURE_PURCHASES"))
+
+
 def dq_emissions(df: DataFrame, as_of) -> DataFrame:
     """Q2: rows, negative estimates, reporting months after the ``as_of`` date."""
     return df.agg(

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamper.operators.merge import DEFAULT_BROADCAST_BYTES
-from tamper.plans import emissions, enrichment, layers, loads, monitoring, quality, sales
+from tamper.plans import (emissions, enrichment, layers, loads, monitoring, quality, reports,
+                          sales)
+from tamper.schemas import BATCH_COLUMN
 from tamper.session import apply_session_defaults
 from tamper.sources import testdata as TD
 
@@ -65,7 +67,52 @@ def freshness(spark, sf_dir):
 
 
 def freshness_all(spark, sf_dir):
-    return monitoring.freshness(_layers(spark, sf_dir), TD.ORDERS_AS_OF)
+    """RAW, SILVER and a GOLD that the batches were merged into."""
+    raw_o, raw_e = raw_orders(spark, sf_dir), raw_emissions(spark, sf_dir)
+    return monitoring.freshness([t for t in _layers(spark, sf_dir) if t[0] != "GOLD"]
+                                + [("GOLD", "GOLD_ORDERS", layers.gold_chain("orders", raw_o, TD.ORDERS_AS_OF)),
+                                   ("GOLD", "GOLD_EMISSIONS", layers.gold_chain("emissions", raw_e))],
+                                TD.ORDERS_AS_OF)
+
+
+def freshness_stored(spark, sf_dir):
+    """R1 over stored layers, from file statistics; GOLD is one batch behind."""
+    from tamper.session import scratch_path
+
+    raw = layers.written(raw_orders(spark, sf_dir), "fresh_raw")
+    stored = {"RAW": raw, "SILVER": layers.silver_snapshot("orders", raw, TD.ORDERS_AS_OF),
+              "GOLD": layers.silver_snapshot("orders", raw.where(F.col(BATCH_COLUMN) == 0), TD.ORDERS_AS_OF)}
+    tables = []
+    for layer, df in stored.items():
+        path = scratch_path(spark, f"fresh_{layer.lower()}")
+        df.write.parquet(path)
+        tables.append((layer, f"{layer}_ORDERS", path))
+    return monitoring.stored_freshness(spark, tables, TD.ORDERS_AS_OF).drop("last_load_time")
+
+
+def dq_orders_sketched(spark, sf_dir):
+    """Q1 from batch sketches beside the exact form: whether the estimate of the different
+    keys is within 3 %."""
+    raw = raw_orders(spark, sf_dir)
+    merged = quality.dq_orders_merged(layers.written(quality.key_sketches(raw, TD.ORDERS_AS_OF), "key_sketches"))
+    exact = quality.dq_orders(raw, TD.ORDERS_AS_OF).select(F.col("N_DISTINCT_TXID").alias("exact")).scalar()
+    off = F.abs(F.col("N_DISTINCT_TXID") - F.col("exact"))
+    return merged.withColumn("exact", exact).select(
+        "N", "N_NULL_CUSTOMER", "N_NULL_TXID", F.col("exact").alias("N_DISTINCT_TXID"), "N_FUTURE_PURCHASES",
+        (off <= F.lit(0.03) * F.col("exact")).alias("ESTIMATE_OK"))
+
+
+def sales_dashboard(spark, sf_dir):
+    """A1-A12 from one stored serving snapshot: the landing work runs once."""
+    session = reports.Reports({"orders": lambda: serving_orders(spark, sf_dir)})
+    return reports.sales_dashboard(session.table("orders", version=sf_dir))
+
+
+def warehouse_choices(spark, sf_dir):
+    """The choices of the warehouse filter."""
+    from tamper.operators.clean import distinct_values
+
+    return distinct_values(serving_emissions(spark, sf_dir), "WAREHOUSE_NAME")
 
 
 def query_errors(spark, sf_dir):
@@ -231,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "delay_histogram": _on_orders(sales.delay_histogram),
     "delivery_status": _on_orders(sales.delivery_status),
     "category_breakdown": _on_orders(sales.category_breakdown),
+    "sales_dashboard": sales_dashboard,
     # emissions dashboard
     "emissions_kpis": _on_emissions(emissions.emissions_kpis),
     "emissions_monthly": _on_emissions(emissions.emissions_monthly),
@@ -239,10 +287,12 @@ QUERIES: dict[str, Query] = {
     "emissions_by_origin": _on_emissions(emissions.emissions_by_origin),
     "emissions_by_distance": _on_emissions(emissions.emissions_by_distance),
     "emissions_filtered": emissions_filtered,
+    "warehouse_choices": warehouse_choices,
     "emissions_breakdown": _on_emissions(emissions.emissions_breakdown),
     # monitoring
     "freshness": freshness,
     "freshness_all": freshness_all,
+    "freshness_stored": freshness_stored,
     "query_errors": query_errors,
     "task_history": _on_runs(lambda runs: runs),
     "task_summary": _on_runs(monitoring.task_summary),
@@ -258,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "dq_emissions": dq_emissions,
     "dq_emissions_raw": dq_emissions_raw,
     "dq_report": dq_report,
+    "dq_orders_sketched": dq_orders_sketched,
     # merge core
     "upsert_orders": _merge(layers.upsert_two_batches, "orders"),
     "upsert_orders_broadcast": _merge(broadcast_upsert, "orders"),
@@ -265,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "fold_orders": _merge(layers.fold_two_batches, "orders"),
     "rebuild_orders": _merge(layers.rebuild, "orders"),
     "gold_chain": _merge(layers.gold_chain, "orders"),
+    "gold_chain_emissions": _merge(layers.gold_chain, "emissions"),
     "serving_chain": _merge(layers.serving_chain, "orders"),
     "upsert_emissions": _merge(layers.upsert_two_batches, "emissions"),
     "fold_emissions": _merge(layers.fold_two_batches, "emissions"),
