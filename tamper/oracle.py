@@ -742,3 +742,91 @@ SQL["sales_dashboard"] = ORDERS_CTE + "\n" + "\nUNION ALL ".join(_long(*r) for r
     ("shipping_methods", "SHIPPING_METHOD", "n_orders", None),
     ("delivery_status", "DELIVERY_STATUS", "n_orders", None), ("sales_histogram", "bin", "n_rows", "bin_start"),
     ("delay_histogram", "bin", "n_rows", "bin_start"), ("sales_kpis", None, "total_orders", "total_sales")])
+
+SQL["metadata_fields"] = with_emissions("""
+SELECT DISTINCT RECORD_ID, CAST(n % 7 AS INTEGER) AS READING, TRUE AS METADATA_UNSET,
+  CAST(n % 5 AS INTEGER) AS LINE, 'meter' AS SOURCE
+FROM (SELECT RECORD_ID, CAST(regexp_replace(RECORD_ID, '[^0-9]', '', 'g') AS HUGEINT) AS n
+      FROM emissions_landing WHERE ESTIMATED_EMISSIONS_KGCO2E IS NOT NULL)""")
+
+# ------------------------------------------------------------------ rules, with typed literals
+# Stated again and not taken from ``lookups``, so that a wrong table there shows.
+_SHOP_COUNTRIES = ["United States", "Canada", "Mexico", "Brazil", "Argentina", "Colombia", "Chile", "France",
+                   "Germany", "Italy", "Spain", "United Kingdom", "Japan", "China", "India", "Vietnam",
+                   "South Korea", "Ethiopia", "Kenya", "South Africa", "Nigeria", "Ghana", "Australia",
+                   "New Zealand", "Singapore", "Atlantis"]
+_SHOP_ITEMS = ["Signature House Blend", "Bold Awakening Blend", "Golden Morning Blend",
+               "Single-Origin Spotlight Blend", "Decaf Dream Blend", "Cold Brew Blend", "Espresso Roast",
+               "Customizable Blend", "Limited Edition Seasonal Blends", "Coffee Sampler Box",
+               "Organic Matcha Powder", "Golden Turmeric Latte Mix", "Chai Tea Blend",
+               "Herbal Relaxation Blend", "Nitro Cold Brew Cans", "Oat Latte Cans", "Instant Coffee Sticks",
+               "Reusable Coffee Canisters", "Compostable Coffee Filters", "French Press (Eco-Glass + Bamboo Lid)",
+               "Pour-Over Set", "Travel Mugs / Tumblers", "Reusable Cold Brew Bottle",
+               "Coffee Scoops (Bamboo or Stainless Steel with Clip)", "Branded Tote Bags",
+               "Coffee Grounds Body Scrub"]
+_SHOP = f"""WITH base AS (
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS TXID, l_suppkey,
+    {pick(_SHOP_COUNTRIES, 'l_partkey % 26')} AS COUNTRY, {pick(_SHOP_ITEMS, 'l_partkey % 26')} AS ITEM,
+    {pick(["250g", "500g", "1kg", "N/A"], 'l_suppkey % 4')} AS BAG_SIZE,
+    {pick(["Standard", "Express", "EcoDelivery", "Local Pickup"], 'l_linenumber % 4')} AS METHOD,
+    {pick(["Canceled", "In Transit", "Delivered", "Returned", "Lost"], 'l_orderkey % 5')} AS STATUS,
+    CAST(l_quantity AS INTEGER) AS QUANTITY,
+    CASE WHEN l_partkey % 5 <> 4 THEN l_partkey % 3 = 0 END AS FAIR, l_suppkey % 4 = 0 AS ORGANIC,
+    CAST(l_shipdate AS DATE) - CAST(l_linenumber AS INTEGER) AS PURCHASE_TIME,
+    CASE WHEN l_orderkey % 7 <> 0 THEN CAST(l_shipdate AS DATE) END AS SHIPPED_DATE,
+    CASE WHEN l_suppkey % 3 <> 0 THEN CAST(l_shipdate AS DATE) + CAST(l_partkey % 45 AS INTEGER) END AS DELIVERED_DATE
+  FROM lineitem),
+regioned AS (SELECT *, CASE
+    WHEN COUNTRY IN ('United States', 'Canada', 'Mexico') THEN 'North America'
+    WHEN COUNTRY IN ('Brazil', 'Argentina', 'Colombia', 'Chile') THEN 'South America'
+    WHEN COUNTRY IN ('France', 'Germany', 'Italy', 'Spain', 'United Kingdom') THEN 'Europe'
+    WHEN COUNTRY IN ('Japan', 'China', 'India', 'Vietnam', 'South Korea') THEN 'Asia'
+    WHEN COUNTRY IN ('Ethiopia', 'Kenya', 'South Africa', 'Nigeria', 'Ghana') THEN 'Africa'
+    WHEN COUNTRY IN ('Australia', 'New Zealand') THEN 'Australia' END AS REGION FROM base),
+shop AS (SELECT *,
+    CASE WHEN REGION IN ('North America', 'South America')
+         THEN CASE WHEN l_suppkey % 2 = 0 THEN 'West Coast USA' ELSE 'East Coast USA' END
+         WHEN REGION IN ('Europe', 'Africa') THEN 'Paris' ELSE 'Singapore' END AS WAREHOUSE,
+    CASE WHEN REGION IN ('North America', 'South America') THEN 'United States'
+         WHEN REGION IN ('Europe', 'Africa') THEN 'France' ELSE 'Singapore' END AS WH_COUNTRY
+  FROM regioned)
+"""
+SQL["carbon_score_shop"] = _SHOP + """, f AS (SELECT *,
+    CAST(CASE WHEN COUNTRY = WH_COUNTRY THEN 0.2
+      WHEN coalesce(REGION, '?') = CASE WH_COUNTRY WHEN 'United States' THEN 'North America'
+                                        WHEN 'France' THEN 'Europe' ELSE '?' END THEN 1.0
+      ELSE 1.8 END AS DECIMAL(4,2)) AS DISTANCE_FACTOR,
+    CAST(CASE METHOD WHEN 'Local Pickup' THEN 0.2 WHEN 'EcoDelivery' THEN 0.8 WHEN 'Express' THEN 1.4
+      ELSE 1.0 END AS DECIMAL(4,2)) AS METHOD_FACTOR,
+    CAST(CASE BAG_SIZE WHEN '500g' THEN 0.15 WHEN '1kg' THEN 0.35 ELSE 0 END AS DECIMAL(4,2)) AS SIZE_FACTOR,
+    CAST(CASE STATUS WHEN 'Canceled' THEN 0.3 WHEN 'Returned' THEN 2.0 ELSE 1.0 END AS DECIMAL(4,2)) AS STATUS_MULTIPLIER
+  FROM shop)
+SELECT TXID, COUNTRY, REGION, WAREHOUSE, DISTANCE_FACTOR, METHOD_FACTOR, SIZE_FACTOR, STATUS_MULTIPLIER,
+  CAST(round(DISTANCE_FACTOR * METHOD_FACTOR * (CAST(1 AS DECIMAL(4,2)) + SIZE_FACTOR)
+    * CAST(QUANTITY AS DECIMAL(10,0)) * STATUS_MULTIPLIER, 2) AS DECIMAL(10,2)) AS CARBON_SCORE
+FROM f"""
+SQL["rule_checks_shop"] = _SHOP + """SELECT TXID,
+  CASE WHEN STATUS IN ('Canceled', 'Returned') THEN 'Refunded' WHEN STATUS = 'In Transit' THEN 'Pending'
+       ELSE 'Paid' END AS PAYMENT_STATUS,
+  CAST(date_diff('day', PURCHASE_TIME, DELIVERED_DATE) AS INTEGER) AS DELIVERY_DELAY_DAYS,
+  METHOD <> 'Local Pickup' OR COUNTRY = WH_COUNTRY AS PICKUP_OK,
+  STATUS <> 'In Transit' OR date_diff('day', PURCHASE_TIME, DATE '1998-09-01') <= 30 AS TRANSIT_AGE_OK,
+  ITEM IN ('Signature House Blend', 'Bold Awakening Blend', 'Golden Morning Blend', 'Single-Origin Spotlight Blend',
+    'Decaf Dream Blend', 'Cold Brew Blend', 'Espresso Roast', 'Customizable Blend',
+    'Limited Edition Seasonal Blends', 'Organic Matcha Powder', 'Golden Turmeric Latte Mix', 'Chai Tea Blend',
+    'Herbal Relaxation Blend', 'Instant Coffee Sticks') OR NOT (coalesce(FAIR, FALSE) OR ORGANIC) AS CERTIFICATION_OK,
+  CASE STATUS WHEN 'Canceled' THEN SHIPPED_DATE IS NULL AND DELIVERED_DATE IS NULL
+    WHEN 'In Transit' THEN SHIPPED_DATE IS NOT NULL AND DELIVERED_DATE IS NULL WHEN 'Lost' THEN TRUE
+    ELSE SHIPPED_DATE IS NOT NULL AND coalesce(DELIVERED_DATE <= SHIPPED_DATE + 30, FALSE) END AS LIFECYCLE_OK
+FROM shop"""
+_ORIGINS = ["Colombia", "Ethiopia", "Guatemala", "Peru", "Brazil", "Italy", "Japan", "India", "Vietnam", "Kenya",
+            "Costa Rica", "Honduras", "Rwanda", "United States", "France", "Singapore"]
+SQL["distance_class_shop"] = f"""SELECT *, CASE WHEN ORIGIN_COUNTRY = WAREHOUSE_COUNTRY THEN 'Local'
+  WHEN WAREHOUSE_COUNTRY = 'United States' AND ORIGIN_COUNTRY IN ('Colombia', 'Brazil', 'Peru', 'Costa Rica', 'Honduras')
+  THEN 'Regional'
+  WHEN WAREHOUSE_COUNTRY = 'France' AND ORIGIN_COUNTRY IN ('Italy', 'Ethiopia', 'Kenya', 'Rwanda') THEN 'Regional'
+  ELSE 'Intercontinental' END AS DISTANCE_CLASS
+FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+    {pick(["WEST_US", "EAST_US", "PARIS_FR", "ASIA_HUB"], 'l_suppkey % 4')} AS WAREHOUSE_ID,
+    {pick(["United States", "United States", "France", "Singapore"], 'l_suppkey % 4')} AS WAREHOUSE_COUNTRY,
+    {pick(_ORIGINS, 'l_partkey % 16')} AS ORIGIN_COUNTRY FROM lineitem)"""

@@ -8,6 +8,8 @@ every row of the tables, not on a fixed sample.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,3 +153,70 @@ def rule_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         enrich.check_lifecycle("DELIVERY_STATUS", "SHIPPED_DATE", "DELIVERED_DATE")
         .alias("LIFECYCLE_OK"),
     )
+
+
+# Countries of the shop's customers: those of the fixed regions, one warehouse country that
+# is in no region, and one that nothing knows.
+SHOP_COUNTRIES = [c for c, _ in L.country_region_pairs()] + ["Singapore", "Atlantis"]
+STATUSES = ["Canceled", "In Transit", "Delivered", "Returned", "Lost"]
+BAGS = ["250g", "500g", "1kg", "N/A"]
+RULES_AS_OF = dt.date(1998, 9, 1)
+
+
+def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as orders of the shop, from the line items alone: country by part key,
+    warehouse by the country's region (G6, G7), flags and dates that keep and that break
+    every rule."""
+    li = TD.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                    "l_quantity", "l_shipdate")
+    part, supp, order, day = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey"), F.to_date("l_shipdate")
+    df = li.select(
+        F.concat(order.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
+                 part.cast("string")).alias("TXID"),
+        _pick(SHOP_COUNTRIES, F.pmod(part, F.lit(len(SHOP_COUNTRIES)))).alias("COUNTRY"),
+        _pick(list(L.PRICE_MAP), F.pmod(part, F.lit(len(L.PRICE_MAP)))).alias("ITEM"),
+        _pick(BAGS, F.pmod(supp, F.lit(len(BAGS)))).alias("BAG_SIZE"),
+        _pick(["Standard", "Express", "EcoDelivery", "Local Pickup"], F.pmod("l_linenumber", F.lit(4))).alias("SHIPPING_METHOD"),
+        _pick(STATUSES, F.pmod(order, F.lit(len(STATUSES)))).alias("DELIVERY_STATUS"),
+        F.col("l_quantity").cast("int").alias("QUANTITY"),
+        F.when(F.pmod(part, F.lit(5)) != 4, F.pmod(part, F.lit(3)) == 0).alias("FAIR_TRADE_CERTIFIED"),
+        (F.pmod(supp, F.lit(4)) == 0).alias("ORGANIC_CERTIFIED"),
+        F.date_sub(day, F.col("l_linenumber").cast("int")).alias("PURCHASE_TIME"),
+        F.when(F.pmod(order, F.lit(7)) != 0, day).alias("SHIPPED_DATE"),
+        F.when(F.pmod(supp, F.lit(3)) != 0, F.date_add(day, F.pmod(part, F.lit(45)).cast("int"))).alias("DELIVERED_DATE"),
+        supp.alias("SUPPLIER"))
+    df = enrich.with_region(df, "COUNTRY", "REGION")
+    return enrich.assign_warehouse(df, "REGION", "TXID", "WAREHOUSE", "WAREHOUSE_COUNTRY",
+                                   chooser=F.pmod(F.col("SUPPLIER"), F.lit(2)))
+
+
+def carbon_score_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G6, G7, G11-G15 over the shop's own countries: every factor occurs."""
+    df = enrich.with_carbon_score(shop_orders(spark, sf_dir), keep_factors=True)
+    return df.select("TXID", "COUNTRY", "REGION", "WAREHOUSE", "DISTANCE_FACTOR", "METHOD_FACTOR",
+                     "SIZE_FACTOR", "STATUS_MULTIPLIER", "CARBON_SCORE")
+
+
+def rule_checks_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G8, G9, G10, G16 and G17, G18 over the shop's orders: every rule is kept by some
+    and broken by others."""
+    df = enrich.with_delay(enrich.with_payment_status(shop_orders(spark, sf_dir)))
+    return df.select(
+        "TXID", "PAYMENT_STATUS", "DELIVERY_DELAY_DAYS",
+        enrich.check_pickup("COUNTRY", "WAREHOUSE_COUNTRY", "SHIPPING_METHOD").alias("PICKUP_OK"),
+        enrich.check_transit_age("PURCHASE_TIME", "DELIVERY_STATUS", RULES_AS_OF).alias("TRANSIT_AGE_OK"),
+        enrich.check_certification("ITEM", "FAIR_TRADE_CERTIFIED", "ORGANIC_CERTIFIED").alias("CERTIFICATION_OK"),
+        enrich.check_lifecycle("DELIVERY_STATUS", "SHIPPED_DATE", "DELIVERED_DATE").alias("LIFECYCLE_OK"))
+
+
+def distance_class_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G19 with origins that are warehouse countries too: all three classes occur."""
+    origins = [*L.COFFEE_ORIGINS, "United States", "France", "Singapore"]
+    li = TD.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    wids = list(L.EMISSION_WAREHOUSES)
+    df = li.select("l_orderkey", "l_linenumber", "l_partkey",
+                   _pick(wids, F.pmod(F.col("l_suppkey"), F.lit(len(wids)))).alias("WAREHOUSE_ID"),
+                   _pick(origins, F.pmod(F.col("l_partkey"), F.lit(len(origins)))).alias("ORIGIN_COUNTRY"))
+    return enrich.with_distance_class(enrich.with_warehouse(df)).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "WAREHOUSE_ID", "WAREHOUSE_COUNTRY", "ORIGIN_COUNTRY",
+        "DISTANCE_CLASS")

@@ -260,7 +260,20 @@ def ingest_quarantine(spark, sf_dir):
                                  F.countDistinct("TXID").alias("n_keys")))
 
 
-QUERIES: dict[str, Query] = {
+def metadata_fields(spark, sf_dir):
+    """METADATA from the landing record through every layer to the serving copy; one
+    field of it, and one of RAW_PAYLOAD, read where they are served."""
+    return loads.metadata_fields(spark, sf_dir)
+
+
+def _plain(query: Query) -> Query:
+    """Rows whose VARIANT columns are JSON text, as SQL engines without VARIANT return them."""
+    from tamper.sources.ingest import plain
+
+    return lambda spark, sf_dir: plain(query(spark, sf_dir))
+
+
+_QUERIES: dict[str, Query] = {
     # layers
     "silver_orders": serving_orders,
     "silver_emissions": serving_emissions,
@@ -332,6 +345,9 @@ QUERIES: dict[str, Query] = {
     "payment_status_rule": enrichment.payment_status,
     "delivery_delay": enrichment.delivery_delay,
     "rule_checks": enrichment.rule_checks,
+    "carbon_score_shop": enrichment.carbon_score_shop,
+    "rule_checks_shop": enrichment.rule_checks_shop,
+    "distance_class_shop": enrichment.distance_class_shop,
     # ingestion and streaming
     "ingest_json": _ingest_json("orders"),
     "ingest_json_emissions": _ingest_json("emissions"),
@@ -346,4 +362,7 @@ QUERIES: dict[str, Query] = {
     "stream_pipeline": stream_pipeline,
     "stream_pipeline_limited": stream_pipeline_limited,
     "stream_pipeline_emissions": stream_pipeline_emissions,
+    "metadata_fields": metadata_fields,
 }
+
+QUERIES: dict[str, Query] = {name: _plain(query) for name, query in _QUERIES.items()}

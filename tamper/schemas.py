@@ -46,9 +46,8 @@ ORDER_SCHEMA = T.StructType([
     T.StructField("PAYMENT_STATUS", T.StringType(), True),
     T.StructField("DELIVERY_DELAY_DAYS", T.LongType(), True),
     T.StructField("CARBON_SCORE", T.DecimalType(10, 2), True),
-    # VARIANT in the reference and never filled by its ingester; a nullable
-    # string keeps the column (and the schema width) without a variant reader.
-    T.StructField("METADATA", T.StringType(), True),
+    # Semi-structured; the landing records of the source do not carry it.
+    T.StructField("METADATA", T.VariantType(), True),
 ])
 
 EMISSION_SCHEMA = T.StructType([
@@ -63,8 +62,8 @@ EMISSION_SCHEMA = T.StructType([
     T.StructField("SHIPMENTS_COUNT", T.LongType(), True),
     T.StructField("AVG_BATCH_SIZE_KG", T.DecimalType(10, 2), True),
     T.StructField("ESTIMATED_EMISSIONS_KGCO2E", T.DecimalType(12, 2), True),
-    T.StructField("RAW_PAYLOAD", T.StringType(), True),
-    T.StructField("METADATA", T.StringType(), True),
+    T.StructField("RAW_PAYLOAD", T.VariantType(), True),
+    T.StructField("METADATA", T.VariantType(), True),
 ])
 
 ORDER_COLUMNS = [f.name for f in ORDER_SCHEMA.fields]
@@ -82,7 +81,7 @@ ORDER_INSERT_COLUMNS = list(ORDER_COLUMNS)
 EMISSION_INSERT_COLUMNS = [c for c in EMISSION_COLUMNS if c != "METADATA"]
 
 # Lower-case JSON keys of the landing format -> table columns.
-ORDER_JSON_KEYS = {c.lower(): c for c in ORDER_COLUMNS if c != "METADATA"}
+ORDER_JSON_KEYS = {c.lower(): c for c in ORDER_COLUMNS}
 ORDER_REQUIRED_KEYS = ["txid", "rfid", "customer_id", "product_id", "item", "purchase_time"]
 EMISSION_JSON_KEYS = {
     "record_id": "RECORD_ID",
@@ -98,6 +97,8 @@ EMISSION_JSON_KEYS = {
     "estimated_emissions_kgCO2e": "ESTIMATED_EMISSIONS_KGCO2E",
 }
 EMISSION_REQUIRED_KEYS = list(EMISSION_JSON_KEYS)
+# Semi-structured keys: any JSON value, optional.
+EMISSION_JSON_KEYS |= {"raw_payload": "RAW_PAYLOAD", "metadata": "METADATA"}
 
 # NOT NULL columns of the RAW tables: a landed row that has NULL here after
 # type coercion (e.g. a purchase date that does not parse) is rejected by the
