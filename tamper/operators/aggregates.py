@@ -153,16 +153,17 @@ def box_stats(df: DataFrame, keys: list[str], value: str, whisker: float = 1.5,
     The rows are read once, to value counts. Exact quartiles (linear interpolation) come
     from running weights over ranges of the values, so a group may hold any number of
     different values; with ``exact`` False they come from ``percentile_approx``, a bounded
-    sketch over the same counts. The whiskers need the fences, which are joined to the
+    sketch for which the rows are read once more. The whiskers need the fences, which are joined to the
     counts by group and range: a group of any size is dealt over its ranges."""
     rows = running_weights(df, keys, value)
-    if exact:
-        quartiles = [c.alias(a) for c, a in zip(quantile_columns([0.25, 0.5, 0.75]), ("q1", "median", "q3"), strict=True)]
-    else:
-        q = F.percentile_approx("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy, F.col("c"))
-        quartiles = [q[i].alias(a) for i, a in enumerate(("q1", "median", "q3"))]
+    quartiles = [c.alias(a) for c, a in zip(quantile_columns([0.25, 0.5, 0.75]), ("q1", "median", "q3"), strict=True)]
     stats = rows.groupBy(*keys).agg(F.min("v").alias("min"), *quartiles, F.max("v").alias("max"),
                                     F.max("n").alias("n"))
+    if not exact:
+        q = F.percentile_approx(F.col(value).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
+        sketch = df.groupBy(*[F.col(k).alias(f"__a{i}") for i, k in enumerate(keys)]).agg(q.alias("__q"))
+        stats = stats.join(sketch, [F.col(k).eqNullSafe(F.col(f"__a{i}")) for i, k in enumerate(keys)]).select(
+            *keys, "min", *[F.col("__q")[i].alias(a) for i, a in enumerate(("q1", "median", "q3"))], "max", "n")
     iqr = F.col("q3") - F.col("q1")
     kk = [f"__k{i}" for i in range(len(keys))]
     fences = stats.select(*[F.col(k).alias(a) for k, a in zip(keys, kk, strict=True)],

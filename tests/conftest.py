@@ -18,11 +18,10 @@ def spark(tmp_path_factory):
          .config("spark.driver.memory", "4g"))
     for k, v in SESSION_DEFAULTS.items():
         b = b.config(k, v)
+    # Tests own their scratch space. The setting is static: it belongs to the builder.
+    b = b.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # Tests own their scratch space; a cluster job reads the configured one.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
     yield s
     s.stop()
 

@@ -82,11 +82,14 @@ def test_components_equal_brute_force(spark):
     assert run(spark, rows) == brute(rows)
 
 
-def test_blocks_and_deep_nodes(spark, monkeypatch):
+@pytest.mark.parametrize("ask", [0, 3])
+def test_blocks_and_deep_nodes(spark, monkeypatch, ask):
     """Every node over 4 classes branches, groups over 8 sets are dealt to blocks."""
     monkeypatch.setattr(chosenpath, "LEAF", 4)
     monkeypatch.setattr(chosenpath, "DEPTH", 3)
     monkeypatch.setattr(chosenpath, "BLOCK", 8)
+    monkeypatch.setattr(chosenpath, "ASK", ask)
+    monkeypatch.setattr(chosenpath, "ASK_BLOCK", 6)
     rows = rows_of(2)
     assert run(spark, rows) == brute(rows)
 
