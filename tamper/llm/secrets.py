@@ -10,7 +10,9 @@ at least ``STRONG`` bits are secrets and add spans of kind ``guess``; placeholde
 weak words do not. Base spans stay as they are.
 
 A map over rows: whole texts, no shuffle, no length limit (the program is linear in a
-value's length times the longest word). Defined cases: null text is empty and has no
+value's length times the longest word: walks and repeats are measured once from their
+ends, and only segments that begin and stop near the ends of a run, or where another
+segment ends, are tried). Defined cases: null text is empty and has no
 spans; repeated rows and null ids are scanned each; an empty table gives an empty result;
 extra columns are ignored.
 """
@@ -80,48 +82,89 @@ def _char_bits(c: str, mixed: bool = False) -> float:
     return log2(100)
 
 
+# A walk or a repeat is left, or begun, within so many characters of the ends of its
+# longest run, or not at all: further inside, going on costs less than any other segment.
+RIM = 24
+
+
+def _runs(value: str, low: str) -> tuple[list[int], list[int], list[list[int]]]:
+    """Computed once, from the right or left: the end of the keyboard walk through each
+    position, the turns of walks up to it, and for each unit 1 to 4 how far the text from
+    a position repeats itself one unit on."""
+    n = len(value)
+    walk = [i + 1 for i in range(n)]
+    for i in range(n - 2, -1, -1):
+        if low[i + 1] in NEAR.get(low[i], ()):
+            walk[i] = walk[i + 1]
+    turns = [0] * (n + 1)
+    for i in range(2, n):
+        step, before = ord(low[i]) - ord(low[i - 1]), ord(low[i - 1]) - ord(low[i - 2])
+        turns[i + 1] = turns[i] + (step != before)
+    again = []
+    for unit in (1, 2, 3, 4):
+        same = [0] * (n + unit)
+        for i in range(n - unit - 1, -1, -1):
+            if value[i] == value[i + unit]:
+                same[i] = same[i + 1] + 1
+        again.append(same)
+    return walk, turns, again
+
+
+def _ends(start: int, last: int, step: int = 1):
+    """Ends at which a segment may stop: near its start and near the end of its run."""
+    near = min(last, start + RIM * step)
+    yield from range(start, near + 1, step)
+    far = max(near + step, last - RIM * step)
+    far += (start - far) % step
+    yield from range(far, last + 1, step)
+
+
 def guess_bits(value: str) -> float:
-    """log2 of the guesses that the cheapest segmentation of ``value`` needs."""
+    """log2 of the guesses that the cheapest segmentation of ``value`` needs. Linear in the
+    length of the value."""
     n, low = len(value), value.lower()
     if len(low) != n:  # a letter whose lower case is longer
         low = value
     plain = low.translate(LEET)
     mixed = value[1:] != value[1:].lower() and value != value.upper()  # more than a first capital
     best = [0.0] + [float("inf")] * n
-    dates = {}
-    for i in range(n):
-        if value[i].isdigit() and (m := DATES.match(value, i)):
-            dates[i] = (m.end(), log2(YEARS) if m.end() - i == 4 else log2(YEARS * DAYS) + 2)
+    walk, turns, again = _runs(value, low)
+    entry = bytearray(n + 1)  # ends of words and dates, and of walks and repeats near their run's end
+    began, since = 0, [0] * 4  # starts of the present walk, and of each unit's present run
     for i in range(n):
         here = best[i]
 
-        def reach(end: int, bits: float, here=here):
+        def reach(end: int, bits: float, last: int = 0, here=here):
             if here + bits < best[end]:
                 best[end] = here + bits
+                if last - end <= RIM:
+                    entry[end] = 1
 
-        reach(i + 1, _char_bits(value[i], mixed))
+        one = here + _char_bits(value[i], mixed)
+        if one < best[i + 1]:
+            best[i + 1] = one
         for size in range(3, min(LONGEST_WORD, n - i) + 1):
             for text, extra in ((low, 0), (plain, 1)):
                 if rank := RANK.get(text[i:i + size]):
                     caps = value[i:i + size]
                     reach(i + size, log2(rank) + 1 + extra + (caps != caps.lower()))
-        if i in dates:
-            reach(*dates[i])
-        # keyboard walks and repeats, taken as far as they go
-        end = i + 1
-        turns = 0
-        while end < n and low[end] in NEAR.get(low[end - 1], ()):
-            if end - i >= 2 and ord(low[end]) - ord(low[end - 1]) != ord(low[end - 1]) - ord(low[end - 2]):
-                turns += 1
-            end += 1
-            if end - i >= 3:
-                reach(end, log2(47 * (end - i)) + 1.5 * min(turns, end - i) / 2)
-        for unit in (1, 2, 3, 4):
-            piece, end = value[i:i + unit], i + unit
-            while len(piece) == unit and value.startswith(piece, end):
-                end += unit
-                if end - i >= 3:
-                    reach(end, sum(_char_bits(c, mixed) for c in piece) + log2((end - i) / unit))
+        if value[i].isdigit() and (m := DATES.match(value, i)):
+            reach(m.end(), log2(YEARS) if m.end() - i == 4 else log2(YEARS * DAYS) + 2)
+        if i and walk[i] != walk[i - 1]:
+            began = i
+        if entry[i] or i - began <= RIM or walk[i] - i <= RIM:
+            for end in _ends(i + 3, walk[i]):
+                reach(end, log2(47 * (end - i)) + 1.5 * (turns[end] - turns[min(i + 2, end)]) / 2, walk[i])
+        for k, same in enumerate(again):
+            unit = k + 1
+            if i and not same[i - 1]:
+                since[k] = i
+            if same[i] >= unit and (entry[i] or i - since[k] <= RIM or same[i] <= RIM):
+                bits = sum(_char_bits(c, mixed) for c in value[i:i + unit])
+                last = i + unit + same[i] // unit * unit
+                for end in _ends(i + 2 * unit, last, unit):
+                    if end - i >= 3:
+                        reach(end, bits + log2((end - i) / unit), last)
     return best[n]
 
 

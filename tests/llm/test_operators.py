@@ -4,6 +4,7 @@ null and repeated ids, null, empty, wordless and long texts, copies, extra colum
 import collections
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -368,6 +369,48 @@ def test_packing(docs, none):
     assert packing.pack(none).count() == 0
 
 
+def every_segmentation(value):
+    """The least cost over all walks and repeats at every start and end."""
+    n, low = len(value), value.lower()
+    plain, mixed = low.translate(secrets.LEET), value[1:] != value[1:].lower() and value != value.upper()
+    one = [secrets._char_bits(c, mixed) for c in value]
+    best = [0.0] + [float("inf")] * n
+    for i in range(n):
+        found = [(i + 1, one[i])]
+        for size in range(3, min(secrets.LONGEST_WORD, n - i) + 1):
+            caps = value[i:i + size] != low[i:i + size]
+            found += [(i + size, np.log2(secrets.RANK[t[i:i + size]]) + 1 + extra + caps)
+                      for t, extra in ((low, 0), (plain, 1)) if t[i:i + size] in secrets.RANK]
+        if value[i].isdigit() and (m := secrets.DATES.match(value, i)):
+            found.append((m.end(), np.log2(120) if m.end() - i == 4 else np.log2(120 * 366) + 2))
+        turns, end = 0, i + 1
+        while end < n and low[end] in secrets.NEAR.get(low[end - 1], ()):
+            turns += end - i >= 2 and ord(low[end]) - ord(low[end - 1]) != ord(low[end - 1]) - ord(low[end - 2])
+            end += 1
+            if end - i >= 3:
+                found.append((end, np.log2(47 * (end - i)) + .75 * turns))
+        for unit in range(1, 5):
+            end = i + unit
+            while end + unit <= n and value[end:end + unit] == value[i:i + unit]:
+                end += unit
+                if end - i >= 3:
+                    found.append((end, sum(one[i:i + unit]) + np.log2((end - i) / unit)))
+        for end, bits in found:
+            best[end] = min(best[end], best[i] + bits)
+    return best[n]
+
+
+def test_guess_bits_is_the_least_cost():
+    draw = random.Random(8)
+    parts = ["password", "qwerty", "2024", "12/03/1999", "aaaa", "qwqwqw", "asdf", "Secret", "1234"]
+    for _ in range(800):
+        letters = draw.choice(["abc", "qwerty12", "qwertyuiopasdfghjkl", "aab1", "ab", "q", "0123456789", "Aa1$"])
+        some = [draw.choice(parts + [draw.choice(letters) * draw.randrange(1, 60),
+                                     "".join(draw.choice(letters) for _ in range(20))]) for _ in range(draw.randrange(1, 7))]
+        value = "".join(some)[:150]
+        assert abs(secrets.guess_bits(value) - every_segmentation(value)) < 1e-9, value
+
+
 def test_token_ids():
     from tokenizers import Tokenizer
 
@@ -388,6 +431,10 @@ def test_secrets(docs, none):
     assert secrets.guess_bits("password123") < secrets.STRONG < secrets.guess_bits("x8Kd92mQpLz7")
     assert secrets.guess_bits("qwertyuiop") < 20 and secrets.guess_bits("20240315") < 25
     assert secrets.guess_bits("q7" * 40) < 20
+    began = time.process_time()
+    for value in ("a" * 100_000, "qwertyuiop" * 10_000, "qwertrewq" * 11_000):
+        assert secrets.guess_bits(value) < 10 ** 5
+    assert time.process_time() - began < 30  # linear: the quadratic program took an hour each
 
 
 def test_secrets_in_header_and_short_values():
