@@ -18,7 +18,8 @@ from tamper.llm import _text as X
 
 LETTER, NUMBER, SPACE, OTHER, ODD = range(5)
 SPECIAL = "<|endoftext|>"
-SLOTS = 1 << 19
+SLOTS = 1 << 21  # two ways: a pre-token may stand in a slot or the one beside it
+IDS = 1 << 24    # ids kept at most; 17 bytes a slot and 4 an id: 105 MB
 LONGEST = 64  # longer pre-tokens are encoded each time, not kept
 ENCODED = 4096
 
@@ -92,7 +93,7 @@ class Tokens:
 
     def _clear(self):
         self.key = np.zeros(SLOTS, np.uint64)
-        self.at, self.size = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
+        self.at, self.size = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.uint8)
         self.ids, self.fill = np.zeros(1 << 20, np.uint32), 0
 
     def _keep(self, ids: list[int]) -> int:
@@ -104,7 +105,8 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         table = classes()
-        whole = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        joined = "".join(texts)
+        whole = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
         kind = table[whole]
         odd = set(np.unique(np.searchsorted(offsets, np.flatnonzero(kind == ODD), "right") - 1).tolist())
@@ -113,26 +115,28 @@ class Tokens:
         ends = np.append(starts[1:], len(whole))
         with np.errstate(over="ignore"):
             h = X.hash_spans(whole, starts, ends, long=LONGEST) | np.uint64(1)
-        if self.fill > 1 << 22:  # bounded memory
+        if self.fill > IDS:  # bounded memory
             self._clear()
         slot = (h >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
-        at, size = self.at[slot], self.size[slot]
+        slot ^= self.key[slot] != h  # the other way, where the first holds something else
+        at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
         miss = np.flatnonzero((self.key[slot] != h) | (ends - starts > LONGEST))
         if len(miss):
             _, lead, back = np.unique(h[miss], return_index=True, return_inverse=True)
             lead = miss[lead]
-            strings = [whole[a:b].tobytes().decode("utf-32-le") for a, b in
-                       zip(starts[lead], ends[lead], strict=True)]
+            strings = [joined[a:b] for a, b in zip(starts[lead].tolist(), ends[lead].tolist(), strict=True)]
             where, count = np.empty(len(lead), np.int64), np.empty(len(lead), np.int64)
             # an encoding is far larger than its ids: few are held at a time
             for lo in range(0, len(strings), ENCODED):
-                some = self.tokenizer.encode_batch(strings[lo:lo + ENCODED], add_special_tokens=False)
-                for i, e in enumerate(some, lo):
-                    count[i] = len(e.ids)
-                    where[i] = self._keep(e.ids)
+                some = self.tokenizer.encode_batch_fast(strings[lo:lo + ENCODED], add_special_tokens=False)
+                found = [e.ids for e in some]
+                sizes = np.array([len(ids) for ids in found])
+                count[lo:lo + len(found)] = sizes
+                where[lo:lo + len(found)] = self._keep([i for ids in found for i in ids]) + np.cumsum(sizes) - sizes
             at[miss], size[miss] = where[back], count[back]
             short = ends[lead] - starts[lead] <= LONGEST
-            put = slot[lead][short]
+            put = (h[lead][short] >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
+            put ^= (self.key[put] != 0) & (self.key[put ^ 1] == 0)  # a free way, else the first
             self.key[put], self.at[put], self.size[put] = h[lead][short], where[short], count[short]
             # of two pre-tokens with one slot, the later wins in all three arrays alike
         total = np.concatenate(([0], np.cumsum(size)))

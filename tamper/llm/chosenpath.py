@@ -11,11 +11,15 @@ probability 5e-6 or less; more similar pairs with less. A pair below similarity
 under one common child a level and dies out.
 
 Nodes of up to ``LEAF`` classes are compared exhaustively on their embeddings (one byte a
-min-hash). Larger ones are first compared with one member; if all resemble it the node is
-done, else its members branch again. After ``DEPTH`` levels what is still large is compared
-exhaustively in pairs of blocks. Comparisons yield *loose* links (half of the min-hashes
-agree; a pair at 0.8 fails this with probability under 1e-8), reduced to a forest in each
-node, and their components are small groups. Only there do the full sets travel, one for
+min-hash). In a larger node whose members are of one label but for up to ``ASK``, these
+few are compared with every member, in blocks. Members of other large nodes are first
+compared with ``PIVOTS`` of them and then branch again. After ``DEPTH`` levels what is still large is compared exhaustively in pairs
+of blocks. Comparisons yield *loose* links (half of the min-hashes agree; a pair at 0.8
+fails this with probability under 1e-8), reduced to a forest in each node. Classes that
+are loosely linked already have one label, and a node whose members share one is done:
+two trees of one level give first labels, the other trees only look for links between
+different labels. So a large group of copies is found once, and not in every node of every
+tree. Components of loose links are small groups. Only there do the full sets travel, one for
 each class, and links are confirmed on them exactly. A group of over ``BLOCK`` sets or
 ``BLOCK_BYTES`` is dealt to blocks, each with the same pivot; what did not join the
 group's largest component then meets every block. So copies in any number cost a star, not
@@ -46,6 +50,8 @@ from tamper.llm._spark import arrow_batches, components, row_bitmap, table, writ
 U64 = np.uint64
 SHINGLE, PERCENT = 4, 80
 WIDTH, TREES, BRANCH = 64, 14, 1.5
+FIRST_TREES, PIVOTS = 2, 8
+ASK, ASK_BLOCK = 1024, 4096
 LEAF, DEPTH = 256, 10
 LOOSE = WIDTH // 2
 BLOCK, BLOCK_BYTES = 1024, 32 << 20
@@ -155,14 +161,17 @@ def _branches(node: np.ndarray, sig: np.ndarray, percent: int):
     return row, child[row, col]
 
 
-def _root_batches(percent: int, trees: int):
+NODES = "node long, cls long, lab long"
+
+
+def _root_batches(percent: int, trees: range):
     def run(batches):
         for batch in batches:
             sig, cls = matrix(batch.column("sig"), np.uint32), batch.column("cls").to_numpy()
-            for t in range(trees):
+            lab = batch.column("lab").to_numpy()
+            for t in trees:
                 row, child = _branches(np.full(len(sig), t + 1, U64), sig, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(cls[row])],
-                                                 names=["node", "cls"])
+                yield _node_batch(child, cls[row], lab[row])
     return run
 
 
@@ -171,17 +180,42 @@ def _branch_batches(percent: int):
         for batch in batches:
             sig, cls = matrix(batch.column("sig"), np.uint32), batch.column("cls").to_numpy()
             row, child = _branches(batch.column("node").to_numpy().view(U64), sig, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(cls[row])],
-                                             names=["node", "cls"])
+            yield _node_batch(child, cls[row], batch.column("lab").to_numpy()[row])
     return run
 
 
+def _node_batch(node, cls, lab):
+    return pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(cls), pa.array(lab)],
+                                      names=["node", "cls", "lab"])
+
+
 def _pivot_batches(batches):
-    """Members of large nodes beside one of them -> whether they resemble it."""
+    """Members of large nodes beside their node's pivots -> links with pivots of other
+    labels, and the member's new label: that of the first pivot it resembles."""
     for batch in batches:
-        near = (matrix(batch.column("sig"), np.uint32) == matrix(batch.column("pivot_sig"), np.uint32)).sum(1)
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("node", "cls", "pivot", "m")]
-                                         + [pa.array(near >= LOOSE)], names=["node", "cls", "pivot", "m", "near"])
+        n = batch.num_rows
+        cls, lab = batch.column("cls").to_numpy(), batch.column("lab").to_numpy()
+        flat = batch.column("pivots").flatten()
+        sig = matrix(batch.column("sig"), np.uint32)
+        row = np.repeat(np.arange(n), np.diff(batch.column("pivots").offsets.to_numpy()))
+        p_cls, p_lab = flat.field("cls").to_numpy(), flat.field("lab").to_numpy()
+        p_sig = matrix(flat.field("sig"), np.uint32)
+        near = np.zeros(len(row), bool)
+        for lo in range(0, len(row), 1 << 14):
+            s = slice(lo, lo + (1 << 14))
+            near[s] = (sig[row[s]] == p_sig[s]).sum(1) >= LOOSE
+        hit = np.flatnonzero(near)
+        first = hit[np.unique(row[hit], return_index=True)[1]]
+        new = lab.copy()
+        new[row[first]] = p_lab[first]
+        link = hit[(lab[row[hit]] != p_lab[hit])]
+        # one link for each pair of labels is enough
+        link = link[np.unique(np.stack((lab[row[link]], p_lab[link])), axis=1, return_index=True)[1]]
+        to = np.full(n, -1, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([batch.column("node"), pa.array(np.zeros(len(link), np.int64))]),
+             pa.array(np.concatenate((cls, cls[row[link]]))), pa.array(np.concatenate((new, lab[row[link]]))),
+             pa.array(np.concatenate((to, p_cls[link])))], names=["node", "cls", "lab", "pivot"])
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -200,13 +234,14 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def _leaf_edges(g: np.ndarray, cls: np.ndarray, sig: np.ndarray):
-    """Loose links of the runs of equal ``g``, as a forest."""
+def _leaf_edges(g: np.ndarray, cls: np.ndarray, lab: np.ndarray, sig: np.ndarray):
+    """Loose links between different labels in the runs of equal ``g``, as a forest."""
     a, b = [], []
     for k in range(1, len(g)):
         i = np.flatnonzero(g[k:] == g[:-k])
         if not len(i):
             break
+        i = i[lab[i] != lab[i + k]]
         for lo in range(0, len(i), 1 << 16):
             j = i[lo:lo + (1 << 16)]
             j = j[(sig[j] == sig[j + k]).sum(1) >= LOOSE]
@@ -220,10 +255,11 @@ def _leaf_edges(g: np.ndarray, cls: np.ndarray, sig: np.ndarray):
 
 
 def _leaf_batches(batches):
-    """Rows (g, cls, sketch) sorted by g -> loose links; a run may go on in the next batch."""
+    """Rows (g, cls, lab, sketch) sorted by g -> loose links; a run may go on in the next batch."""
     held = None
     for batch in batches:
-        rows = [batch.column("g").to_numpy(), batch.column("cls").to_numpy(), matrix(batch.column("sketch"), np.uint8)]
+        rows = [batch.column("g").to_numpy(), batch.column("cls").to_numpy(), batch.column("lab").to_numpy(),
+                matrix(batch.column("sketch"), np.uint8)]
         if held is not None:
             rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
         if not len(rows[0]):
@@ -240,44 +276,94 @@ def _edge_batch(a, b):
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def loose_links(classes: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
-    """(a, b): a forest over each node of classes (cls, sig) whose embeddings agree in half
-    of their places."""
-    cur = written(classes.mapInArrow(_root_batches(percent, trees), "node long, cls long"), "paths-1")
-    sketch = classes.select("cls", "sig")
-    edges, leaves = None, None
-    for depth in range(1, DEPTH + 1):
-        sizes = cur.groupBy("node").agg(F.count("*").alias("m"), F.min("cls").alias("pivot")).where("m > 1")
-        sized = written(lookup(cur, sizes.withColumn("load", F.col("m")), ["node"], "load", cur.count()),
-                        f"paths-sized-{depth}")
-        small = sized.where(F.col("m") <= LEAF).select(F.col("node").alias("g"), "cls")
-        leaves = small if leaves is None else leaves.unionByName(small)
-        big = sized.where(F.col("m") > LEAF)
-        if big.isEmpty():
+def _mixed(rows: DataFrame, n: int, name: str) -> DataFrame:
+    """The rows (node, cls, lab) of nodes with more than one label, and the node's size m."""
+    sizes = (rows.groupBy("node").agg(F.count("*").alias("m"), F.min("lab").alias("lo"), F.max("lab").alias("hi"))
+             .where("lo < hi").select("node", "m", F.col("m").alias("load")))
+    return written(lookup(rows, sizes, ["node"], "load", n), name)
+
+
+def _pivoted(big: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """Rows of large nodes with their embedding -> (node, cls, lab, pivot): relabelled rows
+    (pivot -1) and links with pivots (node 0)."""
+    members = written(big.join(classes.select("cls", "sig"), "cls"), f"{name}-members")
+    pick = [F.min_by(F.struct("cls", "lab", "sig"), F.xxhash64("cls", F.lit(k))) for k in range(PIVOTS)]
+    pivots = members.groupBy("node").agg(F.count("*").alias("load"), F.array(*pick).alias("pivots"))
+    beside = lookup(members, pivots, ["node"], "load", members.count())
+    return written(beside.mapInArrow(_pivot_batches, f"{NODES}, pivot long"), f"{name}-pivots")
+
+
+def _settled(rows: DataFrame, n: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """Large mixed nodes, split: ``(leaves, rest)``. Where all but ``ASK`` members have one
+    label, only those few have to meet the others: they go to every block of the node, the
+    others to one, which settles the node. ``rest``: the rows of the other nodes."""
+    main = (rows.groupBy("node", "lab").agg(F.count("*").alias("k")).groupBy("node")
+            .agg(F.max_by("lab", F.struct("k", "lab")).alias("main"), F.max("k").alias("k"),
+                 F.sum("k").alias("load")))
+    held = written(lookup(rows, main, ["node"], "load", n).withColumn("few", F.col("k") >= F.col("m") - ASK),
+                   name)
+    blocks = F.ceil(F.col("m") / ASK_BLOCK)
+    block = F.explode(F.when(F.col("lab") != F.col("main"), F.sequence(F.lit(0).cast("long"), blocks - 1))
+                      .otherwise(F.array(F.pmod(F.xxhash64("cls"), blocks))))
+    leaves = held.where("few").select("node", "cls", "lab", block.alias("block")).select(
+        F.xxhash64("node", "block").alias("g"), "cls", "lab")
+    return leaves, held.where("not few").select("node", "cls", "lab", "m")
+
+
+def _tree_links(classes: DataFrame, percent: int, trees: range, depth: int, name: str) -> DataFrame:
+    """(a, b): loose links between different labels of classes (cls, lab, sig) that some
+    of the trees brings together; with ``depth`` 1 large nodes are only compared with
+    their pivots."""
+    cur = classes.mapInArrow(_root_batches(percent, trees), NODES)
+    n = 2 * len(trees) * classes.count()
+    leaves, edges = [], []
+    for level in range(1, max(2, DEPTH + 1)):
+        sized = _mixed(cur, n, f"{name}-sized-{level}")
+        leaves.append(sized.where(F.col("m") <= LEAF).select(F.col("node").alias("g"), "cls", "lab"))
+        rest = sized.where(F.col("m") > LEAF)
+        if depth > 1:
+            asked, rest = _settled(rest, n, f"{name}-main-{level}")
+            leaves.append(asked)
+        if rest.isEmpty():
             break
-        if depth == DEPTH:
+        if level == DEPTH and depth > 1:
             # pairs of blocks: the exact way for what branching does not split
             blocks = F.ceil(F.col("m") / LEAF)
             mine = F.pmod(F.xxhash64("cls", "node"), blocks)
             pair = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-            leaves = leaves.unionByName(
-                big.select("node", "cls", mine.alias("i"), pair.alias("j")).select(
-                    F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("g"), "cls"))
+            leaves.append(rest.select("node", "cls", "lab", mine.alias("i"), pair.alias("j")).select(
+                F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("g"), "cls", "lab"))
+            break
+        looked = _pivoted(rest.drop("m"), classes, f"{name}-{level}")
+        edges.append(looked.where("pivot >= 0").select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
+        if depth == 1:
             break
-        members = written(big.join(sketch, "cls"), f"paths-big-{depth}")
-        pivots = (sizes.where(F.col("m") > LEAF).select("node", F.col("pivot").alias("cls"), F.col("m").alias("load"))
-                  .join(sketch.withColumnRenamed("sig", "pivot_sig"), "cls").drop("cls"))
-        looked = written(lookup(members, pivots, ["node"], "load", members.count())
-                         .mapInArrow(_pivot_batches, "node long, cls long, pivot long, m long, near boolean"),
-                         f"paths-star-{depth}")
-        star = looked.where("near and cls <> pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
-        edges = star if edges is None else edges.unionByName(star)
-        mixed = looked.groupBy("node").agg(F.count("*").alias("load"), F.bool_and("near").alias("one")).where("not one").select("node", "load")
-        cur = written(lookup(members.select("node", "cls", "sig"), mixed, ["node"], "load", members.count())
-                      .mapInArrow(_branch_batches(percent), "node long, cls long"), f"paths-{depth + 1}")
-    found = (leaves.join(_sketches(classes), "cls").repartition("g").sortWithinPartitions("g")
+        left = _mixed(looked.where("pivot < 0").drop("pivot"), n, f"{name}-left-{level}")
+        asked, rest = _settled(left, n, f"{name}-settled-{level}")
+        leaves.append(asked)
+        cur = written(rest.join(classes.select("cls", "sig"), "cls").mapInArrow(_branch_batches(percent), NODES),
+                      f"{name}-{level + 1}")
+        n = max(n, cur.count())
+    rows = leaves[0]
+    for more in leaves[1:]:
+        rows = rows.unionByName(more)
+    found = (rows.join(_sketches(classes), "cls").repartition("g").sortWithinPartitions("g")
              .mapInArrow(_leaf_batches, "a long, b long"))
-    return found if edges is None else found.unionByName(edges)
+    for more in edges:
+        found = found.unionByName(more)
+    return written(found.distinct(), f"{name}-links")
+
+
+def loose_links(classes: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
+    """(a, b): links of classes (cls, sig) whose embeddings agree in half of their places,
+    enough of them to join what all such links would join (as far as trees bring them
+    together)."""
+    first = _tree_links(classes.select("cls", F.col("cls").alias("lab"), "sig"), percent,
+                        range(trees, trees + FIRST_TREES), 1, "paths-first")
+    label = components(first, "paths-labels").select(F.col("node").alias("cls"), "root")
+    labelled = written(classes.select("cls", "sig").join(label, "cls", "left").select(
+        "cls", F.coalesce("root", "cls").alias("lab"), "sig"), "paths-labelled")
+    return first.unionByName(_tree_links(labelled, percent, range(trees), DEPTH, "paths-trees"))
 
 
 def _sketch_batches(batches):

@@ -19,6 +19,7 @@ ignored. A text of any length is cut into as many pieces as it needs.
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,11 +75,17 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(11).standard_normal((BUCKETS, DIMS))
 
 
+@lru_cache(maxsize=4)
+def _buckets(n: int) -> np.ndarray:
+    """The bucket of each id below n."""
+    with np.errstate(over="ignore"):
+        return (X.mix(np.arange(n, dtype=np.uint64)) >> np.uint64(56)).astype(np.int64)
+
+
 def curve_keys(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Place on the curve of each document, from its ids."""
     n = len(first) - 1
-    with np.errstate(over="ignore"):
-        bucket = (X.mix(ids.astype(np.uint64)) >> np.uint64(56)).astype(np.int64)
+    bucket = _buckets(1 << int(ids.max(initial=0)).bit_length())[ids]
     row = X.owners(first)
     hist = np.bincount(row * BUCKETS + bucket, minlength=n * BUCKETS).reshape(n, BUCKETS)
     share = hist / np.maximum(np.diff(first), 1)[:, None]

@@ -495,3 +495,15 @@ def test_pipeline(spark, scratch):
             docs = out
     assert counts[0] > counts[1] == counts[2] > counts[3] >= counts[4] > 0
     assert out.where("start = 0").count() == counts[4]
+
+
+def test_curve_is_a_hilbert_curve():
+    """Every point of a small grid has its own key, and neighbours on the curve are
+    neighbours on the grid."""
+    for dims, bits in ((2, 4), (3, 3), (4, 2)):
+        side = 1 << bits
+        grid = np.stack(np.meshgrid(*[np.arange(side)] * dims, indexing="ij"), axis=-1).reshape(-1, dims)
+        keys = packing.hilbert(grid, bits)
+        assert sorted(keys.tolist()) == list(range(side ** dims))
+        walk = grid[np.argsort(keys)]
+        assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()
