@@ -58,7 +58,8 @@ def _layers(spark, sf_dir):
     silver_e = layers.silver_snapshot("emissions", raw_e)
     return [("RAW", "RAW_ORDERS", raw_o), ("RAW", "RAW_EMISSIONS", raw_e),
             ("SILVER", "SILVER_ORDERS", silver_o), ("SILVER", "SILVER_EMISSIONS", silver_e),
-            ("GOLD", "GOLD_ORDERS", silver_o), ("GOLD", "GOLD_EMISSIONS", silver_e)]
+            ("GOLD", "GOLD_ORDERS", layers.fold_two_batches("orders", raw_o, TD.ORDERS_AS_OF)),
+            ("GOLD", "GOLD_EMISSIONS", layers.fold_two_batches("emissions", raw_e))]
 
 
 def freshness(spark, sf_dir):
@@ -67,12 +68,8 @@ def freshness(spark, sf_dir):
 
 
 def freshness_all(spark, sf_dir):
-    """RAW, SILVER and a GOLD that the batches were merged into."""
-    raw_o, raw_e = raw_orders(spark, sf_dir), raw_emissions(spark, sf_dir)
-    return monitoring.freshness([t for t in _layers(spark, sf_dir) if t[0] != "GOLD"]
-                                + [("GOLD", "GOLD_ORDERS", layers.gold_chain("orders", raw_o, TD.ORDERS_AS_OF)),
-                                   ("GOLD", "GOLD_EMISSIONS", layers.gold_chain("emissions", raw_e))],
-                                TD.ORDERS_AS_OF)
+    """RAW, SILVER, and GOLD after the merges of all batches."""
+    return monitoring.freshness(_layers(spark, sf_dir), TD.ORDERS_AS_OF)
 
 
 def freshness_stored(spark, sf_dir):
