@@ -22,7 +22,7 @@ different labels. So a large group of copies is found once, and not in every nod
 tree. Components of loose links are small groups. Only there do the full sets travel, one for
 each class, and links are confirmed on them exactly. A group of over ``BLOCK`` sets or
 ``BLOCK_BYTES`` is dealt to blocks, each with the same pivot; what did not join the
-group's largest component then meets every block. So copies in any number cost a star, not
+pivot's component then meets every block. So copies in any number cost a star, not
 all pairs, no task holds more than two blocks, and no link between components is left out.
 
 Skew: a text shared by many rows is one class; a token shared by many classes is a large
@@ -52,7 +52,7 @@ SHINGLE, PERCENT = 4, 80
 WIDTH, TREES, BRANCH = 64, 14, 1.5
 FIRST_TREES, PIVOTS = 2, 8
 ASK, ASK_BLOCK = 1024, 4096
-LEAF, DEPTH = 256, 10
+LEAF, DEPTH = 1024, 10
 LOOSE = WIDTH // 2
 BLOCK, BLOCK_BYTES = 1024, 32 << 20
 MAX_BITMAP = 27
@@ -277,9 +277,12 @@ def _edge_batch(a, b):
 
 
 def _mixed(rows: DataFrame, n: int, name: str) -> DataFrame:
-    """The rows (node, cls, lab) of nodes with more than one label, and the node's size m."""
-    sizes = (rows.groupBy("node").agg(F.count("*").alias("m"), F.min("lab").alias("lo"), F.max("lab").alias("hi"))
-             .where("lo < hi").select("node", "m", F.col("m").alias("load")))
+    """The rows (node, cls, lab) of nodes with more than one label, with the node's size m,
+    its most frequent label ``main`` and that label's members k."""
+    each = rows.groupBy("node", "lab").agg(F.count("*").alias("k"))
+    sizes = (each.groupBy("node").agg(F.sum("k").alias("m"), F.count("*").alias("labels"),
+                                      F.max_by("lab", F.struct("k", "lab")).alias("main"), F.max("k").alias("k"))
+             .where("labels > 1").drop("labels").withColumn("load", F.col("m")))
     return written(lookup(rows, sizes, ["node"], "load", n), name)
 
 
@@ -293,21 +296,17 @@ def _pivoted(big: DataFrame, classes: DataFrame, name: str) -> DataFrame:
     return written(beside.mapInArrow(_pivot_batches, f"{NODES}, pivot long"), f"{name}-pivots")
 
 
-def _settled(rows: DataFrame, n: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Large mixed nodes, split: ``(leaves, rest)``. Where all but ``ASK`` members have one
-    label, only those few have to meet the others: they go to every block of the node, the
-    others to one, which settles the node. ``rest``: the rows of the other nodes."""
-    main = (rows.groupBy("node", "lab").agg(F.count("*").alias("k")).groupBy("node")
-            .agg(F.max_by("lab", F.struct("k", "lab")).alias("main"), F.max("k").alias("k"),
-                 F.sum("k").alias("load")))
-    held = written(lookup(rows, main, ["node"], "load", n).withColumn("few", F.col("k") >= F.col("m") - ASK),
-                   name)
-    blocks = F.ceil(F.col("m") / ASK_BLOCK)
+def _settled(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(leaves, rest)`` of mixed nodes. Small ones are one leaf. Where all but ``ASK``
+    members have one label, only those few have to meet the others: they go to every block
+    of the node, the others to one, which settles the node. ``rest``: the other nodes."""
+    small, few = F.col("m") <= LEAF, F.col("k") >= F.col("m") - ASK
+    blocks = F.when(small, F.lit(1)).otherwise(F.ceil(F.col("m") / ASK_BLOCK))
     block = F.explode(F.when(F.col("lab") != F.col("main"), F.sequence(F.lit(0).cast("long"), blocks - 1))
                       .otherwise(F.array(F.pmod(F.xxhash64("cls"), blocks))))
-    leaves = held.where("few").select("node", "cls", "lab", block.alias("block")).select(
+    leaves = rows.where(small | few).select("node", "cls", "lab", block.alias("block")).select(
         F.xxhash64("node", "block").alias("g"), "cls", "lab")
-    return leaves, held.where("not few").select("node", "cls", "lab", "m")
+    return leaves, rows.where(~(small | few)).select("node", "cls", "lab", "m")
 
 
 def _tree_links(classes: DataFrame, percent: int, trees: range, depth: int, name: str) -> DataFrame:
@@ -317,16 +316,12 @@ def _tree_links(classes: DataFrame, percent: int, trees: range, depth: int, name
     cur = classes.mapInArrow(_root_batches(percent, trees), NODES)
     n = 2 * len(trees) * classes.count()
     leaves, edges = [], []
-    for level in range(1, max(2, DEPTH + 1)):
-        sized = _mixed(cur, n, f"{name}-sized-{level}")
-        leaves.append(sized.where(F.col("m") <= LEAF).select(F.col("node").alias("g"), "cls", "lab"))
-        rest = sized.where(F.col("m") > LEAF)
-        if depth > 1:
-            asked, rest = _settled(rest, n, f"{name}-main-{level}")
-            leaves.append(asked)
+    for level in range(1, depth + 1):
+        asked, rest = _settled(_mixed(cur, n, f"{name}-sized-{level}"))
+        leaves.append(asked)
         if rest.isEmpty():
             break
-        if level == DEPTH and depth > 1:
+        if 1 < level == depth:
             # pairs of blocks: the exact way for what branching does not split
             blocks = F.ceil(F.col("m") / LEAF)
             mine = F.pmod(F.xxhash64("cls", "node"), blocks)
@@ -338,8 +333,7 @@ def _tree_links(classes: DataFrame, percent: int, trees: range, depth: int, name
         edges.append(looked.where("pivot >= 0").select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
         if depth == 1:
             break
-        left = _mixed(looked.where("pivot < 0").drop("pivot"), n, f"{name}-left-{level}")
-        asked, rest = _settled(left, n, f"{name}-settled-{level}")
+        asked, rest = _settled(_mixed(looked.where("pivot < 0").drop("pivot"), n, f"{name}-left-{level}"))
         leaves.append(asked)
         cur = written(rest.join(classes.select("cls", "sig"), "cls").mapInArrow(_branch_batches(percent), NODES),
                       f"{name}-{level + 1}")
@@ -351,7 +345,7 @@ def _tree_links(classes: DataFrame, percent: int, trees: range, depth: int, name
              .mapInArrow(_leaf_batches, "a long, b long"))
     for more in edges:
         found = found.unionByName(more)
-    return written(found.distinct(), f"{name}-links")
+    return written(found, f"{name}-links")
 
 
 def loose_links(classes: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
@@ -432,24 +426,45 @@ def _met(sets: Sets, cls: np.ndarray, label: np.ndarray, asks: np.ndarray):
     return out
 
 
+LINK, ASKS = 0, 1
+
+
 def _exact_group(percent: int):
-    """One block of full sets -> links (a, b)."""
+    """One block of full sets -> links (a, b); of a group with several blocks also the
+    members that are not connected with its pivot inside the block: (member, label)."""
     def run(group: pa.Table) -> pa.Table:
         cls, first = np.unique(group.column("cls").to_numpy(), return_index=True)
         asks = np.zeros(len(cls), bool)
-        asks[np.searchsorted(cls, group.column("cls").to_numpy()[group.column("asks").to_numpy(zero_copy_only=False)])] = True
+        asks[np.searchsorted(cls, group.column("cls").to_numpy()[group.column("asks").to_numpy()])] = True
+        root, blocks = group.column("root")[0].as_py(), group.column("blocks")[0].as_py()
         group = group.take(first)
         sets = Sets(group.column("blob").to_pylist(), matrix(group.column("sig"), np.uint32), percent)
-        label = group.column("label").to_numpy()
-        out = _met(sets, cls, label, asks) if asks.any() else _grown(sets, cls)
-        a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        out = _met(sets, cls, group.column("label").to_numpy(), asks) if asks.any() else _grown(sets, cls)
+        a, b = (np.array(c, np.int64) for c in zip(*out, strict=True)) if out else (cls[:0], cls[:0])
+        kind = np.zeros(len(a), np.int32)
+        if blocks > 1 and not asks.any():
+            label = forest(np.searchsorted(cls, a), np.searchsorted(cls, b), len(cls))
+            apart = np.flatnonzero(label != label[np.searchsorted(cls, root)])
+            a, b = np.concatenate((a, cls[apart])), np.concatenate((b, cls[label[apart]]))
+            kind = np.concatenate((kind, np.full(len(apart), ASKS, np.int32)))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "kind": pa.array(kind)})
     return run
 
 
 def _links_in(blocks: DataFrame, percent: int) -> DataFrame:
-    return (blocks.select("root", "block", "cls", "label", "asks", "sig", "blob").groupBy("root", "block")
-            .applyInArrow(_exact_group(percent), "a long, b long"))
+    return (blocks.select("root", "block", "blocks", "cls", "label", "asks", "sig", "blob").groupBy("root", "block")
+            .applyInArrow(_exact_group(percent), "a long, b long, kind int"))
+
+
+def _by_largest(large: DataFrame, links: DataFrame) -> DataFrame:
+    """``large`` with the label of each member's component so far, and ``apart``: the same
+    where it is not the largest of its group."""
+    comp = components(links, "paths-inner").withColumnRenamed("node", "cls").withColumnRenamed("root", "label")
+    labelled = written(large.join(comp, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "paths-inner-labels")
+    main = (labelled.groupBy("root", "label").agg(F.count("*").alias("members")).groupBy("root")
+            .agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.sum("members").alias("load")))
+    return written(lookup(labelled, main, ["root"], "load", labelled.count()).withColumn(
+        "apart", F.when(F.col("label") != F.col("main"), F.col("label"))).drop("main"), "paths-largest")
 
 
 def exact_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -464,22 +479,20 @@ def exact_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     as_row = [F.col("cls").alias("label"), F.lit(False).alias("asks")]
     inside = dealt.select("*", home.alias("block"), *as_row).unionByName(
         dealt.where("blocks > 1 and cls = root").select("*", every.alias("block"), *as_row))
-    links = written(_links_in(inside, percent), "paths-links")
-    large = dealt.where("blocks > 1")
-    if large.isEmpty():
-        return links
-    comp = components(links, "paths-inner")
-    labelled = written(large.join(comp.withColumnRenamed("node", "cls").withColumnRenamed("root", "label"),
-                                  "cls", "left").withColumn("label", F.coalesce("label", "cls")), "paths-labelled")
-    main = (labelled.groupBy("root", "label").agg(F.count("*").alias("k")).groupBy("root")
-            .agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("load")))
-    rest = lookup(labelled, main, ["root"], "load", labelled.count()).where("label <> main").drop("main")
-    asking = written(rest, "paths-rest")
-    if asking.isEmpty():
-        return links
+    found = written(_links_in(inside, percent), "paths-links")
+    links, apart = found.where(f"kind = {LINK}"), found.where(f"kind = {ASKS}")
+    if apart.isEmpty():
+        return links.drop("kind")
+    # what is not connected with the pivot inside its block meets all blocks of its group
+    label = apart.select(F.col("a").alias("cls"), F.col("b").alias("apart"))
+    labelled = written(dealt.where("blocks > 1").join(label, "cls", "left")
+                       .withColumn("label", F.coalesce("apart", "root")), "paths-labelled")
+    if labelled.where("apart is not null").count() > labelled.count() // 4:
+        # a pivot that resembles few: the largest component of all blocks takes its place
+        labelled = _by_largest(labelled.drop("apart", "label"), links)
     meet = labelled.select("*", home.alias("block"), F.lit(False).alias("asks")).unionByName(
-        asking.select("*", every.alias("block"), F.lit(True).alias("asks")))
-    return links.unionByName(written(_links_in(meet, percent), "paths-met"))
+        labelled.where("apart is not null").select("*", every.alias("block"), F.lit(True).alias("asks")))
+    return links.unionByName(written(_links_in(meet, percent), "paths-met")).drop("kind")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
