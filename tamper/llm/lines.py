@@ -18,9 +18,16 @@ part in the edit join, where two edits would change too much of them. Shorter li
 white space alone separate others and stay.
 
 Skew: a line in a third of all documents is one class row after map-side combining; each
-chunk sends a line's entries once. A key that many similar lines share sends its lines,
-not their pairs, to a group for each pair of blocks of bounded size; the group returns
-links that connect them.
+chunk sends a line's entries once. A key that many lines share (crowded) is never gathered.
+Chunks that hold many of its entries deal them to salted parts and send its bucket only a
+mark; a bucket that meets a mark, or counts more than CROWD entries of a key while it reads
+its blobs one by one, passes them on as rows. Of such lines the shared segment is cut out:
+what is left of two lines within max_edits edits is within max_edits edits again (the edits
+before the segment and those after it), so the same partition is made of the rests, with
+segments that split the differing positions of that key's lines evenly instead of their
+length, and the key is refined by them until it is no longer crowded. Keys of bounded size
+are compared with their texts in one group, which returns links that connect them; keys
+that cannot be refined (hardly any text left) in one group for each pair of blocks.
 
 Defined cases: null text has no lines; an empty text is one empty line; rows with a null
 id are neither source nor changed; rows that share an id are told apart by a hash of their
@@ -30,6 +37,7 @@ text; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +48,7 @@ from pyspark.sql import types as T
 
 from tamper.llm import _text as X
 from tamper.llm._packed import SCHEMA, packed_batch, packed_rows, run_starts, unpack
+from tamper.llm._skew import lookup
 from tamper.llm._spark import (arrow_batches, bitmap_filter, boxed, components, row_bitmap, table,
                                unboxed, with_copy, written)
 
@@ -47,6 +56,12 @@ U64 = np.uint64
 MAX_EDITS, MIN_CHARS = 2, 20
 ENTRIES_PER_BUCKET = 1 << 20
 BLOCK, PAIRS_PER_LINE = 1 << 11, 2
+# entries of a key: in one chunk before they are salted, in all before the key is refined
+LOCAL, CROWD = 1 << 9, 1 << 12
+HELD = 1 << 21  # entries that a bucket holds before it looks for crowded keys
+GROUP_BYTES = 32 << 20
+SAMPLE = 256  # lines of a crowded key that its cuts are chosen from; any cuts are right
+MARK = 0xFFFF
 BITMAP_BITS = 23
 BASE = 0x9FB21C651E98DF25
 INDEX, PROBE = 0, 1
@@ -97,18 +112,19 @@ def segments(length: np.ndarray, parts: int) -> tuple[list, list]:
 
 
 def signatures(prefix: Prefix, start: np.ndarray, end: np.ndarray, max_edits: int):
-    """(line, key, role): index keys of every segment, probe keys of every substring that
-    can equal a segment of a line up to max_edits shorter."""
+    """(line, key, code): index keys of every segment, probe keys of every substring that
+    can equal a segment of a line up to max_edits shorter. The code holds the role and
+    where the span lies (segment, how much shorter, how far moved)."""
     parts, length = max_edits + 1, end - start
-    lines, keys, roles = [], [], []
+    lines, keys, codes = [], [], []
 
-    def add(pick, part, indexed, at, size, role):
+    def add(pick, part, indexed, at, size, role, shorter=0, move=0):
         h = prefix(start[pick] + at, start[pick] + at + size)
         with np.errstate(over="ignore"):
             key = X.mix(h ^ ((indexed.astype(U64) * U64(64) + U64(part)) * U64(0x9E3779B97F4A7C15)))
         lines.append(pick)
         keys.append(key)
-        roles.append(np.full(len(pick), role, np.uint8))
+        codes.append(np.full(len(pick), role | part << 1 | shorter << 4 | move + max_edits << 7, np.uint16))
 
     every = np.arange(len(start))
     places, sizes = segments(length, parts)
@@ -124,8 +140,17 @@ def signatures(prefix: Prefix, start: np.ndarray, end: np.ndarray, max_edits: in
             for move in range(low, high + 1):
                 at = places[i] + move
                 fit = (at >= 0) & (at + sizes[i] <= length[ok])
-                add(ok[fit], i, indexed[ok][fit], at[fit], sizes[i][fit], PROBE)
-    return np.concatenate(lines), np.concatenate(keys), np.concatenate(roles)
+                add(ok[fit], i, indexed[ok][fit], at[fit], sizes[i][fit], PROBE, shorter, move)
+    return np.concatenate(lines), np.concatenate(keys), np.concatenate(codes)
+
+
+def rest_of(line: str, code: int, max_edits: int) -> str:
+    """The line without the span of an entry."""
+    part, shorter, move = code >> 1 & 7, code >> 4 & 7, (code >> 7) - max_edits
+    short, longer = divmod(len(line) - shorter, max_edits + 1)
+    even = max_edits + 1 - longer  # segments before the longer ones
+    at = part * short + max(0, part - even) + move
+    return line[:at] + line[at + short + (part >= even):]
 
 
 def parities(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -148,15 +173,26 @@ def _entry_batches(max_edits: int, min_chars: int, buckets: int):
                 start = np.concatenate(([0], end[:-1]))
                 prefix = Prefix(points)
                 parity = parities(points, start, end)
-                line, key, role = signatures(prefix, start, end, max_edits)
+                line, key, code = signatures(prefix, start, end, max_edits)
                 order = np.argsort(key, kind="stable")
-                line, key, role = line[order], key[order], role[order]
-                bucket = (key % U64(buckets)).astype(np.int64)
-                yield packed_batch(packed_rows(0, bucket, [key, name[line], parity[line], role], buckets))
+                line, key, code = line[order], key[order], code[order]
+                first = run_starts(key)
+                times = np.diff(np.append(first, len(key)))
+                crowded, salt = first[times >= LOCAL], np.repeat(times >= LOCAL, times)
+                with np.errstate(over="ignore"):
+                    dealt = np.where(salt, X.mix(key ^ name[0]), key)
+                bucket = (dealt % U64(buckets)).astype(np.int64) + np.where(salt, buckets, 0)
+                marks = len(crowded)
+                planes = [np.concatenate((key[crowded], key)),
+                          np.concatenate((np.zeros(marks, U64), name[line])),
+                          np.concatenate((np.zeros(marks, np.uint32), parity[line])),
+                          np.concatenate((np.full(marks, MARK, np.uint16), code))]
+                bucket = np.concatenate(((key[crowded] % U64(buckets)).astype(np.int64), bucket))
+                yield packed_batch(packed_rows(0, bucket, planes, 2 * buckets))
     return run
 
 
-CANDIDATES = "a long, b long, g long, role int, parity long"
+CANDIDATES = "a long, b long, g long, code int, parity long"
 
 
 def _close(parity, name, own, ask, max_edits: int):
@@ -166,50 +202,188 @@ def _close(parity, name, own, ask, max_edits: int):
     return own[i], ask[j]
 
 
-def _candidate_group(max_edits: int):
+def _member_rows(key, name, parity, code) -> pa.RecordBatch:
+    """Entries as rows (a, g, code, parity) without b."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(name.view(np.int64)), pa.nulls(len(name), pa.int64()), pa.array(key.view(np.int64)),
+         pa.array(code.astype(np.int32)), pa.array(parity.astype(np.int64))],
+        names=["a", "b", "g", "code", "parity"])
+
+
+def _distinct(held: list, crowded: np.ndarray, most: int):
+    """Entries in order of key and name, each once, and the crowded keys: those marked or
+    known, and those with more than ``most`` entries."""
+    key, name, parity, code = (np.concatenate(c) for c in zip(*held, strict=True))
+    crowded = np.union1d(crowded, key[code == MARK])
+    order = np.lexsort((code, name, key))
+    key, name, parity, code = key[order], name[order], parity[order], code[order]
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | (code[1:] != code[:-1])))
+    new = new[:len(key)] & (code != MARK)
+    key, name, parity, code = key[new], name[new], parity[new], code[new]
+    cuts = np.append(run_starts(key), len(key))
+    return (key, name, parity, code), np.union1d(crowded, key[cuts[:-1][np.diff(cuts) > most]])
+
+
+def _candidate_group(max_edits: int, buckets: int):
     """One bucket's entries -> candidates. A key with few close pairs gives them as
-    (a, b). A key with many gives its lines instead, as members (a, role, parity) of
-    group g, one group for each pair of blocks: links are then found among them with
-    their texts at hand, and no pair of the group is written."""
-    def run(group: pa.Table) -> pa.Table:
-        key, name, parity, role = (np.concatenate(c) for c in zip(
-            *(unpack(b.as_py(), "u8", "u8", "u4", "u1") for b in group.column("blob")), strict=True))
-        # an entry that several chunks sent is one entry
-        order = np.lexsort((role, name, key))
-        key, name, parity, role = key[order], name[order], parity[order], role[order]
-        new = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | (role[1:] != role[:-1])))
-        key, name, parity, role = key[new], name[new], parity[new], role[new]
+    (a, b). A key with many, or with many entries, gives its lines instead, as members
+    (a, code, parity) of group g: links are then found among them with their texts at
+    hand, and no pair of the group is written. Entries of a crowded key leave the bucket
+    as they are read, so memory holds the others alone."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = tuple(np.zeros(0, k) for k in (U64, U64, np.uint32, np.uint16))
+        held, size, limit, crowded = [none], 0, HELD, none[0]
+        for batch in batches:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob"), strict=True):
+                entries = unpack(blob.as_py(), "u8", "u8", "u4", "u2")
+                if part >= buckets:
+                    yield _member_rows(*entries)
+                    continue
+                held.append(entries)
+                size += len(entries[0])
+                if size >= limit:
+                    entries, crowded = _distinct(held, crowded, CROWD)
+                    out = np.isin(entries[0], crowded)
+                    yield _member_rows(*(x[out] for x in entries))
+                    held = [tuple(x[~out] for x in entries)]
+                    size = len(held[0][0])
+                    limit = max(HELD, 2 * size)
+        entries, crowded = _distinct(held, crowded, CROWD)
+        out = np.isin(entries[0], crowded)
+        key, name, parity, code = (x[~out] for x in entries)
         cuts = np.append(run_starts(key), len(key))
-        pairs, members = [], []
+        pairs, members = [], [np.flatnonzero(out)]
+        place = np.flatnonzero(~out)
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b - a < 2 or name[a] == name[b - 1]:
                 continue
-            own = np.flatnonzero(role[a:b] == INDEX) + a
-            ask = np.flatnonzero(role[a:b] == PROBE) + a
+            own = np.flatnonzero((code[a:b] & 1) == INDEX) + a
+            ask = np.flatnonzero((code[a:b] & 1) == PROBE) + a
             if len(own) * len(ask) <= BLOCK:
                 p, q = _close(parity, name, own, ask, max_edits)
                 if len(p) <= PAIRS_PER_LINE * (b - a):
                     pairs.append((np.minimum(name[p], name[q]), np.maximum(name[p], name[q])))
                     continue
-            for lo in range(0, len(own), BLOCK):
-                for lo2 in range(0, len(ask), BLOCK):
-                    both = np.concatenate((own[lo:lo + BLOCK], ask[lo2:lo2 + BLOCK]))
-                    with np.errstate(over="ignore"):
-                        g = X.mix(key[a:a + 1] + U64(lo // BLOCK * 0x10001) + (U64(lo2 // BLOCK) << U64(32)))
-                    members.append((name[both], np.repeat(g, len(both)), role[both], parity[both]))
+            members.append(place[a:b])
+        at = np.concatenate(members)
+        yield _member_rows(*(x[at] for x in entries))
         x, y = (np.concatenate(c) for c in zip(*pairs, strict=True)) if pairs else (np.zeros(0, U64),) * 2
-        m, g, r, f = (np.concatenate(c) for c in zip(*members, strict=True)) if members else (
-            np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.uint8), np.zeros(0, np.uint32))
-        n, k = len(x), len(m)
-        none, no = np.zeros(n + k, np.int64), np.arange(n + k) >= n
-        return pa.table({"a": pa.array(np.concatenate((x, m)).view(np.int64)),
-                         "b": pa.array(np.concatenate((y, m)).view(np.int64), mask=no),
-                         "g": pa.array(np.concatenate((none[:n], g.view(np.int64))), mask=~no),
-                         "role": pa.array(np.concatenate((none[:n], r)).astype(np.int32), mask=~no),
-                         "parity": pa.array(np.concatenate((none[:n], f)).astype(np.int64), mask=~no)})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.nulls(len(x), pa.int64()),
+             pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.int64())],
+            names=["a", "b", "g", "code", "parity"])
+    return run
+
+
+MEMBERS = "g long, a long, role int, parity long, size int, rest string"
+
+
+def _rest_batches(max_edits: int):
+    def run(batches):
+        for batch in batches:
+            code = batch.column("code").to_pylist()
+            line = batch.column("line").to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("g"), batch.column("a"), pa.array([c & 1 for c in code], pa.int32()),
+                 batch.column("parity"), pa.array([len(x.encode()) for x in line], pa.int32()),
+                 pa.array([rest_of(x, c, max_edits) for x, c in zip(line, code, strict=True)], pa.string())],
+                names=["g", "a", "role", "parity", "size", "rest"])
+    return run
+
+
+def even_cuts(mass: np.ndarray, parts: int) -> list[int]:
+    """Cuts between ``parts`` segments, none empty, of about equal mass. There are at
+    least as many positions as segments."""
+    total, n = np.cumsum(mass), len(mass)
+    cuts = []
+    for i in range(1, parts):
+        cut = int(np.searchsorted(total, total[-1] * i / parts * (1 - 1e-9))) + 1
+        cuts.append(max(cut, (cuts[-1] if cuts else 0) + 1))
+    return [min(c, n - parts + 1 + i) for i, c in enumerate(cuts)]
+
+
+def _cuts_group(parts: int):
+    """Rests of one length of one key -> cuts that split their differing positions."""
+    def run(group: pa.Table) -> pa.Table:
+        points = np.stack([np.frombuffer(x.encode("utf-32-le"), np.uint32)
+                           for x in group.column("rest").to_pylist()])
+        points.sort(axis=0)
+        kinds = 1 + (points[1:] != points[:-1]).sum(axis=0)
+        mass = np.log2(kinds)
+        cuts = even_cuts(mass if mass.any() else np.ones(len(mass)), parts)
+        return pa.table({"g": group.column("g").slice(0, 1), "cuts": pa.array([cuts], pa.list_(pa.int32()))})
+    return run
+
+
+def _refined_batches(max_edits: int):
+    """Members of crowded keys -> members of the keys that their rests' segments make."""
+    parts = max_edits + 1
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for g, a, role, parity, size, rest, r, cuts in zip(
+                    *(batch.column(c).to_pylist() for c in
+                      ("g", "a", "role", "parity", "size", "rest", "r", "cuts")), strict=True):
+                edges = [0, *(cuts or even_cuts(np.ones(r), parts)), r]
+                shorter = len(rest) - r
+                for i in range(parts):
+                    low = max(-i, shorter - (max_edits - i)) if role == PROBE else 0
+                    high = min(i, shorter + (max_edits - i)) if role == PROBE else 0
+                    for move in range(low, high + 1):
+                        at, end = edges[i] + move, edges[i + 1] + move
+                        if 0 <= at and end <= len(rest):
+                            key = xxhash.xxh3_64_intdigest(f"{g}:{r}:{i}:{rest[at:end]}".encode())
+                            out.append((key - (1 << 63), a, role, parity, size, rest[:at] + rest[end:]))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string())
+            columns = zip(*out, strict=True) if out else ((),) * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["g", "a", "role", "parity", "size", "rest"])
     return run
 
 
+def settled_members(rows: DataFrame, max_edits: int, name: str = "lines-crowd") -> DataFrame:
+    """(g, a, role, parity): the members ``rows`` in groups of bounded size; any two that
+    share a key and are within max_edits edits share a group, one as INDEX, one as PROBE."""
+    parts, done, level = max_edits + 1, [], 0
+    while True:
+        level += 1
+        n = rows.count()
+        keys = written(
+            rows.groupBy("g").agg(
+                F.count("*").alias("n"), F.count_if(F.col("role") == INDEX).alias("own"),
+                F.min("a").alias("lo"), F.max("a").alias("hi"), F.sum("size").alias("bytes"),
+                F.min(F.when(F.col("role") == INDEX, F.char_length("rest"))).alias("r"))
+            .where("own > 0 and own < n and lo < hi")
+            .withColumn("blocks", F.greatest(F.ceil(F.col("n") / CROWD), F.ceil(F.col("bytes") / GROUP_BYTES)))
+            .select("g", F.col("n").alias("load"), "own", "r", "blocks"), f"{name}-keys-{level}")
+        # a rest of so few characters is compared as it is
+        crowded = (F.col("blocks") > 1) & (F.col("load") > 64) & (F.col("r") >= 2 * parts)
+        few = lookup(rows, keys.where(~crowded).select("g", "load", "blocks"), ["g"], "load", n)
+        block = F.expr("pmod(xxhash64(a, g), blocks)")
+        spread = (few.where("blocks > 1").withColumn("lo", block)
+                  .withColumn("hi", F.explode(F.expr("sequence(0L, blocks - 1)")))
+                  .withColumn("g", F.when(F.col("role") == INDEX, F.xxhash64("g", "lo", "hi"))
+                              .otherwise(F.xxhash64("g", "hi", "lo"))))
+        done += [x.select("g", "a", "role", "parity") for x in (few.where("blocks = 1"), spread)]
+        if keys.where(crowded).isEmpty():
+            break
+        dense = written(lookup(rows, keys.where(crowded).select("g", "load", "own", "r"), ["g"], "load", n),
+                        f"{name}-dense-{level}")
+        cuts = (dense.where((F.col("role") == INDEX) & (F.char_length("rest") == F.col("r")))
+                .where(F.expr(f"pmod(xxhash64(a, g), own) < least({SAMPLE}, greatest(8, 2000000 div r))"))
+                .select("g", "rest").groupBy("g").applyInArrow(_cuts_group(parts), "g long, cuts array<int>"))
+        cuts = written(cuts.join(keys.select("g", "load"), "g"), f"{name}-cuts-{level}")
+        rows = written(lookup(dense, cuts, ["g"], "load", n, "left")
+                       .select("g", "a", "role", "parity", "size", "rest", "r", "cuts")
+                       .mapInArrow(_refined_batches(max_edits), MEMBERS).distinct(), f"{name}-{level}")
+    out = done[0]
+    for x in done[1:]:
+        out = out.unionByName(x)
+    return out.distinct()
+
+
 def _member_group(max_edits: int):
     """The lines of one group, with texts -> links that connect what is connected among
     them: a pair whose lines are already joined is not looked at again."""
@@ -321,12 +495,14 @@ def near_links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
     spark = docs.sparkSession
     if min_chars <= max_edits:
         raise ValueError("min_chars has to exceed max_edits")
+    if not 0 <= max_edits <= 7:
+        raise ValueError("an entry's code holds at most 7 edits")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about 15 entries for each line of some 200 bytes
     buckets = max(256, size // 200 * 15 // ENTRIES_PER_BUCKET)
     known = docs.where("doc_id is not null").select("text")
     found = written(known.mapInArrow(_entry_batches(max_edits, min_chars, buckets), SCHEMA)
-                    .groupBy("part").applyInArrow(_candidate_group(max_edits), CANDIDATES)
+                    .groupBy("part").applyInArrow(_candidate_group(max_edits, buckets), CANDIDATES)
                     .distinct(), "lines-candidates")
     pairs, members = found.where("b is not null").select("a", "b"), found.where("b is null")
     names = found.select(F.col("a").alias("name")).union(pairs.select("b"))
@@ -340,7 +516,10 @@ def near_links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
     both = (pairs.join(texts.select(F.col("name").alias("a"), F.col("line").alias("ta")), "a")
             .join(texts.select(F.col("name").alias("b"), F.col("line").alias("tb")), "b"))
     alone = both.select("a", "b", "ta", "tb").mapInArrow(_verify_batches(max_edits), "a long, b long")
-    crowd = (members.join(texts.select(F.col("name").alias("a"), "line"), "a")
+    named = texts.select(F.col("name").alias("a"), "line")
+    rests = written(members.select("a", "g", "code", "parity").join(named, "a")
+                    .mapInArrow(_rest_batches(max_edits), MEMBERS), "lines-crowd")
+    crowd = (settled_members(rests, max_edits).join(named, "a")
              .select("g", "a", "role", "parity", "line")
              .groupBy("g").applyInArrow(_member_group(max_edits), "a long, b long"))
     return alone.union(crowd)

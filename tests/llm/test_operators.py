@@ -245,6 +245,72 @@ def test_crowded_keys_give_links_not_pairs(spark):
     assert links < 20 * len(near)
 
 
+def _joined(lines_, links) -> dict:
+    """Line -> smallest line that links connect it with."""
+    root = {x: x for x in lines_}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        p, q = top(a), top(b)
+        root[max(p, q)] = min(p, q)
+    return {x: top(x) for x in lines_}
+
+
+def _shared_segment(n: int) -> list[str]:
+    """Lines that share their first half, every fifth with a near copy."""
+    out = []
+    for k in range(n):
+        tail = "".join(RNG.choice("abcdefghij ") for _ in range(24))
+        out.append("request served from the cache: " + tail + "!")
+        if k % 5 == 0:
+            at = RNG.randrange(24)
+            out.append("request served from the cache: " + tail[:at] + RNG.choice(["", "é", "xy"]) + tail[at + 1:] + "!")
+    return out
+
+
+def _numbered(n: int) -> list[str]:
+    """Lines that differ in one number of a few digits, so that most are near others."""
+    return [f"2024-05-01 worker started job {k * 7919 % 1000000} and finished it without an error" for k in range(n)]
+
+
+@pytest.mark.parametrize("make", [_shared_segment, _numbered])
+def test_crowded_segments_are_refined(spark, monkeypatch, make):
+    """A segment that all lines share is dealt by the rests of the lines; every link stays."""
+    found = sorted(set(make(400)))
+    near = [(x, y) for i, x in enumerate(found) for y in found[:i] if lines.within(x, y, 2) is not None]
+    assert near
+    docs = spark.createDataFrame([(k, "\n".join(found[k::7])) for k in range(7)], "doc_id long, text string").repartition(4)
+    levels = []
+    real = lines.written
+    monkeypatch.setattr(lines, "written", lambda df, name, **o: levels.append(name) or real(df, name, **o))
+    for name, value in {"LOCAL": 24, "CROWD": 32, "HELD": 128, "BLOCK": 64}.items():
+        monkeypatch.setattr(lines, name, value)
+    a, _ = lines.identities(found)
+    text = dict(zip(a.view("int64").tolist(), found, strict=True))
+    links = [(text[r.a], text[r.b]) for r in lines.near_links(docs).distinct().collect()]
+    assert all(lines.within(x, y, 2) is not None for x, y in links)
+    assert _joined(found, links) == _joined(found, near)
+    assert "lines-crowd-1" in levels
+
+
+def test_rests_and_cuts():
+    for n in (20, 21, 22, 67):
+        line = "".join(RNG.choice("abcd") for _ in range(n))
+        prefix = lines.Prefix(np.frombuffer(line.encode("utf-32-le"), "u4"))
+        _, key, code = lines.signatures(prefix, np.array([0]), np.array([n]), 2)
+        rests = {lines.rest_of(line, int(c), 2) for c in code if c & 1 == lines.INDEX}
+        assert len(key) == len(code) and sum(map(len, (lines.rest_of(line, int(c), 2) for c in code if c & 1 == 0))) == 2 * n
+        places, sizes = lines.segments(np.array([n]), 3)
+        assert rests == {line[:int(p[0])] + line[int(p[0] + s[0]):] for p, s in zip(places, sizes, strict=True)}
+    for mass in ([1] * 6, [0] * 40 + [3, 3, 3] + [0] * 9, [5] + [0] * 7, [0] * 7 + [5], [0, 1, 0, 0, 0, 1]):
+        cuts = lines.even_cuts(np.array(mass, float), 3)
+        assert 0 < cuts[0] < cuts[1] < len(mass)
+
+
 # --- 10 --------------------------------------------------------------------
 
 def test_forest(spark):
