@@ -302,15 +302,17 @@ def even_cuts(mass: np.ndarray, parts: int) -> list[int]:
     return [min(c, n - parts + 1 + i) for i, c in enumerate(cuts)]
 
 
+def differing_cuts(rests: list[str], parts: int) -> list[int]:
+    """Cuts for rests of one length that split the positions where they differ evenly."""
+    points = np.stack([np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in rests])
+    points.sort(axis=0)
+    mass = np.log2(1 + (points[1:] != points[:-1]).sum(axis=0))
+    return even_cuts(mass if mass.any() else np.ones(len(mass)), parts)
+
+
 def _cuts_group(parts: int):
-    """Rests of one length of one key -> cuts that split their differing positions."""
     def run(group: pa.Table) -> pa.Table:
-        points = np.stack([np.frombuffer(x.encode("utf-32-le"), np.uint32)
-                           for x in group.column("rest").to_pylist()])
-        points.sort(axis=0)
-        kinds = 1 + (points[1:] != points[:-1]).sum(axis=0)
-        mass = np.log2(kinds)
-        cuts = even_cuts(mass if mass.any() else np.ones(len(mass)), parts)
+        cuts = differing_cuts(group.column("rest").to_pylist(), parts)
         return pa.table({"g": group.column("g").slice(0, 1), "cuts": pa.array([cuts], pa.list_(pa.int32()))})
     return run
 
@@ -344,7 +346,7 @@ def _refined_batches(max_edits: int):
 
 
 def settled_members(rows: DataFrame, max_edits: int, name: str = "lines-crowd") -> DataFrame:
-    """(g, a, role, parity): the members ``rows`` in groups of bounded size; any two that
+    """(g, a, role, parity, rest): the members ``rows`` in groups of bounded size; any two that
     share a key and are within max_edits edits share a group, one as INDEX, one as PROBE."""
     parts, done, level = max_edits + 1, [], 0
     while True:
@@ -366,7 +368,7 @@ def settled_members(rows: DataFrame, max_edits: int, name: str = "lines-crowd")
                   .withColumn("hi", F.explode(F.expr("sequence(0L, blocks - 1)")))
                   .withColumn("g", F.when(F.col("role") == INDEX, F.xxhash64("g", "lo", "hi"))
                               .otherwise(F.xxhash64("g", "hi", "lo"))))
-        done += [x.select("g", "a", "role", "parity") for x in (few.where("blocks = 1"), spread)]
+        done += [x.select("g", "a", "role", "parity", "rest") for x in (few.where("blocks = 1"), spread)]
         if keys.where(crowded).isEmpty():
             break
         dense = written(lookup(rows, keys.where(crowded).select("g", "load", "own", "r"), ["g"], "load", n),
@@ -384,14 +386,37 @@ def settled_members(rows: DataFrame, max_edits: int, name: str = "lines-crowd")
     return out.distinct()
 
 
-def _member_group(max_edits: int):
+def _split(own: list, ask: list, max_edits: int):
+    """Indexed and probing (place, rest) of one key, dealt once more by the segments of
+    their rests: (own, ask) of every new key with both."""
+    parts = max_edits + 1
+    r = min(len(x) for _, x in own)
+    edges = [0, *differing_cuts([x for _, x in own if len(x) == r][:64], parts), r]
+    found: dict = {}
+    for place, x in own:
+        for i in range(parts):
+            at, end = edges[i], edges[i + 1]
+            found.setdefault((i, x[at:end]), ([], []))[0].append((place, x[:at] + x[end:]))
+    for place, x in ask:
+        shorter = len(x) - r
+        for i in range(parts):
+            for move in range(max(-i, shorter - (max_edits - i)), min(i, shorter + (max_edits - i)) + 1):
+                at, end = edges[i] + move, edges[i + 1] + move
+                if 0 <= at and end <= len(x) and (i, x[at:end]) in found:
+                    found[i, x[at:end]][1].append((place, x[:at] + x[end:]))
+    return [(o, a) for o, a in found.values() if a]
+
+
+def _member_group(max_edits: int, few: int = 256, depth: int = 4):
     """The lines of one group, with texts -> links that connect what is connected among
-    them: a pair whose lines are already joined is not looked at again."""
+    them: a pair whose lines are already joined is not looked at again. A group of more
+    than ``few`` pairs is split by the segments of the rests first, after one line has
+    been compared with all, which joins the copies of a line at once."""
     def run(group: pa.Table) -> pa.Table:
-        name, role = group.column("a").to_numpy(), group.column("role").to_numpy()
-        parity = group.column("parity").to_numpy().astype(np.uint32)
-        text = group.column("line").to_pylist()
-        root = {int(n): int(n) for n in name}
+        name, role = group.column("a").to_pylist(), group.column("role").to_pylist()
+        parity, text = group.column("parity").to_pylist(), group.column("line").to_pylist()
+        rest = group.column("rest").to_pylist()
+        root = {n: n for n in name}
 
         def top(x):
             while root[x] != x:
@@ -400,13 +425,28 @@ def _member_group(max_edits: int):
             return x
 
         out = []
-        ask = np.flatnonzero(role == PROBE)
-        for i in np.flatnonzero(role == INDEX):
-            for j in _close(parity, name, np.array([i]), ask, max_edits)[1]:
-                p, q = top(int(name[i])), top(int(name[j]))
-                if p != q and within(text[i], text[j], max_edits) is not None:
-                    root[max(p, q)] = min(p, q)
-                    out.append((min(int(name[i]), int(name[j])), max(int(name[i]), int(name[j]))))
+
+        def compare(own, ask):
+            for i, _ in own:
+                for j, _ in ask:
+                    if (parity[i] ^ parity[j]).bit_count() <= 2 * max_edits:
+                        p, q = top(name[i]), top(name[j])
+                        if p != q and within(text[i], text[j], max_edits) is not None:
+                            root[max(p, q)] = min(p, q)
+                            out.append((min(name[i], name[j]), max(name[i], name[j])))
+
+        places = [(i, rest[i]) for i in range(len(name))]
+        todo = [([x for x in places if role[x[0]] == INDEX], [x for x in places if role[x[0]] == PROBE], 0)]
+        while todo:
+            own, ask, level = todo.pop()
+            small = len(own) * len(ask) <= few or level == depth
+            if small or min((len(x) for _, x in own), default=0) < 2 * (max_edits + 1):
+                compare(own, ask)
+                continue
+            compare(own[:1], ask)
+            one = top(name[own[0][0]])
+            if any(top(name[i]) != one for i, _ in own + ask):
+                todo += [(o, a, level + 1) for o, a in _split(own, ask, max_edits)]
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()),
                          "b": pa.array([y for _, y in out], pa.int64())})
     return run
@@ -520,7 +560,7 @@ def near_links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
     rests = written(members.select("a", "g", "code", "parity").join(named, "a")
                     .mapInArrow(_rest_batches(max_edits), MEMBERS), "lines-crowd")
     crowd = (settled_members(rests, max_edits).join(named, "a")
-             .select("g", "a", "role", "parity", "line")
+             .select("g", "a", "role", "parity", "rest", "line")
              .groupBy("g").applyInArrow(_member_group(max_edits), "a long, b long"))
     return alone.union(crowd)
 

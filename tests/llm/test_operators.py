@@ -278,8 +278,10 @@ def _numbered(n: int) -> list[str]:
 
 
 @pytest.mark.parametrize("make", [_shared_segment, _numbered])
-def test_crowded_segments_are_refined(spark, monkeypatch, make):
-    """A segment that all lines share is dealt by the rests of the lines; every link stays."""
+@pytest.mark.parametrize("bounds", [{}, {"LOCAL": 24, "CROWD": 32, "HELD": 128, "BLOCK": 64}])
+def test_crowded_segments_are_refined(spark, monkeypatch, make, bounds):
+    """A segment that all lines share is dealt by the rests of the lines, in one group or
+    over many keys; every link stays."""
     found = sorted(set(make(400)))
     near = [(x, y) for i, x in enumerate(found) for y in found[:i] if lines.within(x, y, 2) is not None]
     assert near
@@ -287,14 +289,14 @@ def test_crowded_segments_are_refined(spark, monkeypatch, make):
     levels = []
     real = lines.written
     monkeypatch.setattr(lines, "written", lambda df, name, **o: levels.append(name) or real(df, name, **o))
-    for name, value in {"LOCAL": 24, "CROWD": 32, "HELD": 128, "BLOCK": 64}.items():
+    for name, value in bounds.items():
         monkeypatch.setattr(lines, name, value)
     a, _ = lines.identities(found)
     text = dict(zip(a.view("int64").tolist(), found, strict=True))
     links = [(text[r.a], text[r.b]) for r in lines.near_links(docs).distinct().collect()]
     assert all(lines.within(x, y, 2) is not None for x, y in links)
     assert _joined(found, links) == _joined(found, near)
-    assert "lines-crowd-1" in levels
+    assert ("lines-crowd-1" in levels) == bool(bounds)
 
 
 def test_rests_and_cuts():
