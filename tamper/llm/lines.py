@@ -59,7 +59,8 @@ BLOCK, PAIRS_PER_LINE = 1 << 11, 2
 # entries of a key: in one chunk before they are salted, in all before the key is refined
 LOCAL, CROWD = 1 << 9, 1 << 12
 HELD = 1 << 21  # entries that a bucket holds before it looks for crowded keys
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 8 << 20  # of the lines of one group
+SPLIT_CHARS = 1 << 20  # of the rests that one worker splits or samples at a time
 SAMPLE = 256  # lines of a crowded key that its cuts are chosen from; any cuts are right
 MARK = 0xFFFF
 BITMAP_BITS = 23
@@ -320,13 +321,23 @@ def _cuts_group(parts: int):
 def _refined_batches(max_edits: int):
     """Members of crowded keys -> members of the keys that their rests' segments make."""
     parts = max_edits + 1
+    names = ("g", "a", "role", "parity", "size", "rest")
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string())
+
+    def members(rows):
+        columns = zip(*rows, strict=True) if rows else ((),) * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def run(batches):
         for batch in batches:
-            out = []
-            for g, a, role, parity, size, rest, r, cuts in zip(
-                    *(batch.column(c).to_pylist() for c in
-                      ("g", "a", "role", "parity", "size", "rest", "r", "cuts")), strict=True):
+            out, chars = [], 0
+            for row in zip(*(batch.column(c) for c in
+                             ("g", "a", "role", "parity", "size", "rest", "r", "cuts")), strict=True):
+                g, a, role, parity, size, rest, r, cuts = (x.as_py() for x in row)
+                chars += len(rest)
+                if chars > SPLIT_CHARS and out:
+                    yield members(out)
+                    out, chars = [], len(rest)
                 edges = [0, *(cuts or even_cuts(np.ones(r), parts)), r]
                 shorter = len(rest) - r
                 for i in range(parts):
@@ -337,11 +348,7 @@ def _refined_batches(max_edits: int):
                         if 0 <= at and end <= len(rest):
                             key = xxhash.xxh3_64_intdigest(f"{g}:{r}:{i}:{rest[at:end]}".encode())
                             out.append((key - (1 << 63), a, role, parity, size, rest[:at] + rest[end:]))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string())
-            columns = zip(*out, strict=True) if out else ((),) * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["g", "a", "role", "parity", "size", "rest"])
+            yield members(out)
     return run
 
 
@@ -374,7 +381,7 @@ def settled_members(rows: DataFrame, max_edits: int, name: str = "lines-crowd")
         dense = written(lookup(rows, keys.where(crowded).select("g", "load", "own", "r"), ["g"], "load", n),
                         f"{name}-dense-{level}")
         cuts = (dense.where((F.col("role") == INDEX) & (F.char_length("rest") == F.col("r")))
-                .where(F.expr(f"pmod(xxhash64(a, g), own) < least({SAMPLE}, greatest(8, 2000000 div r))"))
+                .where(F.expr(f"pmod(xxhash64(a, g), own) < least({SAMPLE}, greatest(1, {SPLIT_CHARS} div r))"))
                 .select("g", "rest").groupBy("g").applyInArrow(_cuts_group(parts), "g long, cuts array<int>"))
         cuts = written(cuts.join(keys.select("g", "load"), "g"), f"{name}-cuts-{level}")
         rows = written(lookup(dense, cuts, ["g"], "load", n, "left")
@@ -440,7 +447,7 @@ def _member_group(max_edits: int, few: int = 256, depth: int = 4):
         while todo:
             own, ask, level = todo.pop()
             small = len(own) * len(ask) <= few or level == depth
-            if small or min((len(x) for _, x in own), default=0) < 2 * (max_edits + 1):
+            if small or sum(len(x) for _, x in own + ask) > SPLIT_CHARS or min((len(x) for _, x in own), default=0) < 2 * (max_edits + 1):
                 compare(own, ask)
                 continue
             compare(own[:1], ask)
