@@ -49,6 +49,26 @@ def test_fold_finds_the_winners_itself(spark):
     assert {r.K: (r.ITEM, r.STATUS) for r in one.collect()} == {"a": ("i3", "s2"), "b": (None, None), "c": (None, "s7")}
 
 
+@pytest.mark.parametrize("insert", [COLS, ["K", "STATUS"]])
+def test_fold_by_column_equals_the_fold_of_rows(spark, insert):
+    rows = [("a", 0, 1, "i1", "s1"), ("a", 0, 2, "i2", None), ("a", 1, 5, None, "s3"), ("a", 1, 4, "i4", "s4"),
+            ("b", None, 1, "i5", "s5"), ("c", 1, None, "i6", "s6"), ("c", 1, 0, None, "s7"), (None, 1, 1, "i8", "s8")]
+    df = spark.createDataFrame(rows, "K string, BATCH_ID int, SEQ int, ITEM string, STATUS string")
+    by_row, by_column = (fold(df, "K", ["ITEM"], insert, COLS, order_by=["SEQ"], bounds=True, by_column=b)
+                         for b in (False, True))
+    assert by_row.schema == by_column.schema
+    assert sorted(map(str, by_column.collect())) == sorted(map(str, by_row.collect()))
+
+
+def test_freshness_all_shuffles_no_column_that_it_does_not_read(spark):
+    plan = executed(E.queries()["freshness_all"](spark, SF))
+    folds = re.findall(r"Exchange hashpartitioning\((?:TXID|RECORD_ID)[^\n]*\n[^\n]*partial_max_by[^\n]*", plan)
+    assert len(folds) == 2
+    for line in folds:
+        assert "DELIVERED_DATE" in line or "REPORTING_MONTH" in line
+        assert not re.search("ITEM|CUSTOMER_ID|PAYMENT_STATUS|WAREHOUSE_NAME|SHIPMENTS_COUNT", line)
+
+
 def test_fold_orders_shuffles_the_fact_rows_once(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(TXID", executed(E.queries()["fold_orders"](spark, SF)))) == 1
 
