@@ -13,8 +13,9 @@ under one common child a level and dies out.
 Nodes of up to ``LEAF`` classes are compared exhaustively on their embeddings (one byte a
 min-hash). In a larger node whose members are of one label but for up to ``ASK``, these
 few are compared with every member, in blocks. Members of other large nodes are first
-compared with ``PIVOTS`` of them and then branch again. After ``DEPTH`` levels what is still large is compared exhaustively in pairs
-of blocks. Comparisons yield *loose* links (half of the min-hashes agree; a pair at 0.8
+compared with ``PIVOTS`` of them and then branch again. What is still large is compared
+exhaustively in pairs of blocks after ``DEPTH`` levels, or as soon as that takes at most
+``LEAF`` comparisons for each class of the table. Comparisons yield *loose* links (half of the min-hashes agree; a pair at 0.8
 fails this with probability under 1e-8), reduced to a forest in each node. Classes that
 are loosely linked already have one label, and a node whose members share one is done:
 two trees of one level give first labels, the other trees only look for links between
@@ -44,8 +45,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamper.llm import _text as X
+from tamper.llm._forest import forest, forest_roots
 from tamper.llm._skew import lookup
-from tamper.llm._spark import arrow_batches, components, row_bitmap, table, written
+from tamper.llm._spark import arrow_batches, row_bitmap, table, written
 
 U64 = np.uint64
 SHINGLE, PERCENT = 4, 80
@@ -218,22 +220,6 @@ def _pivot_batches(batches):
              pa.array(np.concatenate((to, p_cls[link])))], names=["node", "cls", "lab", "pivot"])
 
 
-def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest index reachable from each of n indices over the edges (a, b)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _leaf_edges(g: np.ndarray, cls: np.ndarray, lab: np.ndarray, sig: np.ndarray):
     """Loose links between different labels in the runs of equal ``g``, as a forest."""
     a, b = [], []
@@ -309,25 +295,38 @@ def _settled(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return leaves, rows.where(~(small | few)).select("node", "cls", "lab", "m")
 
 
+def _pairs(rest: DataFrame) -> DataFrame:
+    """Every pair of blocks of each node as a leaf: the exact way."""
+    blocks = F.ceil(F.col("m") / LEAF)
+    mine = F.pmod(F.xxhash64("cls", "node"), blocks)
+    pair = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    return rest.select("node", "cls", "lab", mine.alias("i"), pair.alias("j")).select(
+        F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("g"), "cls", "lab")
+
+
 def _tree_links(classes: DataFrame, percent: int, trees: range, depth: int, name: str) -> DataFrame:
     """(a, b): loose links between different labels of classes (cls, lab, sig) that some
     of the trees brings together; with ``depth`` 1 large nodes are only compared with
     their pivots."""
-    cur = classes.mapInArrow(_root_batches(percent, trees), NODES)
-    n = 2 * len(trees) * classes.count()
+    cur = written(classes.mapInArrow(_root_batches(percent, trees), NODES), f"{name}-1")
+    cheap = LEAF * classes.count()
+    n = cur.count()
     leaves, edges = [], []
+
+    def over(rest: DataFrame, last: bool) -> bool:
+        """Whether no node of ``rest`` has to branch: there is none, or all are compared."""
+        pairs = rest.agg(F.sum("m")).first()[0]
+        if pairs is None:
+            return True
+        if depth > 1 and (last or pairs <= cheap):
+            leaves.append(_pairs(rest))
+            return True
+        return False
+
     for level in range(1, depth + 1):
         asked, rest = _settled(_mixed(cur, n, f"{name}-sized-{level}"))
         leaves.append(asked)
-        if rest.isEmpty():
-            break
-        if 1 < level == depth:
-            # pairs of blocks: the exact way for what branching does not split
-            blocks = F.ceil(F.col("m") / LEAF)
-            mine = F.pmod(F.xxhash64("cls", "node"), blocks)
-            pair = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-            leaves.append(rest.select("node", "cls", "lab", mine.alias("i"), pair.alias("j")).select(
-                F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("g"), "cls", "lab"))
+        if over(rest, 1 < level == depth):
             break
         looked = _pivoted(rest.drop("m"), classes, f"{name}-{level}")
         edges.append(looked.where("pivot >= 0").select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
@@ -335,6 +334,8 @@ def _tree_links(classes: DataFrame, percent: int, trees: range, depth: int, name
             break
         asked, rest = _settled(_mixed(looked.where("pivot < 0").drop("pivot"), n, f"{name}-left-{level}"))
         leaves.append(asked)
+        if over(rest, False):
+            break
         cur = written(rest.join(classes.select("cls", "sig"), "cls").mapInArrow(_branch_batches(percent), NODES),
                       f"{name}-{level + 1}")
         n = max(n, cur.count())
@@ -354,7 +355,7 @@ def loose_links(classes: DataFrame, percent: int = PERCENT, trees: int = TREES)
     together)."""
     first = _tree_links(classes.select("cls", F.col("cls").alias("lab"), "sig"), percent,
                         range(trees, trees + FIRST_TREES), 1, "paths-first")
-    label = components(first, "paths-labels").select(F.col("node").alias("cls"), "root")
+    label = forest_roots(first, "paths-labels").select(F.col("node").alias("cls"), "root")
     labelled = written(classes.select("cls", "sig").join(label, "cls", "left").select(
         "cls", F.coalesce("root", "cls").alias("lab"), "sig"), "paths-labelled")
     return first.unionByName(_tree_links(labelled, percent, range(trees), DEPTH, "paths-trees"))
@@ -459,7 +460,7 @@ def _links_in(blocks: DataFrame, percent: int) -> DataFrame:
 def _by_largest(large: DataFrame, links: DataFrame) -> DataFrame:
     """``large`` with the label of each member's component so far, and ``apart``: the same
     where it is not the largest of its group."""
-    comp = components(links, "paths-inner").withColumnRenamed("node", "cls").withColumnRenamed("root", "label")
+    comp = forest_roots(links, "paths-inner").withColumnRenamed("node", "cls").withColumnRenamed("root", "label")
     labelled = written(large.join(comp, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "paths-inner-labels")
     main = (labelled.groupBy("root", "label").agg(F.count("*").alias("members")).groupBy("root")
             .agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.sum("members").alias("load")))
@@ -507,7 +508,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     classes = written(each.where("n > 0").groupBy(*SET).agg(
         F.min("doc_id").alias("least_id"), F.count("*").alias("load"), F.first("sig").alias("sig"))
         .withColumn("cls", F.monotonically_increasing_id()), "paths-classes")
-    loose = written(components(loose_links(classes, percent, trees), "paths-loose")
+    loose = written(forest_roots(loose_links(classes, percent, trees), "paths-loose")
                     .withColumnRenamed("node", "cls"), "paths-groups")
     wanted = written(classes.select(*SET, "cls", "sig").join(loose, "cls"), "paths-wanted")
     bits = min(MAX_BITMAP, max(10, int(8 * wanted.count()).bit_length()))
@@ -519,7 +520,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     blobs = (docs.select("text").mapInArrow(_blob_batches(shingle, bits, held), "n long, x long, s long, blob binary")
              .groupBy(*SET).agg(F.first("blob").alias("blob")))
     sets = written(wanted.join(blobs, SET).select("cls", "root", "n", "sig", "blob"), "paths-full")
-    comp = written(components(exact_links(sets, percent), "paths-cc").withColumnRenamed("node", "cls"), "paths-comp")
+    comp = written(forest_roots(exact_links(sets, percent), "paths-cc").withColumnRenamed("node", "cls"), "paths-comp")
     rooted = written(classes.select(*SET, "cls", "least_id", "load").join(comp, "cls", "left").withColumn(
         "root", F.coalesce("root", "cls")), "paths-rooted")
     best = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("copies"))

@@ -120,6 +120,23 @@ def test_a_cluster_costs_a_star_not_all_pairs(spark):
     assert [tuple(r) for r in got] == [(0, 3000)]
 
 
+def test_nodes_that_are_cheap_to_compare_do_not_branch(spark, monkeypatch):
+    """A passage in some sixty documents among a thousand: its nodes are over LEAF, but all
+    their pairs are fewer than LEAF for each document."""
+    monkeypatch.setattr(chosenpath, "LEAF", 32)
+    monkeypatch.setattr(chosenpath, "ASK", 3)
+    names = []
+    store = chosenpath.written
+    monkeypatch.setattr(chosenpath, "written", lambda df, name: names.append(name) or store(df, name))
+    rng = random.Random(6)
+    passage = prose(rng, 40)
+    texts = [" ".join(prose(rng, 30) + passage) for _ in range(60)] + [" ".join(prose(rng, 12)) for _ in range(1000)]
+    texts += texts[5:8] + [" ".join(edited(rng, texts[i].split(), 1)) for i in range(20)]
+    rows = list(enumerate(texts))
+    assert run(spark, rows) == brute(rows)
+    assert "paths-trees-1" in names and "paths-trees-2" not in names
+
+
 def test_forest_labels():
     root = chosenpath.forest(np.array([5, 4, 9, 3]), np.array([4, 2, 8, 9]), 10)
     assert root.tolist() == [0, 1, 2, 3, 2, 2, 6, 7, 3, 3]
