@@ -121,7 +121,7 @@ def test_a_cluster_costs_a_star_not_all_pairs(spark):
 
 
 def test_nodes_that_are_cheap_to_compare_do_not_branch(spark, monkeypatch):
-    """A passage in some sixty documents among a thousand: its nodes are over LEAF, but all
+    """A passage in some sixty documents among three thousand: its nodes are over LEAF, but all
     their pairs are fewer than LEAF for each document."""
     monkeypatch.setattr(chosenpath, "LEAF", 32)
     monkeypatch.setattr(chosenpath, "ASK", 3)
@@ -130,7 +130,7 @@ def test_nodes_that_are_cheap_to_compare_do_not_branch(spark, monkeypatch):
     monkeypatch.setattr(chosenpath, "written", lambda df, name: names.append(name) or store(df, name))
     rng = random.Random(6)
     passage = prose(rng, 40)
-    texts = [" ".join(prose(rng, 30) + passage) for _ in range(60)] + [" ".join(prose(rng, 12)) for _ in range(1000)]
+    texts = [" ".join(prose(rng, 30) + passage) for _ in range(60)] + [" ".join(prose(rng, 12)) for _ in range(3000)]
     texts += texts[5:8] + [" ".join(edited(rng, texts[i].split(), 1)) for i in range(20)]
     rows = list(enumerate(texts))
     assert run(spark, rows) == brute(rows)
