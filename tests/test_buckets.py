@@ -87,6 +87,17 @@ def test_chains_shuffle_no_batch(spark, chain):
     assert rows(out) == rows(layers.fold_two_batches("orders", raw, AS_OF))
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_measured_merges_shuffle_and_store_no_batch(spark, limit, monkeypatch):
+    stored = []
+    monkeypatch.setattr(layers, "written", lambda *a: stored.append(a) or WRITTEN(*a))
+    raw = landed(spark, (0, 1)).where("BATCH_ID IS NOT NULL")
+    out = layers.upsert_two_batches("orders", raw, AS_OF, broadcast_bytes=limit)
+    assert "Exchange hashpartitioning(TXID" not in executed(out) and not stored
+    assert ("BroadcastHashJoin" in executed(out)) == bool(limit)
+    assert rows(out) == rows(layers.fold_two_batches("orders", raw, AS_OF))
+
+
 def test_chain_over_batches_without_an_id(spark):
     raw = landed(spark, (0, 1, 2))
     out = layers.gold_chain("orders", raw, AS_OF)
