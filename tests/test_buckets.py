@@ -102,3 +102,15 @@ def test_chain_over_batches_without_an_id(spark):
     raw = landed(spark, (0, 1, 2))
     out = layers.gold_chain("orders", raw, AS_OF)
     assert rows(out) == rows(layers.upsert_two_batches("orders", raw, AS_OF))
+
+
+def test_freshness_stored_writes_its_layers_without_a_shuffle_of_rows(spark, scratch, monkeypatch):
+    plans = []
+    snapshot = layers.silver_snapshot
+    monkeypatch.setattr(registry.layers, "silver_snapshot", lambda *a: plans.append(snapshot(*a)) or plans[-1])
+    out = E.queries()["freshness_stored"](spark, SF).collect()
+    assert len(plans) == 2 and all("Exchange" not in executed(p) for p in plans)
+    raw = registry.raw_orders(spark, SF)
+    got = {r.layer: r.row_count for r in out}
+    assert got == {"RAW": raw.count(), "SILVER": raw.select("TXID").distinct().count(),
+                   "GOLD": raw.where("BATCH_ID = 0").select("TXID").distinct().count()}
