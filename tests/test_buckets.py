@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 import __spark_entry__ as E
 from tamper.operators import buckets
 from tamper.operators.clean import latest_per_key
-from tamper.plans import layers, registry
+from tamper.plans import layers, loads, registry
 from tamper.schemas import ORDER_SCHEMA, SEQ_FIELDS
+from tamper.streaming import pipeline as P
 
 from test_ingest_stream import AS_OF
 
@@ -114,3 +115,61 @@ def test_freshness_stored_writes_its_layers_without_a_shuffle_of_rows(spark, scr
     got = {r.layer: r.row_count for r in out}
     assert got == {"RAW": raw.count(), "SILVER": raw.select("TXID").distinct().count(),
                    "GOLD": raw.where("BATCH_ID = 0").select("TXID").distinct().count()}
+
+
+def test_no_hop_of_a_bucketed_layout_shuffles_rows(spark):
+    """Every layer of the stream is in the buckets of its key; only distinct bucket numbers and
+    counts are exchanged."""
+    layout, out = loads.streamed(spark, SF)
+    n = P.log_buckets(spark, layout)
+    assert n == 64
+    for layer in ("silver", "gold", "serving"):
+        files = [f for _, _, fs in os.walk(layout.path(layer)) for f in fs if f.endswith(".parquet")]
+        assert files and all(re.search(buckets.BUCKET_FILE, f) for f in files)
+    folder = f"{layout.path('gold')}/BATCH_ID=0"
+    names = []
+    rows_0 = P.open_files(spark, layout, "gold", [f"{folder}/{f}" for f in os.listdir(folder) if f.endswith(".parquet")], n, names)
+    assert len(names) == 1 and "Exchange" not in executed(latest_per_key(rows_0, "TXID", ["LAST_BATCH"]))
+    assert rows_0.count() == P.read_layer(spark, layout, "gold").where("BATCH_ID = 0").count()
+    some = P.open_files(spark, layout, "gold", [f"{folder}/{f}" for f in sorted(os.listdir(folder)) if f.endswith(".parquet")][:3],
+                        n, names)  # a part of a batch
+    assert len(names) == 1 and "Exchange hashpartitioning(TXID" in executed(some) and 0 < some.count() < rows_0.count()
+    buckets.drop(spark, names)
+    assert not [t for t in spark.catalog.listTables() if t.name in names]
+    assert rows(out) == rows(P.layer_state(spark, layout, "gold"))
+    assert rows(out.drop("METADATA")) == rows(loads.streamed(spark, SF, max_files_per_trigger=2)[1].drop("METADATA"))
+
+
+def test_a_crowded_stream_keeps_plain_layers(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "crowded", lambda *a: True)
+    layout, out = loads.streamed(spark, SF, "emissions")
+    assert P.log_buckets(spark, layout) is None
+    assert not any(re.search(buckets.BUCKET_FILE, f) for _, _, fs in os.walk(layout.path("gold")) for f in fs)
+    monkeypatch.undo()
+    assert rows(out) == rows(loads.streamed(spark, SF, "emissions")[1])
+
+
+@pytest.mark.parametrize("n", [None, 16])
+def test_a_publish_writes_once_and_its_replay_finishes_it(spark, scratch, n):
+    """New buckets are moved: those that a dead publish left beside the copy, and, folded from
+    GOLD, those that are in neither place."""
+    layout = P.Layout(scratch, "orders")
+    if n:
+        P.bucket_layout(spark, layout, n)
+    raw = landed(spark, (0,)).where("BATCH_ID = 0").drop("BATCH_ID")
+    raw.write.parquet(f"{layout.path('raw')}/BATCH_ID=0")
+    out = P.run_pipeline(spark, layout, AS_OF)
+    expected = rows(out)
+    assert len(expected) == 40 and out.select("ITEM").distinct().collect()[0][0] == "Item 0 1"
+    serving, fresh = layout.path("serving"), f"{layout.path('serving_next')}/BATCH_ID=0"
+    assert not [f for _, _, fs in os.walk(fresh) for f in fs if f.endswith(".parquet")]
+    there = sorted(d for d in os.listdir(serving) if d.startswith("BUCKET="))
+    for d in there[:4]:
+        os.rename(f"{serving}/{d}", f"{fresh}/{d}")
+    for d in there[4:7]:
+        os.rename(f"{serving}/{d}", f"{scratch}/{d}")
+    gold = P.read_layer(spark, layout, "gold")
+    assert P.serving_batch(layout)(gold.repartition(n, "TXID") if n else gold, 0) == 40
+    assert rows(P.read_serving(spark, layout, serving)) == expected
+    runs = spark.read.parquet(layout.runs).where("HOP = 'serving'").collect()
+    assert [r.ROWS for r in runs] == [40]
