@@ -13,6 +13,7 @@ from tamper.operators import buckets
 from tamper.operators.clean import latest_per_key
 from tamper.plans import layers, loads, registry
 from tamper.schemas import ORDER_SCHEMA, SEQ_FIELDS
+from tamper.sources import ingest, staged
 from tamper.streaming import pipeline as P
 
 from test_ingest_stream import AS_OF
@@ -173,3 +174,55 @@ def test_a_publish_writes_once_and_its_replay_finishes_it(spark, scratch, n):
     assert rows(P.read_serving(spark, layout, serving)) == expected
     runs = spark.read.parquet(layout.runs).where("HOP = 'serving'").collect()
     assert [r.ROWS for r in runs] == [40]
+
+
+def test_a_staged_stream_writes_both_sides_in_buckets(spark, scratch):
+    """The layers of a staged stream are in buckets from RAW on; a replay replaces both sides."""
+    layout, plain = P.Layout(f"{scratch}/b", "orders"), P.Layout(f"{scratch}/p", "orders")
+    P.bucket_layout(spark, layout, 8)
+    df = landed(spark, (0,)).where("BATCH_ID = 0 AND TXID IS NOT NULL").select(*ORDER_SCHEMA.names)
+    bad = df.withColumn("PURCHASE_TIME", F.lit(None).cast("date")).limit(3)
+    for i, part in enumerate((df, bad.unionByName(df.where("TXID = 't-1'")))):
+        part.coalesce(1).write.parquet(f"{scratch}/stage/{i}")
+    out = {}
+    for at in (layout, plain):
+        P.drain(spark, at, "staged", landing=f"{scratch}/stage", max_files_per_trigger=1)
+        out[at] = P.run_pipeline(spark, at, AS_OF)
+    assert rows(out[layout].select("TXID", "PURCHASE_TIME")) == rows(out[plain].select("TXID", "PURCHASE_TIME"))
+    for side, count in (("raw", 82), ("quarantine", 3)):
+        got = spark.read.parquet(layout.path(side))
+        assert got.count() == spark.read.parquet(plain.path(side)).count() == count
+        assert got.select(F.input_file_name()).where(~F.input_file_name().rlike(buckets.BUCKET_FILE)).count() == 0
+    assert P._write_sides(layout, staged.read_files(spark, [f for f in staged.list_files(spark, f"{scratch}/stage/0")],
+                                                    "orders")[0], 1, None) == 80  # batch 1 again, from other files
+    assert P.read_layer(spark, layout, "raw").where("BATCH_ID = 1").count() == 80
+    assert os.listdir(layout.path("quarantine")) == []
+    runs = spark.read.parquet(layout.runs).where("HOP = 'staged'").collect()
+    assert sorted(r.ROWS for r in runs) == sorted(r.ROWS for r in spark.read.parquet(plain.runs).where("HOP = 'staged'").collect())
+
+
+def test_raw_with_a_crowded_bucket_is_read_as_plain_files(spark, scratch, monkeypatch):
+    layout = P.Layout(scratch, "orders")
+    P.bucket_layout(spark, layout, 16)
+    raw = landed(spark, (0,)).where("BATCH_ID = 0").drop("BATCH_ID")
+    hot = raw.where("TXID = 't-5'").crossJoin(spark.range(200)).drop("id")
+    buckets.write(raw.unionByName(hot), f"{layout.path('raw')}/BATCH_ID=0", "TXID", 16)
+    monkeypatch.setattr(buckets, "CROWDED_ROWS", 20)
+    files, names = staged.list_files(spark, layout.path("raw")), []
+    df = P.open_files(spark, layout, "raw", files, 16, names)
+    assert not names and "WindowGroupLimit" in executed(latest_per_key(df, "TXID")).split("Exchange")[1]
+    assert P.run_pipeline(spark, layout, AS_OF).count() == 40
+    monkeypatch.undo()
+    P.open_files(spark, layout, "raw", files, 16, names)
+    assert len(names) == 1
+    buckets.drop(spark, names)
+
+
+def test_a_file_of_a_stage_is_dealt_to_several_tasks(spark, scratch, monkeypatch):
+    """Layers and stages are cut into row groups, so that two files a trigger use all cores."""
+    monkeypatch.setattr(ingest, "ROW_GROUP", 1 << 17)
+    df = spark.range(60000).selectExpr("uuid() AS TXID", "uuid() AS ITEM").coalesce(1)
+    ingest.write_batch(df, f"{scratch}/log", 0)
+    (f,) = [f for f in staged.list_files(spark, f"{scratch}/log") if f.endswith(".parquet")]
+    import pyarrow.parquet as pq
+    assert pq.ParquetFile(f.removeprefix("file:")).num_row_groups > 4
