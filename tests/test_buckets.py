@@ -226,3 +226,31 @@ def test_a_file_of_a_stage_is_dealt_to_several_tasks(spark, scratch, monkeypatch
     (f,) = [f for f in staged.list_files(spark, f"{scratch}/log") if f.endswith(".parquet")]
     import pyarrow.parquet as pq
     assert pq.ParquetFile(f.removeprefix("file:")).num_row_groups > 4
+
+
+def test_limited_streams_are_fed_few_files(spark, scratch, monkeypatch):
+    """Small files of a batch arrive merged, and a hop with a file limit writes no file for each
+    task of its shuffle."""
+    layout = P.Layout(scratch, "orders")
+    raw = landed(spark, (0,)).where("BATCH_ID = 0").drop("BATCH_ID")
+    monkeypatch.setattr(P, "FEW_FILES", 3)
+    for i, files in enumerate((6, 2)):
+        raw.repartition(files).write.parquet(f"{scratch}/in{i}")
+        P.merge_files(spark, f"{scratch}/in{i}", f"{layout.path('raw')}/BATCH_ID={i}", raw.schema)
+        got = spark.read.schema(raw.schema).parquet(f"{layout.path('raw')}/BATCH_ID={i}")
+        assert rows(got) == rows(raw) and len(got.inputFiles()) == min(files, 3)
+        assert not os.path.exists(f"{scratch}/in{i}")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100b",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        out = P.run_pipeline(spark, layout, AS_OF, max_files_per_trigger=2)
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "100b"
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    silver = [len([f for f in os.listdir(f"{layout.path('silver')}/{d}") if f.endswith(".parquet")])
+              for d in os.listdir(layout.path("silver")) if d.startswith("BATCH_ID=")]
+    assert len(silver) == 3 and max(silver) < 8  # 8 partitions hold rows
+    assert out.count() == 40
